@@ -11,7 +11,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -82,76 +82,93 @@ class Axis:
         """Half a cell; a single centre has no width."""
         return F.when(self.n > 1, F.abs(self.step) / 2).otherwise(F.lit(0.0))
 
-    @property
-    def foot_low(self) -> Column:
-        return self.low - self.half
 
-    @property
-    def foot_high(self) -> Column:
-        return self.high + self.half
+class StoredAxis:
+    """An axis held in columns, computed once per chunk, plus lookups staged per point.
+
+    Each stage becomes its own projection, so no expression is repeated inside
+    another and the whole lookup stays inside generated code.
+    """
+
+    def __init__(self, name: str):
+        self.name = name
+
+    def _c(self, part: str) -> Column:
+        return F.col(f"_{self.name}_{part}")
+
+    def columns(self, axis: Axis) -> dict[str, Column]:
+        parts = {
+            "origin": axis.origin.cast("double"), "start": axis.start.cast("double"),
+            "step": axis.step.cast("double"), "n": axis.n.cast("int"),
+            "first": axis.first, "low": axis.low, "high": axis.high,
+            "foot_low": axis.low - axis.half, "foot_high": axis.high + axis.half,
+            "up": F.when(axis.step > 0, F.lit(1)).otherwise(F.lit(-1)),
+        }
+        return {f"_{self.name}_{p}": c for p, c in parts.items()}
+
+    def _at(self, k: Column) -> Column:
+        return self._c("origin") + (self._c("start") + k) * self._c("step")
 
     def covers(self, v: Column) -> Column:
         """Inside the closed cell footprint."""
-        return (v >= self.foot_low) & (v <= self.foot_high)
-
-    def inside(self, v: Column) -> Column:
-        """Inside the hull of the centres."""
-        return (v >= self.low) & (v <= self.high)
+        return v.between(self._c("foot_low"), self._c("foot_high"))
 
-    @property
-    def up(self) -> Column:
-        """Index step towards larger coordinates."""
-        return F.when(self.step > 0, F.lit(1)).otherwise(F.lit(-1))
-
-    def below(self, v: Column) -> Column:
-        """Unclipped index of the centre at or under v, up to rounding of the division."""
-        u = (v - self.first) / self.step
-        return F.when(self.step > 0, F.floor(u)).otherwise(F.ceil(u)).cast("int")
-
-    def nearest(self, v: Column) -> Column:
-        """Index of the nearest centre, clipped to the axis; exact ties take the larger coordinate."""
-        lo = clip_index(self.below(v), self.n)
-        hi = clip_index(self.below(v) + self.up, self.n)
-        return F.when(F.abs(v - self.at(lo)) < F.abs(v - self.at(hi)), lo).otherwise(hi)
-
-    def bracket(self, v: Column) -> tuple[Column, Column]:
-        """Lower and upper centre around v, clipped so that both exist (n > 1).
-
-        A point on a centre takes the interval above it. Outside the hull this
-        is the end interval, so the same two centres extrapolate linearly.
-        """
-        b = self.below(v)
-        b = (
-            F.when(v >= self.at(b + self.up), b + self.up)
-            .when(v < self.at(b), b - self.up)
-            .otherwise(b)
-        )
-        lo = F.when(self.step > 0, F.greatest(F.lit(0), F.least(self.n - 2, b))).otherwise(
-            F.greatest(F.lit(1), F.least(self.n - 1, b))
-        )
-        return lo, lo + self.up
-
-    def index_span(self, lo: Column, hi: Column, n: int) -> Column:
+    def span(self, lo: Column, hi: Column, n: int) -> Column:
         """Indexes of the n-point grid lo..hi that may lie in the footprint.
 
         One index wider than needed on both sides; filter with `covers` afterwards.
         """
         step = (hi - lo) / F.lit(max(n - 1, 1))
-        a = F.floor(F.try_divide(self.foot_low - lo, step)) - 1
-        b = F.ceil(F.try_divide(self.foot_high - lo, step)) + 1
+        a = F.floor(F.try_divide(self._c("foot_low") - lo, step)) - 1
+        b = F.ceil(F.try_divide(self._c("foot_high") - lo, step)) + 1
         first = F.coalesce(F.greatest(F.lit(0), F.least(a, F.lit(n))), F.lit(0)).cast("int")
         last = F.coalesce(F.least(F.lit(n - 1), F.greatest(b, F.lit(-1))), F.lit(n - 1)).cast("int")
         return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
+    def locate(self, df: DataFrame, v: str, *, nearest: bool = True, linear: bool = False) -> DataFrame:
+        """Add the index of the nearest centre (`k`) and the interval (`p0`, `p1`, weight `w`, `hull`).
 
-def bilinear(pick: Callable[[Column, Column], Column], ya: Axis, xa: Axis, y: Column, x: Column) -> Column:
-    """Bilinear value at (y, x); a NaN at any of the four corners makes the result NaN.
-
-    `pick(slow, fast)` reads one stored value.
+        Nearest is clipped to the axis and exact ties take the larger
+        coordinate. The interval of a point on a centre is the one above it;
+        outside the hull it is the end interval, so that the same two centres
+        extrapolate linearly.
+        """
+        name, at, x = self.name, self._at, F.col(v)
+        n, up = self._c("n"), self._c("up")
+        u = (x - self._c("first")) / self._c("step")
+        below = F.when(up > 0, F.floor(u)).otherwise(F.ceil(u)).cast("int")
+        df = df.withColumn(f"_{name}_b", below)
+        b = self._c("b")
+        if nearest:
+            df = df.withColumns({f"_{name}_l": clip_index(b, n), f"_{name}_h": clip_index(b + up, n)})
+            low, high = self._c("l"), self._c("h")
+            closer = F.abs(x - at(low)) < F.abs(x - at(high))
+            df = df.withColumn(f"_{name}_k", F.when(closer, low).otherwise(high)).drop(f"_{name}_l", f"_{name}_h")
+        if linear:
+            # The division may round a point onto the wrong side of a centre.
+            exact = F.when(x >= at(b + up), b + up).when(x < at(b), b - up).otherwise(b)
+            df = df.withColumn(f"_{name}_e", exact)
+            e = self._c("e")
+            start = F.when(up > 0, F.greatest(F.lit(0), F.least(n - 2, e))).otherwise(
+                F.greatest(F.lit(1), F.least(n - 1, e))
+            )
+            df = df.withColumn(f"_{name}_p0", start)
+            p0 = self._c("p0")
+            df = df.withColumns({
+                f"_{name}_p1": p0 + up,
+                f"_{name}_w": F.try_divide(x - at(p0), at(p0 + up) - at(p0)),
+                f"_{name}_hull": (x >= self._c("low")) & (x <= self._c("high")) & (n > 1),
+            }).drop(f"_{name}_e")
+        return df.drop(f"_{name}_b")
+
+
+def bilinear(pick: Callable[[Column, Column], Column], slow: str, fast: str) -> Column:
+    """Bilinear value from two located axes; a NaN at any of the four corners makes the result NaN.
+
+    `pick(slow index, fast index)` reads one stored value.
     """
-    (y0, y1), (x0, x1) = ya.bracket(y), xa.bracket(x)
-    wy = (y - ya.at(y0)) / (ya.at(y1) - ya.at(y0))
-    wx = (x - xa.at(x0)) / (xa.at(x1) - xa.at(x0))
+    y0, y1, wy = (F.col(f"_{slow}_{p}") for p in ("p0", "p1", "w"))
+    x0, x1, wx = (F.col(f"_{fast}_{p}") for p in ("p0", "p1", "w"))
     return (
         pick(y0, x0) * (1 - wy) * (1 - wx)
         + pick(y0, x1) * (1 - wy) * wx

@@ -13,8 +13,7 @@ from gridloom.constants import OPENPMD_EXTENSIONS
 
 # Fixed patterns: they describe the naming scheme of the simulation output.
 PLANE_TAG = r"((xy|xz|yz)_([xyz])_(pos|neg)(\d{1,8})(?:p(\d{0,8}))?)"
-MESH_PATCH_LEVEL = r"^(.+)_patch0*(\d+)_lev0*(\d+)$"
-MESH_LEVEL_PATCH = r"^(.+)_lev0*(\d+)_patch0*(\d+)$"
+MESH_NAME = r"^(.+)(_patch\d+_lev\d+|_lev\d+_patch\d+)$"
 ITERATION = r"\.it(\d+)\."
 LEVEL = r"_lev(\d+)"
 SCALAR_COMPONENTS = ("scalar", "value", "0")
@@ -120,70 +119,91 @@ def is_iteration_series(path: Column | str) -> Column:
     )
 
 
+def _let(value: Column, use) -> Column:
+    """Bind a value once inside a larger expression."""
+    return F.transform(F.array(value), use)[0]
+
+
 def plane_tag(text: Column | str) -> Column:
     """Struct of the plane tag found in the basename or else the whole text; NULL if none.
 
     Fields: tag, plane, normal_axis, sign, int_digits, frac_digits, elevation, start, end.
+    One pattern match finds the tag; its parts sit at fixed places inside it.
     """
-    full, base = _col(text), basename_exact(text)
-    src = F.when(base.rlike(PLANE_TAG), base).otherwise(full)
+    full = _col(text)
 
-    def group(k: int) -> Column:
-        return F.regexp_extract(src, PLANE_TAG, k)
+    def tag_in(src: Column) -> Column:
+        return F.struct(F.regexp_extract(src, PLANE_TAG, 1).alias("tag"), src.alias("src"))
 
-    frac = group(6)
-    magnitude = group(5).try_cast("double") + F.coalesce(
-        _or_null(frac).try_cast("double") / F.pow(F.lit(10.0), F.length(frac)), F.lit(0.0)
-    )
-    start = F.regexp_instr(src, F.lit(PLANE_TAG)) - 1
-    return F.when(
-        src.rlike(PLANE_TAG),
-        F.struct(
-            group(1).alias("tag"),
-            group(2).alias("plane"),
-            group(3).alias("normal_axis"),
-            group(4).alias("sign"),
-            group(5).alias("int_digits"),
-            frac.alias("frac_digits"),
-            F.when(group(4) == "neg", -magnitude).otherwise(magnitude).alias("elevation"),
-            start.alias("start"),
-            (start + F.length(group(1))).alias("end"),
-        ),
+    def parts(found: Column) -> Column:
+        tag = found["tag"]
+        digits = F.split(F.substring(tag, 9, 40), "p")
+        frac = F.coalesce(F.get(digits, F.lit(1)), F.lit(""))
+        size = digits[0].cast("double") + F.coalesce(
+            _or_null(frac).cast("double") / F.pow(F.lit(10.0), F.length(frac)), F.lit(0.0)
+        )
+        start = F.instr(found["src"], tag) - 1
+        return F.when(
+            tag != "",
+            F.struct(
+                tag.alias("tag"),
+                F.substring(tag, 1, 2).alias("plane"),
+                F.substring(tag, 4, 1).alias("normal_axis"),
+                F.substring(tag, 6, 3).alias("sign"),
+                digits[0].alias("int_digits"),
+                frac.alias("frac_digits"),
+                F.when(F.substring(tag, 6, 3) == "neg", -size).otherwise(size).alias("elevation"),
+                start.alias("start"),
+                (start + F.length(tag)).alias("end"),
+            ),
+        )
+
+    return _let(
+        tag_in(basename_exact(full)),
+        lambda base: _let(F.when(base["tag"] != "", base).otherwise(tag_in(full)), parts),
     )
 
 
 def basename_exact(text: Column | str) -> Column:
     """Text after the last slash; empty when the text ends in one."""
-    return F.regexp_extract(_col(text), r"([^/]*)$", 1)
+    return F.substring_index(_col(text), "/", -1)
 
 
 def mesh_name(name: Column | str) -> Column:
     """Struct(group, centering, level, patch, plane) of an AMR mesh name; NULL if it is none."""
-    c = _col(name)
-    patch_first = c.rlike(MESH_PATCH_LEVEL)
 
-    def pick(first: int, second: int) -> Column:
-        return F.when(patch_first, F.regexp_extract(c, MESH_PATCH_LEVEL, first)).otherwise(
-            F.regexp_extract(c, MESH_LEVEL_PATCH, second)
+    def split_up(m: Column) -> Column:
+        prefix, plane, suffix = m["prefix"], m["plane"], m["suffix"]
+        rest = F.regexp_replace(F.substr(prefix, plane["end"] + 1), r"^_", "")
+        return F.struct(
+            F.when(plane["start"] == 0, rest).otherwise(prefix).alias("group"),
+            plane.alias("plane"), suffix.alias("suffix"),
         )
 
-    prefix = pick(1, 1)
-    plane = plane_tag(prefix)
-    stripped = F.regexp_replace(F.substr(prefix, plane["end"] + 1), r"^_", "")
-    group = F.when(plane["start"] == 0, stripped).otherwise(prefix)
-    centering = F.when(group.endswith("_cv"), "cv").when(group.endswith("_vc"), "vc")
-    return F.when(
-        patch_first | c.rlike(MESH_LEVEL_PATCH),
-        F.struct(
-            F.when(centering.isNotNull(), F.substr(group, F.lit(1), F.length(group) - 3))
-            .otherwise(group)
-            .alias("group"),
-            centering.alias("centering"),
-            pick(3, 2).try_cast("int").alias("level"),
-            pick(2, 3).try_cast("int").alias("patch"),
-            plane.alias("plane"),
-        ),
-    )
+    def finish(m: Column) -> Column:
+        group, suffix = m["group"], m["suffix"]
+        centering = F.when(group.endswith("_cv"), "cv").when(group.endswith("_vc"), "vc")
+        return F.when(
+            suffix != "",
+            F.struct(
+                F.when(centering.isNotNull(), F.substr(group, F.lit(1), F.length(group) - 3))
+                .otherwise(group)
+                .alias("group"),
+                centering.alias("centering"),
+                _or_null(F.regexp_extract(suffix, r"_lev(\d+)", 1)).cast("int").alias("level"),
+                _or_null(F.regexp_extract(suffix, r"_patch(\d+)", 1)).cast("int").alias("patch"),
+                m["plane"].alias("plane"),
+            ),
+        )
+
+    c = _col(name)
+    prefix = F.regexp_extract(c, MESH_NAME, 1)
+
+    def with_plane(p: Column) -> Column:
+        return F.struct(p.alias("prefix"), plane_tag(p).alias("plane"), F.substr(c, F.length(p) + 1).alias("suffix"))
+
+    named = F.when(prefix != "", prefix)
+    return _let(named, lambda p: F.when(p.isNotNull(), _let(_let(with_plane(p), split_up), finish)))
 
 
 def component_label(component: Column | str, group: Column | str) -> Column:

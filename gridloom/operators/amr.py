@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions import names
-from gridloom.functions.grid import Axis, bilinear, grid_point
+from gridloom.functions.grid import Axis, StoredAxis, bilinear, grid_point
 from gridloom.functions.scalars import NAN, is_finite
 from gridloom.operators.ordered import Ordered
 from gridloom.operators.skew import is_small
@@ -210,62 +210,49 @@ def _with_extent(chunks: DataFrame, extent: "Extent | DataFrame") -> DataFrame:
     return chunks.join(F.broadcast(extent) if is_small(extent) else extent, keys)
 
 
-def _points(patches: DataFrame, ya: Axis, xa: Axis, nx: int, ny: int) -> DataFrame:
-    """Explode each patch to the canvas points (j, i, y, x) it covers."""
-    rows = (
-        patches.withColumn("j", F.explode(ya.index_span(F.col("y_min"), F.col("y_max"), ny)))
-        .withColumn("y", grid_point(F.col("j"), F.col("y_min"), F.col("y_max"), ny))
-        .filter(ya.covers(F.col("y")))
-    )
-    return (
-        rows.withColumn("i", F.explode(xa.index_span(F.col("x_min"), F.col("x_max"), nx)))
-        .withColumn("x", grid_point(F.col("i"), F.col("x_min"), F.col("x_max"), nx))
-        .filter(xa.covers(F.col("x")))
-    )
-
-
-def _value(pick: Callable[[Column, Column], Column], ya: Axis, xa: Axis, method: str) -> Column:
-    y, x = F.col("y"), F.col("x")
-    near = pick(ya.nearest(y), xa.nearest(x))
-    if method == "nearest":
-        return near
-    if method != "linear":
-        raise ValueError(f"method must be 'nearest' or 'linear', not {method!r}")
-    hull = ya.inside(y) & xa.inside(x) & (ya.n > 1) & (xa.n > 1)
-    return F.when(hull, bilinear(pick, ya, xa, y, x)).otherwise(near)
-
-
-def _axes_to_columns(prefix: str, a: Axis) -> dict[str, Column]:
-    return {f"_{prefix}o": a.origin, f"_{prefix}s": a.start, f"_{prefix}d": a.step, f"_{prefix}n": a.n}
-
-
-def _axis_from_columns(prefix: str) -> Axis:
-    return Axis(*[F.col(f"_{prefix}{p}") for p in "osdn"])
-
-
 def _paint(
     chunks: DataFrame, slow: Axis, fast: Axis, base: Column, slow_stride: Column, fast_stride: Column,
     extent: "Extent | DataFrame", keys: Sequence[str], nx: int, ny: int, method: str,
 ) -> DataFrame:
-    """Finite (keys, j, i, y, x, v, prio) writes of every chunk."""
-    ya, xa = _axis_from_columns("y"), _axis_from_columns("x")
+    """Finite (keys, j, i, y, x, v, prio) writes of every chunk.
+
+    A chunk first explodes to the canvas rows it covers, where everything that
+    depends on y is settled, and only then to the points of each row.
+    """
+    if method not in ("nearest", "linear"):
+        raise ValueError(f"method must be 'nearest' or 'linear', not {method!r}")
+    linear = method == "linear"
+    ya, xa = StoredAxis("y"), StoredAxis("x")
     patches = _with_extent(
         chunks.select(
             *keys, paint_order().alias("prio"), "data",
-            base.cast("int").alias("_b"), slow_stride.cast("int").alias("_ss"), fast_stride.cast("int").alias("_fs"),
-            *[c.alias(n) for n, c in {**_axes_to_columns("y", slow), **_axes_to_columns("x", fast)}.items()],
+            base.cast("int").alias("_base"), slow_stride.cast("int").alias("_slow"), fast_stride.cast("int").alias("_fast"),
+            *[c.alias(n) for n, c in {**ya.columns(slow), **xa.columns(fast)}.items()],
         ),
         extent,
     )
+    lo, hi = F.col("y_min"), F.col("y_max")
+    lines = (
+        patches.withColumn("j", F.explode(ya.span(lo, hi, ny)))
+        .withColumn("y", grid_point(F.col("j"), lo, hi, ny))
+        .filter(ya.covers(F.col("y")))
+    )
+    lines = ya.locate(lines, "y", linear=linear)
+    lo, hi = F.col("x_min"), F.col("x_max")
+    points = (
+        lines.withColumn("i", F.explode(xa.span(lo, hi, nx)))
+        .withColumn("x", grid_point(F.col("i"), lo, hi, nx))
+        .filter(xa.covers(F.col("x")))
+    )
+    points = xa.locate(points, "x", linear=linear)
 
     def pick(j: Column, i: Column) -> Column:
-        return F.get("data", F.col("_b") + j * F.col("_ss") + i * F.col("_fs"))
+        return F.get("data", F.col("_base") + j * F.col("_slow") + i * F.col("_fast"))
 
-    return (
-        _points(patches, ya, xa, nx, ny)
-        .select(*keys, "j", "i", "y", "x", _value(pick, ya, xa, method).alias("v"), "prio")
-        .filter(is_finite("v"))
-    )
+    value = pick(F.col("_y_k"), F.col("_x_k"))
+    if linear:
+        value = F.when(F.col("_y_hull") & F.col("_x_hull"), bilinear(pick, "y", "x")).otherwise(value)
+    return points.select(*keys, "j", "i", "y", "x", value.alias("v"), "prio").filter(is_finite("v"))
 
 
 def plane_writes(

@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.grid import Axis, bilinear, half_open_count
+from gridloom.functions.grid import Axis, StoredAxis, bilinear, half_open_count, half_open_point
 from gridloom.functions.scalars import NAN, is_finite, safe_divide_arrays
 from gridloom.operators.ordered import Ordered
 
@@ -132,26 +132,33 @@ def polar_mean(
     if not n_r:
         raise ValueError("empty radius range")
     n_angles = half_open_count(0.0, 2 * math.pi, d_phi)
+    zero = F.lit(0.0)
+    xa, ya = StoredAxis("x"), StoredAxis("y")
+    first, second = ("_py", "_px") if transposed else ("_px", "_py")
     mesh = (
-        slices.select(*keys, F.col(data).alias("_data"), F.col(nx).cast("int").alias("_nx"), F.col(ny).cast("int").alias("_ny"))
+        slices.select(
+            *keys, F.col(data).alias("_data"), F.col(ny).cast("int").alias("_ny"),
+            *[
+                c.alias(n) for n, c in {
+                    **xa.columns(Axis(F.lit(float(x0)), zero, F.lit(float(dx)), F.col(nx))),
+                    **ya.columns(Axis(F.lit(float(y0)), zero, F.lit(float(dy)), F.col(ny))),
+                }.items()
+            ],
+        )
         .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n_r - 1))))
-        .withColumn("r", F.lit(float(r_start)) + F.col("k") * F.lit(float(r_step)))
+        .withColumn("r", half_open_point(F.col("k"), r_start, r_step))
         .withColumn("_m", F.explode(F.sequence(F.lit(0), F.lit(n_angles - 1))))
         .withColumn("_phi", F.col("_m") * F.lit(d_phi))
-        .withColumn("_x", F.col("r") * F.cos("_phi"))
-        .withColumn("_y", F.col("r") * F.sin("_phi"))
+        .withColumns({"_px": F.col("r") * F.cos("_phi"), "_py": F.col("r") * F.sin("_phi")})
     )
-    zero = F.lit(0.0)
-    xa = Axis(F.lit(float(x0)), zero, F.lit(float(dx)), F.col("_nx"))
-    ya = Axis(F.lit(float(y0)), zero, F.lit(float(dy)), F.col("_ny"))
+    mesh = xa.locate(mesh, first, nearest=False, linear=True)
+    mesh = ya.locate(mesh, second, nearest=False, linear=True)
 
     def pick(i: Column, j: Column) -> Column:
         return F.get("_data", i * F.col("_ny") + j)
 
-    px, py = (F.col("_y"), F.col("_x")) if transposed else (F.col("_x"), F.col("_y"))
-    value = bilinear(pick, xa, ya, px, py)
     return (
-        mesh.select(*keys, "k", "r", value.alias("_v"))
+        mesh.select(*keys, "k", "r", bilinear(pick, "x", "y").alias("_v"))
         .groupBy(*keys, "k", "r").agg((F.sum("_v") * d_phi / 2 / math.pi).alias("mean"))
     )
 

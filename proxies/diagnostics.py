@@ -36,8 +36,8 @@ def distinct_centerings(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""with {NAMES_SQL}, d as (select tag0, mesh_name, max(contains(lower(mesh_name), 'rho') or contains(lower(component), 'rho')) as hit,
    bool_and(id % 11 <> 5) as ok from mn group by all)
-select tag0, count(*) as mesh_count, count_if(ok) as recognized_count, 100.0::double * count_if(ok) / count(*) as pct_recognized,
-  count_if(hit) as match_count from d group by tag0""")
+select tag0, count(*) as mesh_count, count_if(ok)::bigint as recognized_count, 100.0::double * count_if(ok) / count(*) as pct_recognized,
+  count_if(hit)::bigint as match_count from d group by tag0""")
 def mesh_report(spark: SparkSession, sf: str) -> DataFrame:
     return diagnostics.mesh_report(mesh_names(spark, sf), ["tag0"], "rho")
 

@@ -117,9 +117,9 @@ def series_paths(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""with {NAMES_SQL}, s as (select id, tag0 as s from nm where tag0 <> 'volume')
-select id from s where regexp_extract(s, {RX}, 1) = 'xy' and abs({ELEVATION_SQL} - 12.502::double) <= 1e-8::double + 1e-5::double * 12.502::double""")
+select id from s where regexp_extract(s, {RX}, 1) = 'xy' and abs({ELEVATION_SQL} - 12::double) <= 1e-8::double + 1e-5::double * 12::double""")
 def plane_filter_isclose(spark: SparkSession, sf: str) -> DataFrame:
-    return series_paths(spark, sf).filter(names.plane_matches("path", plane="xy", elevation=12.502)).select("id")
+    return series_paths(spark, sf).filter(names.plane_matches("path", plane="xy", elevation=12.0)).select("id")
 
 
 @query(r"""select page_id, trim(regexp_replace(url || '_', '[^0-9A-Za-z._-]+', '_', 'g'), '_') as token,

@@ -57,20 +57,22 @@ def _asof_sql(shift: int, clamp: bool) -> str:
   h as (select tg.run, target, min(t) as t, arg_min(iteration, t) as it
         from tg join ev on ev.run = tg.run and ev.t >= target group by all),
   l as (select run, max(t) as t, arg_max(iteration, t) as it from ev group by run)
-select tg.run, tg.target, {time} as t, {it} as iteration
+select tg.run, tg.target, {time} as t, coalesce({it}, -1) as iteration
 from tg left join h on h.run = tg.run and h.target = tg.target join l on l.run = tg.run"""
 
 
 @query(_asof_sql(5400, False))
 def asof_forward_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return asof_forward(_hours(spark, sf, 5400.0), tb.events(spark, sf), ["run"], "target", "t", ["iteration"])
+    hit = asof_forward(_hours(spark, sf, 5400.0), tb.events(spark, sf), ["run"], "target", "t", ["iteration"])
+    return hit.fillna(-1, ["iteration"])
 
 
 @query(_asof_sql(1800, False))
 def asof_forward_ordered(spark: SparkSession, sf: str) -> DataFrame:
-    return asof_forward(
+    hit = asof_forward(
         _hours(spark, sf, 1800.0), tb.events(spark, sf), ["run"], "target", "t", ["iteration"], few_targets=False
     )
+    return hit.fillna(-1, ["iteration"])
 
 
 @query(_asof_sql(5400, True))

@@ -54,7 +54,7 @@ def tukey_mean_removed(spark: SparkSession, sf: str) -> DataFrame:
 
 def _dft_sql(columns: str) -> str:
     sums = ", ".join(
-        f"sum(w_{c} * cos(2 * {PI} * ((k * idx) % n) / n)) as re_{c}, sum(w_{c} * sin(2 * {PI} * ((k * idx) % n) / n)) as im_{c}"
+        f"sum(w_{c} * cos(2 * {PI} * ((k * idx) % ks.n) / ks.n)) as re_{c}, sum(w_{c} * sin(2 * {PI} * ((k * idx) % ks.n) / ks.n)) as im_{c}"
         for c in columns.split()
     )
     return f"""ks as (select run, n, dt, unnest(range(0, n // 2 + 1)) as k from (select distinct run, n, dt from tp)),
