@@ -214,10 +214,12 @@ def _paint(
     chunks: DataFrame, slow: Axis, fast: Axis, base: Column, slow_stride: Column, fast_stride: Column,
     extent: "Extent | DataFrame", keys: Sequence[str], nx: int, ny: int, method: str,
 ) -> DataFrame:
-    """Finite (keys, j, i, y, x, v, prio) writes of every chunk.
+    """Writes (keys, j, i, y, x, v, prio) of every chunk; prio is NULL where v is not finite.
 
     A chunk first explodes to the canvas rows it covers, where everything that
-    depends on y is settled, and only then to the points of each row.
+    depends on y is settled, and only then to the points of each row. Values
+    that must not be written lose their paint order instead of being filtered:
+    a filter would be pushed below the lookup and repeat it.
     """
     if method not in ("nearest", "linear"):
         raise ValueError(f"method must be 'nearest' or 'linear', not {method!r}")
@@ -252,14 +254,16 @@ def _paint(
     value = pick(F.col("_y_k"), F.col("_x_k"))
     if linear:
         value = F.when(F.col("_y_hull") & F.col("_x_hull"), bilinear(pick, "y", "x")).otherwise(value)
-    return points.select(*keys, "j", "i", "y", "x", value.alias("v"), "prio").filter(is_finite("v"))
+    return points.select(*keys, "j", "i", "y", "x", value.alias("v"), "prio").withColumn(
+        "prio", F.when(is_finite("v"), F.col("prio"))
+    )
 
 
 def plane_writes(
     chunks: DataFrame, *, nx: int, ny: int, method: str = "linear",
     extent: "Extent | DataFrame | None" = None, keys: Sequence[str] = CANVAS,
 ) -> DataFrame:
-    """All finite canvas writes of 2D chunks."""
+    """All canvas writes of 2D chunks; those with a NULL `prio` do not count."""
     if extent is None:
         extent = plane_extents(chunks, keys)
     flat = clip_chunks(chunks).filter(F.size("ext") == 2)
@@ -273,7 +277,7 @@ def slice_writes(
     chunks: DataFrame, axis: str, at: float, *, nx: int, ny: int, method: str = "linear",
     extent: "Extent | DataFrame | None" = None, keys: Sequence[str] = CANVAS,
 ) -> DataFrame:
-    """All finite canvas writes of a cut through 3D chunks.
+    """All canvas writes of a cut through 3D chunks; those with a NULL `prio` do not count.
 
     The slab is addressed inside the 3D array by base and strides, never copied out.
     """
@@ -306,8 +310,10 @@ def _blank(extent: DataFrame, keys: Sequence[str], nx: int, ny: int) -> DataFram
 
 def flatten(writes: DataFrame, keys: Sequence[str] = CANVAS) -> DataFrame:
     """Last writer wins: the value of the highest paint order at each canvas point."""
-    return writes.groupBy(*keys, "j", "i").agg(
-        F.max_by("v", "prio").alias("v"), F.first("y").alias("y"), F.first("x").alias("x")
+    return (
+        writes.groupBy(*keys, "j", "i")
+        .agg(F.max_by("v", "prio").alias("v"), F.first("y").alias("y"), F.first("x").alias("x"))
+        .filter("v is not null")
     )
 
 
