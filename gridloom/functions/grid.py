@@ -134,32 +134,30 @@ class StoredAxis:
         extrapolate linearly.
         """
         name, at, x = self.name, self._at, F.col(v)
-        n, up = self._c("n"), self._c("up")
+        n, up, b = self._c("n"), self._c("up"), self._c("b")
         u = (x - self._c("first")) / self._c("step")
-        below = F.when(up > 0, F.floor(u)).otherwise(F.ceil(u)).cast("int")
-        df = df.withColumn(f"_{name}_b", below)
-        b = self._c("b")
+        # Each entry may use the ones before it (lateral aliases): one projection per stage.
+        stages = {"b": F.when(up > 0, F.floor(u)).otherwise(F.ceil(u)).cast("int")}
+        keep = []
         if nearest:
-            df = df.withColumns({f"_{name}_l": clip_index(b, n), f"_{name}_h": clip_index(b + up, n)})
             low, high = self._c("l"), self._c("h")
-            closer = F.abs(x - at(low)) < F.abs(x - at(high))
-            df = df.withColumn(f"_{name}_k", F.when(closer, low).otherwise(high)).drop(f"_{name}_l", f"_{name}_h")
+            stages["l"] = clip_index(b, n)
+            stages["h"] = clip_index(b + up, n)
+            stages["k"] = F.when(F.abs(x - at(low)) < F.abs(x - at(high)), low).otherwise(high)
+            keep += ["k"]
         if linear:
             # The division may round a point onto the wrong side of a centre.
-            exact = F.when(x >= at(b + up), b + up).when(x < at(b), b - up).otherwise(b)
-            df = df.withColumn(f"_{name}_e", exact)
-            e = self._c("e")
-            start = F.when(up > 0, F.greatest(F.lit(0), F.least(n - 2, e))).otherwise(
+            e, p0 = self._c("e"), self._c("p0")
+            stages["e"] = F.when(x >= at(b + up), b + up).when(x < at(b), b - up).otherwise(b)
+            stages["p0"] = F.when(up > 0, F.greatest(F.lit(0), F.least(n - 2, e))).otherwise(
                 F.greatest(F.lit(1), F.least(n - 1, e))
             )
-            df = df.withColumn(f"_{name}_p0", start)
-            p0 = self._c("p0")
-            df = df.withColumns({
-                f"_{name}_p1": p0 + up,
-                f"_{name}_w": F.try_divide(x - at(p0), at(p0 + up) - at(p0)),
-                f"_{name}_hull": (x >= self._c("low")) & (x <= self._c("high")) & (n > 1),
-            }).drop(f"_{name}_e")
-        return df.drop(f"_{name}_b")
+            stages["p1"] = p0 + up
+            stages["w"] = F.try_divide(x - at(p0), at(p0 + up) - at(p0))
+            stages["hull"] = (x >= self._c("low")) & (x <= self._c("high")) & (n > 1)
+            keep += ["p0", "p1", "w", "hull"]
+        extra = [c.alias(f"_{name}_{p}") for p, c in stages.items()]
+        return df.select("*", *extra).drop(*[f"_{name}_{p}" for p in stages if p not in keep])
 
 
 def bilinear(pick: Callable[[Column, Column], Column], slow: str, fast: str) -> Column:

@@ -66,11 +66,11 @@ def _by_gaps(wanted: DataFrame, n: int, samples: DataFrame, keys: list[str], tim
         .groupBy(*keys, "_gap")
         .agg(F.min(hit).alias("_own"))
     )
-    later = W.partitionBy(*keys).orderBy("_gap").rowsBetween(W.currentRow, W.unboundedFollowing)
+    later = W.partitionBy(*keys).orderBy(F.desc("_gap")).rowsBetween(W.unboundedPreceding, W.currentRow)
     spots = grid.select(*keys, F.posexplode("_grid").alias("_p", "_t")).withColumn("_gap", F.col("_p") + 1)
     return (
         spots.join(first, [*keys, "_gap"], "left")
-        .withColumn("_hit", F.first("_own", ignorenulls=True).over(later))
+        .withColumn("_hit", F.last("_own", ignorenulls=True).over(later))
         .select(*keys, "_t", "_hit")
     )
 

@@ -145,16 +145,19 @@ class Ordered:
         return self._with(df)
 
     def next_known(self, value: str, out: str) -> "Ordered":
-        """Nearest non-null `value` at or after the row."""
-        frame = self._window.rowsBetween(W.currentRow, W.unboundedFollowing)
-        df = self.df.withColumn(out, F.first(value, ignorenulls=True).over(frame))
+        """Nearest non-null `value` at or after the row.
+
+        Read backwards, so that the frame only grows: frames that reach forward
+        to the end of the partition are recomputed row by row.
+        """
+        backward = W.partitionBy(*self._group).orderBy(F.desc(self.order), *[F.desc(c) for c in self.ties])
+        frame = backward.rowsBetween(W.unboundedPreceding, W.currentRow)
+        df = self.df.withColumn(out, F.last(value, ignorenulls=True).over(frame))
         if self.segments:
             rank = F.when(F.col(value).isNotNull(), self._rank)
+            down = W.partitionBy(*self.keys).orderBy(F.desc("_seg")).rowsBetween(W.unboundedPreceding, -1)
             after = self._borders(_v=F.min_by(F.col(value), rank)).select(
-                *self._group,
-                F.first("_v", ignorenulls=True)
-                .over(self._across.rowsBetween(1, W.unboundedFollowing))
-                .alias("_after"),
+                *self._group, F.last("_v", ignorenulls=True).over(down).alias("_after")
             )
             df = (
                 df.join(F.broadcast(after), self._group, "left")
