@@ -6,7 +6,7 @@ import fnmatch
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.constants import OPENPMD_EXTENSIONS
@@ -206,6 +206,16 @@ def mesh_name(name: Column | str) -> Column:
     return _let(named, lambda p: F.when(p.isNotNull(), _let(_let(with_plane(p), split_up), finish)))
 
 
+def with_mesh(df: DataFrame, name: str = "mesh_name", out: str = "_m", keep_unparsed: bool = False) -> DataFrame:
+    """Add the parsed mesh name as a struct column, by default dropping rows without one.
+
+    Going through explode evaluates the parse once per row however many of its
+    fields are used later.
+    """
+    parsed = F.array_compact(F.array(mesh_name(name)))
+    return df.select("*", (F.explode_outer if keep_unparsed else F.explode)(parsed).alias(out))
+
+
 def component_label(component: Column | str, group: Column | str) -> Column:
     """Variable label: the component unless it is a scalar placeholder, else the group."""
     comp, grp = _col(component), F.coalesce(_col(group), F.lit(""))

@@ -35,16 +35,12 @@ _LEVEL_BITS, _PATCH_BITS, _MESH_BITS, _CHUNK_BITS = 8, 16, 16, 23
 
 def labelled(chunks: DataFrame) -> DataFrame:
     """Parse mesh names: adds group, centering, level, patch, plane_tag, label; drops unparseable rows."""
-    return (
-        chunks.withColumn("_m", names.mesh_name("mesh_name"))
-        .filter(F.col("_m").isNotNull())
-        .withColumn("group", F.col("_m.group"))
-        .withColumn("centering", F.col("_m.centering"))
-        .withColumn("level", F.col("_m.level"))
-        .withColumn("patch", F.col("_m.patch"))
-        .withColumn("plane_tag", F.col("_m.plane.tag"))
-        .withColumn("label", names.component_label("component", "group"))
-        .drop("_m")
+    return names.with_mesh(chunks).select(
+        *chunks.columns,
+        F.col("_m.group").alias("group"), F.col("_m.centering").alias("centering"),
+        F.col("_m.level").alias("level"), F.col("_m.patch").alias("patch"),
+        F.col("_m.plane.tag").alias("plane_tag"),
+        names.component_label("component", "_m.group").alias("label"),
     )
 
 

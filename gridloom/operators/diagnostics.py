@@ -33,7 +33,7 @@ def mesh_report(meshes: DataFrame, keys: Sequence[str], variable: str | None = N
 
     `meshes` has one row per (keys, mesh_name, component).
     """
-    parsed = meshes.withColumn("_m", names.mesh_name("mesh_name"))
+    parsed = names.with_mesh(meshes, keep_unparsed=True)
     per_mesh = parsed.groupBy(*keys, "mesh_name").agg(
         F.max(F.col("_m").isNotNull()).alias("_ok"),
         F.max(names.matches_variable(variable, "mesh_name", "component", "_m")).alias("_hit"),
@@ -55,7 +55,7 @@ def unrecognised(meshes: DataFrame, limit: int | None = 8) -> DataFrame:
 def distinct_tags(meshes: DataFrame, limit: int | None = None) -> DataFrame:
     """Plane tags found in mesh names, with what they mean, in tag order."""
     tags = (
-        meshes.select(names.mesh_name("mesh_name").alias("_m"))
+        names.with_mesh(meshes.select("mesh_name").distinct())
         .filter("_m.plane is not null")
         .select("_m.plane.tag", "_m.plane.plane", "_m.plane.normal_axis", "_m.plane.elevation")
         .distinct()
@@ -65,7 +65,7 @@ def distinct_tags(meshes: DataFrame, limit: int | None = None) -> DataFrame:
 
 def distinct_centerings(meshes: DataFrame) -> DataFrame:
     return (
-        meshes.select(names.mesh_name("mesh_name").alias("_m"))
+        names.with_mesh(meshes.select("mesh_name").distinct())
         .select("_m.centering").filter("centering is not null").distinct()
     )
 

@@ -79,14 +79,14 @@ class Ordered:
         """Zero-based position within the key."""
         df = self.df.withColumn(out, F.row_number().over(self._window).cast("bigint") - 1)
         if self.segments:
-            before = self._borders(_n=F.count(F.lit(1))).select(
+            before = self._borders(_seg_n=F.count(F.lit(1))).select(
                 *self._group,
-                F.sum("_n").over(self._across.rowsBetween(W.unboundedPreceding, -1)).alias("_before"),
+                F.sum("_seg_n").over(self._across.rowsBetween(W.unboundedPreceding, -1)).alias("_seg_before"),
             )
             df = (
                 df.join(F.broadcast(before), self._group, "left")
-                .withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0)))
-                .drop("_before")
+                .withColumn(out, F.col(out) + F.coalesce("_seg_before", F.lit(0)))
+                .drop("_seg_before")
             )
         return self._with(df)
 
@@ -95,9 +95,9 @@ class Ordered:
         if not self.segments:
             return self._with(self.df.withColumn(out, F.count(F.lit(1)).over(W.partitionBy(*self._group))))
         totals = self.df.groupBy(*self.keys).agg(
-            F.count(F.lit(1)).alias("_n"), F.count(F.lit(1)).alias(out)
+            F.count(F.lit(1)).alias("_weight"), F.count(F.lit(1)).alias(out)
         )
-        return self._with(attach(self.df, totals, self.keys))
+        return self._with(attach(self.df, totals, self.keys, weight="_weight"))
 
     def neighbours(self, **cols: str) -> "Ordered":
         """`neighbours(prev_y="lag:y", next_y="lead:y")` adds the adjacent rows' values."""
@@ -108,39 +108,39 @@ class Ordered:
         if self.segments:
             sources = sorted({src for _, src in wanted.values()})
             edge = self._borders(
-                _first=F.min_by(F.struct(*sources), self._rank),
-                _last=F.max_by(F.struct(*sources), self._rank),
-                _lo=F.min(self._rank),
-                _hi=F.max(self._rank),
+                _seg_first=F.min_by(F.struct(*sources), self._rank),
+                _seg_last=F.max_by(F.struct(*sources), self._rank),
+                _seg_lo=F.min(self._rank),
+                _seg_hi=F.max(self._rank),
             ).select(
-                *self._group, "_lo", "_hi",
-                F.lag("_last").over(self._across).alias("_prev"),
-                F.lead("_first").over(self._across).alias("_next"),
+                *self._group, "_seg_lo", "_seg_hi",
+                F.lag("_seg_last").over(self._across).alias("_seg_prev"),
+                F.lead("_seg_first").over(self._across).alias("_seg_next"),
             )
             df = df.join(F.broadcast(edge), self._group, "left")
             for out, (side, src) in wanted.items():
-                border, carry = ("_lo", "_prev") if side == "lag" else ("_hi", "_next")
+                border, carry = ("_seg_lo", "_seg_prev") if side == "lag" else ("_seg_hi", "_seg_next")
                 df = df.withColumn(
                     out,
                     F.when(self._rank == F.col(border), F.col(carry)[src]).otherwise(F.col(out)),
                 )
-            df = df.drop("_lo", "_hi", "_prev", "_next")
+            df = df.drop("_seg_lo", "_seg_hi", "_seg_prev", "_seg_next")
         return self._with(df)
 
     def running_sum(self, value: Column, out: str) -> "Ordered":
         """Inclusive cumulative sum within the key."""
         frame = self._window.rowsBetween(W.unboundedPreceding, W.currentRow)
-        tagged = self.df.withColumn("_v", value)
-        df = tagged.withColumn(out, F.sum("_v").over(frame)).drop("_v")
+        tagged = self.df.withColumn("_seg_v", value)
+        df = tagged.withColumn(out, F.sum("_seg_v").over(frame)).drop("_seg_v")
         if self.segments:
-            before = self._with(tagged)._borders(_s=F.sum("_v")).select(
+            before = self._with(tagged)._borders(_seg_sum=F.sum("_seg_v")).select(
                 *self._group,
-                F.sum("_s").over(self._across.rowsBetween(W.unboundedPreceding, -1)).alias("_before"),
+                F.sum("_seg_sum").over(self._across.rowsBetween(W.unboundedPreceding, -1)).alias("_seg_before"),
             )
             df = (
                 df.join(F.broadcast(before), self._group, "left")
-                .withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0)))
-                .drop("_before")
+                .withColumn(out, F.col(out) + F.coalesce("_seg_before", F.lit(0)))
+                .drop("_seg_before")
             )
         return self._with(df)
 
@@ -156,13 +156,13 @@ class Ordered:
         if self.segments:
             rank = F.when(F.col(value).isNotNull(), self._rank)
             down = W.partitionBy(*self.keys).orderBy(F.desc("_seg")).rowsBetween(W.unboundedPreceding, -1)
-            after = self._borders(_v=F.min_by(F.col(value), rank)).select(
-                *self._group, F.last("_v", ignorenulls=True).over(down).alias("_after")
+            after = self._borders(_seg_v=F.min_by(F.col(value), rank)).select(
+                *self._group, F.last("_seg_v", ignorenulls=True).over(down).alias("_seg_after")
             )
             df = (
                 df.join(F.broadcast(after), self._group, "left")
-                .withColumn(out, F.coalesce(F.col(out), F.col("_after")))
-                .drop("_after")
+                .withColumn(out, F.coalesce(F.col(out), F.col("_seg_after")))
+                .drop("_seg_after")
             )
         return self._with(df)
 

@@ -347,7 +347,7 @@ def cubic_spline(
         + [T.StructField("k", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]
     )
 
-    def solve(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         b = int(key[-1])
         pdf = pdf.sort_values("_i")
         i, n = pdf["_i"].to_numpy(), int(pdf["_n"].iat[0])

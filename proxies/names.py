@@ -62,7 +62,7 @@ from s where regexp_matches(s, {RX})""")
 def plane_tag_parse(spark: SparkSession, sf: str) -> DataFrame:
     path = F.concat(F.lit("/data/xy_z_pos9/sim.x_"), F.col("tag0"))
     return (
-        mesh_names(spark, sf).select("id", names.plane_tag(path).alias("t"), "tag0")
+        mesh_names(spark, sf).select("id", F.explode(F.array_compact(F.array(names.plane_tag(path)))).alias("t"), "tag0")
         .filter(F.col("tag0") != "volume")
         .select(
             "id", "t.tag", "t.plane", "t.normal_axis", "t.sign", F.round("t.elevation", 9).alias("elevation"),
@@ -85,7 +85,7 @@ PARSED_SQL = f"""{NAMES_SQL}, ps as (select *,
 @query(f"""with {PARSED_SQL} select id, grp0 as "group", centering, level, patch, tag from pg""")
 def mesh_name_parse(spark: SparkSession, sf: str) -> DataFrame:
     return (
-        mesh_names(spark, sf).select("id", names.mesh_name("mesh_name").alias("m")).filter("m is not null")
+        names.with_mesh(mesh_names(spark, sf), out="m")
         .select("id", "m.group", "m.centering", "m.level", "m.patch", F.col("m.plane.tag").alias("tag"))
     )
 
@@ -93,7 +93,7 @@ def mesh_name_parse(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""with {PARSED_SQL} select id, component, case when component = 'vx' then component else grp0 end as label from pg""")
 def component_label(spark: SparkSession, sf: str) -> DataFrame:
     return (
-        mesh_names(spark, sf).withColumn("m", names.mesh_name("mesh_name")).filter("m is not null")
+        names.with_mesh(mesh_names(spark, sf), out="m")
         .select("id", "component", names.component_label("component", "m.group").alias("label"))
     )
 
@@ -102,7 +102,7 @@ def component_label(spark: SparkSession, sf: str) -> DataFrame:
 select id, contains(m, 'x_r') or contains(k, 'x_r') as by_group, contains(m, 'vx') or contains(k, 'vx') as by_component,
   contains(m, 'xz_y') or contains(k, 'xz_y') as by_tag from c""")
 def variable_match(spark: SparkSession, sf: str) -> DataFrame:
-    rows = mesh_names(spark, sf).withColumn("m", names.mesh_name("mesh_name"))
+    rows = names.with_mesh(mesh_names(spark, sf), out="m", keep_unparsed=True)
 
     def match(pattern: str):
         return names.matches_variable(pattern, "mesh_name", "component", "m")
