@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.scalars import characteristic_strain, spectral_density
 from gridloom.operators import spectral
+from gridloom.plans import waves
 from proxies import tables as tb
 from proxies.registry import query
 
@@ -127,3 +128,67 @@ def spectrum_spline(spark: SparkSession, sf: str) -> DataFrame:
     """Not expressible as plain SQL (tridiagonal solve); tests compare it with a dense numpy solve."""
     spec, _ = _months(spark, sf)
     return spectral.cubic_spline(spec, ["run"], "f", "amp", 1.0, 80.0, 0.01)
+
+
+# psi4 modes on an even grid: the wave as (2, 2) and a scaled, reversed copy as (3, 2).
+MODES_SQL = f"""{tb.WAVES},
+ md as (select run, 2 as l, 2 as m, rn, re, im from wv union all
+        select run, 3, 2, rn, im / 2, re / 2 from wv),
+ nn as (select run, count(*) as n from wv group by run)"""
+CUTOFF = 40.0
+
+
+def _modes(spark: SparkSession, sf: str) -> DataFrame:
+    w = tb.waves(spark, sf).withColumn("t", F.col("rn").cast("double"))
+    one = w.select("run", F.lit(2).alias("l"), F.lit(2).alias("m"), "t", "re", "im")
+    two = w.select("run", F.lit(3).alias("l"), F.lit(2).alias("m"), "t", (F.col("im") / 2).alias("re"), (F.col("re") / 2).alias("im"))
+    return one.unionByName(two)
+
+
+def _ffi_sql(order: int, modes: str = "md") -> str:
+    """it: time integrals of the modes by a plain double sum, forward and back."""
+    arg = "2 * pi() * ((k * {0}) % n) / n"
+    w = f"greatest(abs(2 * pi() * kk / n), 2 * pi() / {CUTOFF}::double)"
+    if order == 2:
+        re, im = f"-xr / ({w} * {w})", f"-xi / ({w} * {w})"
+    else:
+        re, im = f"xi * sign(kk) / {w}", f"-xr * sign(kk) / {w}"
+    c, s = f"cos({arg.format('rn')})", f"sin({arg.format('rn')})"
+    ci, si = f"cos({arg.format('j')})", f"sin({arg.format('j')})"
+    return f"""kn as (select run, n, unnest(range(n)) as k from nn),
+ fx as (select a.run, l, m, n, k, sum(re * {c} + im * {s}) as xr, sum(im * {c} - re * {s}) as xi
+        from {modes} a join kn on kn.run = a.run group by all),
+ fk as (select *, case when 2 * k < n then k else k - n end as kk from fx),
+ fy as (select run, l, m, n, k, {re} as yr, {im} as yi from fk),
+ jn as (select run, unnest(range(n)) as j from nn),
+ it as (select fy.run, l, m, j, sum((yr * {ci} - yi * {si}) / n) as re, sum((yi * {ci} + yr * {si}) / n) as im
+        from fy join jn on jn.run = fy.run group by all)"""
+
+
+@query(f"""with {MODES_SQL}, d1 as (select * from md where l = 2), {_ffi_sql(2, 'd1')}
+select it.run, l, m, j::double as t, round(re * 500, 3) as re, round(im * 500, 3) as im from it
+join nn on nn.run = it.run where j >= {CUTOFF} and j <= n - 1 - {CUTOFF}""")
+def gw_strain(spark: SparkSession, sf: str) -> DataFrame:
+    h = waves.strain(_modes(spark, sf).filter("l = 2"), 500.0, CUTOFF)
+    return h.select("run", "l", "m", F.round("t", 6).alias("t"), F.round("re", 3).alias("re"), F.round("im", 3).alias("im"))
+
+
+@query(f"""with {MODES_SQL}, {_ffi_sql(1)},
+ fl as (select run, j, sum(re * re + im * im) as e from it group by all),
+ lg as (select *, lag(e) over (partition by run order by j) as pe from fl)
+select run, j::double as t, round(sum(coalesce((e + pe) / 2, 0)) over (partition by run order by j rows unbounded preceding)
+  * 0.25 / (16 * pi()) / 1e3::double, 6) as energy from lg""")
+def gw_radiated_energy(spark: SparkSession, sf: str) -> DataFrame:
+    out = waves.radiated(_modes(spark, sf), 0.5, CUTOFF)
+    return out.select("run", F.round("t", 6).alias("t"), F.round(F.col("energy") / 1e3, 6).alias("energy"))
+
+
+_Y = {(l, m): waves.spin_harmonic(l, m, 0.7, 0.3) for l, m in ((2, 2), (3, 2))}
+
+
+@query(f"""with {MODES_SQL}, y(l, m, yr, yi) as (values {", ".join(f"({l}, {m}, '{v.real!r}'::double, '{v.imag!r}'::double)" for (l, m), v in _Y.items())})
+select run, rn::double as t, round(sum(re * yr - im * yi), 6) as re, round(sum(re * yi + im * yr), 6) as im
+from md join y on y.l = md.l and y.m = md.m group by all""")
+def gw_total_strain(spark: SparkSession, sf: str) -> DataFrame:
+    out = waves.total_strain(_modes(spark, sf), 0.7, 0.3)
+    return out.select("run", "t", F.round("re", 6).alias("re"), F.round("im", 6).alias("im"))
