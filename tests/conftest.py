@@ -5,7 +5,7 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
+os.environ["PYTHONPATH"] = os.path.join(ROOT, "tests", "fakes") + os.pathsep + ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
