@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gridloom.operators.skew import Segments, attach
+from gridloom.operators.skew import KeyStats, Segments, attach
 
 
 @dataclass(frozen=True)
@@ -28,6 +28,7 @@ class Ordered:
     order: str
     ties: tuple[str, ...]
     segments: Segments
+    stats: KeyStats
 
     @classmethod
     def of(
@@ -36,10 +37,12 @@ class Ordered:
         keys: Sequence[str],
         order: str,
         ties: Sequence[str] = (),
-        segments: Segments | None = None,
+        stats: KeyStats | None = None,
     ) -> "Ordered":
-        segments = Segments.plan(df, keys, order) if segments is None else segments
-        return cls(segments.tag(df), tuple(keys), order, tuple(ties), segments)
+        """`stats` of a table with the same keys saves counting them again."""
+        stats = stats or KeyStats.of(df, keys)
+        segments = Segments.plan(df, keys, order, stats)
+        return cls(segments.tag(df), tuple(keys), order, tuple(ties), segments, stats)
 
     @property
     def _group(self) -> list[str]:
@@ -97,7 +100,7 @@ class Ordered:
         totals = self.df.groupBy(*self.keys).agg(
             F.count(F.lit(1)).alias("_weight"), F.count(F.lit(1)).alias(out)
         )
-        return self._with(attach(self.df, totals, self.keys, weight="_weight"))
+        return self._with(attach(self.df, totals, self.keys, weight="_weight", stats=self.stats))
 
     def neighbours(self, **cols: str) -> "Ordered":
         """`neighbours(prev_y="lag:y", next_y="lead:y")` adds the adjacent rows' values."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridloom.constants import MILLIS
 from gridloom.functions.scalars import finite_or_null, since_merger
 from gridloom.operators.ordered import Ordered
-from gridloom.operators.skew import attach
+from gridloom.operators.skew import KeyStats, attach
 
 
 def peak_rank(amp: Column, order: Column, digits: int | None = 15) -> Column:
@@ -69,11 +69,12 @@ def event_window(
     A start before the first sample is clamped to it. `stop` names a column
     holding an exclusive end time per row's run.
     """
-    indexed = Ordered.of(df, keys, t).index("idx").result()
+    stats = KeyStats.of(df, keys)
+    indexed = Ordered.of(df, keys, t, stats=stats).index("idx").result()
     at = indexed.groupBy(*keys).agg(
         F.max_by("idx", peak_rank(F.col(amp), F.col("idx"))).alias("idx_merge"), F.count(F.lit(1)).alias("_n")
     )
-    rows = attach(indexed, at, keys, how="inner").filter(
+    rows = attach(indexed, at, keys, how="inner", stats=stats).filter(
         F.col("idx") >= F.greatest(F.col("idx_merge") - before, F.lit(0))
     )
     return rows if stop is None else rows.filter(F.col(t) < F.col(stop))
@@ -100,12 +101,14 @@ def normalise_by_first(df: DataFrame, keys: Sequence[str], t: str, value: str, o
     return attach(df, firsts, keys).withColumn(out, F.try_divide(F.col(value), F.col("_y0"))).drop("_y0")
 
 
-def remove_mean(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+def remove_mean(
+    df: DataFrame, keys: Sequence[str], values: Sequence[str], stats: KeyStats | None = None
+) -> DataFrame:
     """Subtract each run's mean in place."""
     means = df.groupBy(*keys).agg(
         *[F.avg(v).alias(f"_mean_{v}") for v in values], F.count(F.lit(1)).alias("_n")
     )
-    out = attach(df, means, keys)
+    out = attach(df, means, keys, stats=stats)
     return out.withColumns({v: F.col(v) - F.col(f"_mean_{v}") for v in values}).drop(
         *[f"_mean_{v}" for v in values]
     )
@@ -127,9 +130,11 @@ def reduce_grid(cells: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return cells.groupBy(*keys).agg(F.max(v).alias("v_max"), F.min(v).alias("v_min"))
 
 
-def cumulative_integral(df: DataFrame, keys: Sequence[str], t: str, flux: str, out: str) -> DataFrame:
+def cumulative_integral(
+    df: DataFrame, keys: Sequence[str], t: str, flux: str, out: str, stats: KeyStats | None = None
+) -> DataFrame:
     """Running trapezoid integral of `flux`, 0 at the run's first sample."""
-    o = Ordered.of(df, keys, t).neighbours(_pt=f"lag:{t}", _pf=f"lag:{flux}")
+    o = Ordered.of(df, keys, t, stats=stats).neighbours(_pt=f"lag:{t}", _pf=f"lag:{flux}")
     piece = F.coalesce((F.col(t) - F.col("_pt")) * (F.col(flux) + F.col("_pf")) / 2, F.lit(0.0))
     return o.running_sum(piece, out).result().drop("_pt", "_pf")
 

@@ -1,10 +1,10 @@
 """Hot-key detection and the two joins/orderings that must survive it.
 
 A run, variable or frame may own a large share of all rows, so nothing here
-sends one key's rows to one task. `hot_keys` counts rows per key with map-side
-combining and returns only keys above `gridloom.hot.rows`, at most MAX_HOT of
-them; a key that misses the list owns less than 1/MAX_HOT of the rows. The list
-steers routing only: results do not depend on what is in it.
+sends one key's rows to one task. `KeyStats` counts rows per key with map-side
+combining; keys above `gridloom.hot.rows` are hot, at most MAX_HOT of them, and
+a key that misses the list owns less than 1/MAX_HOT of the rows. The list steers
+routing only: results do not depend on what is in it.
 """
 
 from __future__ import annotations
@@ -42,23 +42,46 @@ def is_small(df: DataFrame, limit: int | None = None) -> bool:
     return count_up_to(df, limit) <= limit
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[Row]:
-    """Keys owning more than `gridloom.hot.rows` rows, largest first, with their counts `_n`."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_row_limit(df))
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT)
-        .collect()
-    )
+@dataclass(frozen=True)
+class KeyStats:
+    """What routing needs to know about the keys of a table, from one scan of the key columns.
+
+    `top` holds the heaviest keys with their row counts `_n`, at most MAX_HOT + 1
+    rows. Tables derived from the same source without adding keys or rows may
+    share its stats.
+    """
+
+    top: tuple[Row, ...]
+    limit: int
+
+    @classmethod
+    def of(cls, df: DataFrame, keys: Sequence[str]) -> "KeyStats":
+        top = (
+            df.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .orderBy(F.desc("_n"))
+            .limit(MAX_HOT + 1)
+            .collect()
+        )
+        return cls(tuple(top), hot_row_limit(df))
+
+    @property
+    def few(self) -> bool:
+        """All keys are in `top`, so one row per key is certain to be small."""
+        return len(self.top) <= MAX_HOT
+
+    @property
+    def longest(self) -> int:
+        return self.top[0]["_n"] if self.top else 0
+
+    @property
+    def hot(self) -> tuple[Row, ...]:
+        return tuple(r for r in self.top[:MAX_HOT] if r["_n"] > self.limit)
 
 
 def _key_frame(df: DataFrame, keys: Sequence[str], hot: Sequence[Row]) -> DataFrame:
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_n", T.LongType())])
-    return df.sparkSession.createDataFrame(
-        [tuple(r[k] for k in keys) + (r["_n"],) for r in hot], schema
-    )
+    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) + (r["_n"],) for r in hot], schema)
 
 
 def attach(
@@ -69,11 +92,12 @@ def attach(
     weight: str = "_n",
     many_keys: bool = False,
     how: str = "left",
+    stats: KeyStats | None = None,
 ) -> DataFrame:
     """Join a one-row-per-key aggregate of `rows` back onto `rows`.
 
     `table[weight]` is the number of rows behind each key and is dropped. When
-    a scan of the key columns finds few enough keys the table is broadcast.
+    a scan of the key columns finds at most MAX_HOT keys the table is broadcast.
     Otherwise (or at once, with `many_keys`) the heaviest MAX_HOT keys above the
     hot limit are broadcast, and all other rows go through a plain equi-join in
     which the rows already served are spread over dead-end buckets rather than
@@ -82,7 +106,7 @@ def attach(
     """
     keys = list(keys)
     values = [c for c in table.columns if c not in keys and c != weight]
-    if not many_keys and is_small(rows.select(*keys).distinct()):
+    if not many_keys and (stats or KeyStats.of(rows, keys)).few:
         return rows.join(F.broadcast(table.drop(weight)), keys, how)
 
     packed = table.select(*keys, weight, F.struct(*values).alias("_cold"))
@@ -118,9 +142,9 @@ class Segments:
     edges: tuple[tuple[tuple, tuple], ...]
 
     @classmethod
-    def plan(cls, df: DataFrame, keys: Sequence[str], order: str) -> "Segments":
+    def plan(cls, df: DataFrame, keys: Sequence[str], order: str, stats: KeyStats | None = None) -> "Segments":
         keys = tuple(keys)
-        hot = hot_keys(df, keys)
+        hot = (stats or KeyStats.of(df, keys)).hot
         if not hot:
             return cls(keys, order, ())
         total = sum(r["_n"] for r in hot)

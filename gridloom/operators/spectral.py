@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.operators.ordered import Ordered
-from gridloom.operators.series import peak_rank, remove_mean
-from gridloom.operators.skew import attach
+from gridloom.operators.series import peak_rank
+from gridloom.operators.skew import KeyStats, attach
 
 FFT_GROUP = 1 << 18
 SPLINE_BLOCK = 1 << 16
@@ -25,22 +25,26 @@ def raw_phase(re: Column, im: Column) -> Column:
     return F.when(re == 0, F.signum(-im) * F.lit(math.pi / 2)).otherwise(F.atan(F.try_divide(-im, re)))
 
 
-def unwrap_phase(df: DataFrame, keys: Sequence[str], t: str, re: str, im: str, out: str = "phase") -> DataFrame:
+def unwrap_phase(
+    df: DataFrame, keys: Sequence[str], t: str, re: str, im: str, out: str = "phase", stats: KeyStats | None = None
+) -> DataFrame:
     """Phase made non-decreasing by adding pi at each drop.
 
     The raw phase spans at most pi, so the number of half turns is simply the
     count of drops so far.
     """
     raw = df.withColumn("_raw", raw_phase(F.col(re), F.col(im)))
-    o = Ordered.of(raw, keys, t).neighbours(_prev="lag:_raw")
+    o = Ordered.of(raw, keys, t, stats=stats).neighbours(_prev="lag:_raw")
     drop = F.when(F.col("_raw") < F.col("_prev"), 1).otherwise(0)
     o = o.running_sum(drop, "_turns")
     return o.result().withColumn(out, F.col("_raw") + F.lit(math.pi) * F.col("_turns")).drop("_raw", "_prev", "_turns")
 
 
-def instantaneous_frequency(df: DataFrame, keys: Sequence[str], t: str, phase: str, out: str = "f_gw") -> DataFrame:
+def instantaneous_frequency(
+    df: DataFrame, keys: Sequence[str], t: str, phase: str, out: str = "f_gw", stats: KeyStats | None = None
+) -> DataFrame:
     """Central difference of the phase over 2 pi; 0 at both ends of the run."""
-    o = Ordered.of(df, keys, t).neighbours(
+    o = Ordered.of(df, keys, t, stats=stats).neighbours(
         _p0=f"lag:{phase}", _p1=f"lead:{phase}", _t0=f"lag:{t}", _t1=f"lead:{t}"
     )
     slope = F.try_divide(F.col("_p1") - F.col("_p0"), F.col("_t1") - F.col("_t0")) / (2 * math.pi)
@@ -60,16 +64,18 @@ def tukey_weight(i: Column, n: Column, alpha: float) -> Column:
 
 
 def prepare_series(
-    df: DataFrame, keys: Sequence[str], t: str, values: Sequence[str], alpha: float | None
+    df: DataFrame, keys: Sequence[str], t: str, values: Sequence[str], alpha: float | None,
+    stats: KeyStats | None = None,
 ) -> DataFrame:
     """Mean removal and taper, plus sample index `idx`, count `n` and mean spacing `dt`."""
-    rows = remove_mean(df, keys, values)
-    rows = Ordered.of(rows, keys, t).index("idx").result()
-    stats = rows.groupBy(*keys).agg(
+    stats = stats or KeyStats.of(df, keys)
+    shape = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.count(F.lit(1)).alias("n"),
         F.try_divide(F.max(t) - F.min(t), F.count(F.lit(1)) - 1).alias("dt"),
+        *[F.avg(v).alias(f"_mean_{v}") for v in values],
     )
-    rows = attach(rows, stats, keys)
+    rows = attach(Ordered.of(df, keys, t, stats=stats).index("idx").result(), shape, keys, stats=stats)
+    rows = rows.withColumns({v: F.col(v) - F.col(f"_mean_{v}") for v in values}).drop(*[f"_mean_{v}" for v in values])
     if alpha is None:
         return rows
     w = tukey_weight(F.col("idx"), F.col("n"), alpha)
@@ -89,7 +95,7 @@ def _key_schema(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
 
 def fft(
     df: DataFrame, keys: Sequence[str], idx: str, n: str, re: str, im: str | None = None, *,
-    inverse: bool = False, group: int = FFT_GROUP,
+    inverse: bool = False, group: int = FFT_GROUP, longest: int | None = None,
 ) -> DataFrame:
     """Discrete Fourier transform of every key's n samples, as rows (keys, n, k, re, im).
 
@@ -99,13 +105,16 @@ def fft(
     `group` values, so no task ever holds a key's full series once n > group.
     Lengths without a divisor that brings both steps under the limit (large
     primes) are turned into a padded convolution first (`_chirp_fft`).
+
+    `longest` is an upper bound of n; without it the input is scanned for it.
     """
     src = df.select(
         *keys, F.col(n).cast("bigint").alias("_n"), F.col(idx).cast("bigint").alias("_s"),
         F.col(re).cast("double").alias("_re"),
         (F.col(im).cast("double") if im else F.lit(0.0)).alias("_im"),
     )
-    longest = src.agg(F.max("_n")).first()[0] or 0
+    if longest is None:
+        longest = src.agg(F.max("_n")).first()[0] or 0
     if longest <= group:
         out = _split_fft(src.withColumn("_a", F.lit(1).cast("bigint")), keys, inverse, group, steps=(2,))
     else:
@@ -234,24 +243,27 @@ def _chirp_fft(rows: DataFrame, keys: Sequence[str], inverse: bool, group: int)
     )
 
 
-def amplitude_spectrum(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def amplitude_spectrum(df: DataFrame, keys: Sequence[str], value: str, longest: int | None = None) -> DataFrame:
     """One-sided |DFT| * dt of a prepared real series: rows (keys, k, f, amp) for k = 0..n/2."""
-    spec = fft(df, [*keys, "dt"], "idx", "n", value).filter(F.col("k") <= F.expr("n div 2"))
+    spec = fft(df, [*keys, "dt"], "idx", "n", value, longest=longest).filter(F.col("k") <= F.expr("n div 2"))
     return spec.select(
         *keys, "k", F.try_divide(F.col("k"), F.col("n") * F.col("dt")).alias("f"),
         (F.hypot("re", "im") * F.col("dt")).alias("amp"),
     )
 
 
-def polarised_spectrum(df: DataFrame, keys: Sequence[str], t: str, plus: str, cross: str, alpha: float) -> DataFrame:
+def polarised_spectrum(
+    df: DataFrame, keys: Sequence[str], t: str, plus: str, cross: str, alpha: float, stats: KeyStats | None = None
+) -> DataFrame:
     """Mean-removed, tapered, polarisation-averaged amplitude: rows (keys, k, f, amp).
 
     Both polarisations ride through one transform as real and imaginary part;
     their spectra are separated by conjugate symmetry, |P|^2 + |C|^2 being
     (|Z_k|^2 + |Z_-k|^2) / 2.
     """
-    ready = prepare_series(df, keys, t, [plus, cross], alpha)
-    spec = fft(ready, [*keys, "dt"], "idx", "n", plus, cross)
+    stats = stats or KeyStats.of(df, keys)
+    ready = prepare_series(df, keys, t, [plus, cross], alpha, stats)
+    spec = fft(ready, [*keys, "dt"], "idx", "n", plus, cross, longest=stats.longest)
     folded = spec.withColumn("k", F.least(F.col("k"), F.pmod(F.col("n") - F.col("k"), F.col("n"))))
     power = F.col("re") * F.col("re") + F.col("im") * F.col("im")
     return (

@@ -19,24 +19,27 @@ from pyspark.sql import functions as F
 
 from gridloom.operators import series, spectral
 from gridloom.operators.ordered import Ordered
-from gridloom.operators.skew import attach
+from gridloom.operators.skew import KeyStats, attach
 
 MODE = ("run", "l", "m")
 
 
-def integrate_fixed_frequency(modes: DataFrame, cutoff: float, order: int = 2, keys: Sequence[str] = MODE) -> DataFrame:
+def integrate_fixed_frequency(
+    modes: DataFrame, cutoff: float, order: int = 2, keys: Sequence[str] = MODE, stats: KeyStats | None = None
+) -> DataFrame:
     """`order` time integrals of complex series (keys, t, re, im) with cutoff period `cutoff`."""
     if order not in (1, 2):
         raise ValueError("order must be 1 or 2")
     keys = list(keys)
-    rows = Ordered.of(modes.select(*keys, "t", "re", "im"), keys, "t").index("idx").result()
-    grid = rows.groupBy(*keys).agg(
+    stats = stats or KeyStats.of(modes, keys)
+    rows = Ordered.of(modes.select(*keys, "t", "re", "im"), keys, "t", stats=stats).index("idx").result()
+    grid = modes.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_w"), F.count(F.lit(1)).alias("n"), F.min("t").alias("t0"),
         F.try_divide(F.max("t") - F.min("t"), F.count(F.lit(1)) - 1).alias("dt"),
     )
-    rows = attach(rows, grid, keys, weight="_w")
+    rows = attach(rows, grid, keys, weight="_w", stats=stats)
     full = [*keys, "t0", "dt"]
-    spec = spectral.fft(rows, full, "idx", "n", "re", "im")
+    spec = spectral.fft(rows, full, "idx", "n", "re", "im", longest=stats.longest)
     turn = F.when(2 * F.col("k") < F.col("n"), F.col("k")).otherwise(F.col("k") - F.col("n"))
     omega = F.lit(2 * math.pi) * turn / (F.col("n") * F.col("dt"))
     floor = F.greatest(F.abs(omega), F.lit(2 * math.pi / cutoff))
@@ -46,21 +49,25 @@ def integrate_fixed_frequency(modes: DataFrame, cutoff: float, order: int = 2, k
         # Division by i omega; the zero frequency has no sign and integrates to nothing.
         re, im = F.col("im") * F.signum(omega) / floor, -F.col("re") * F.signum(omega) / floor
     back = spectral.fft(
-        spec.select(*full, "n", "k", re.alias("re"), im.alias("im")), full, "k", "n", "re", "im", inverse=True
+        spec.select(*full, "n", "k", re.alias("re"), im.alias("im")), full, "k", "n", "re", "im",
+        inverse=True, longest=stats.longest,
     )
     return back.select(*keys, (F.col("t0") + F.col("k") * F.col("dt")).alias("t"), "re", "im")
 
 
-def strain(modes: DataFrame, radius: float, cutoff: float, trim: bool = True) -> DataFrame:
+def strain(
+    modes: DataFrame, radius: float, cutoff: float, trim: bool = True, stats: KeyStats | None = None
+) -> DataFrame:
     """r * h_lm from psi4_lm; `trim` removes one cutoff period at both ends of each mode."""
-    h = integrate_fixed_frequency(modes, cutoff).withColumns({
+    stats = stats or KeyStats.of(modes, MODE)
+    h = integrate_fixed_frequency(modes, cutoff, stats=stats).withColumns({
         "re": F.col("re") * F.lit(float(radius)), "im": F.col("im") * F.lit(float(radius)),
     })
     if not trim:
         return h
     ends = modes.groupBy(*MODE).agg(F.count(F.lit(1)).alias("_n"), F.min("t").alias("_a"), F.max("t").alias("_b"))
     return (
-        attach(h, ends, list(MODE))
+        attach(h, ends, list(MODE), stats=stats)
         .filter((F.col("t") >= F.col("_a") + cutoff) & (F.col("t") <= F.col("_b") - cutoff))
         .drop("_a", "_b")
     )
@@ -106,8 +113,9 @@ def _d(l: Column, m: Column) -> Column:
 def radiated(modes: DataFrame, radius: float, cutoff: float, l_max: int = 4) -> DataFrame:
     """Cumulative radiated energy, J_z and P_z per run: rows (run, t, energy, j_z, p_z)."""
     used = modes.filter(F.col("l") <= l_max)
-    one = integrate_fixed_frequency(used, cutoff, 1)
-    two = integrate_fixed_frequency(used, cutoff, 2).select(*MODE, "t", F.col("re").alias("re2"), F.col("im").alias("im2"))
+    stats = KeyStats.of(used, MODE)
+    one = integrate_fixed_frequency(used, cutoff, 1, stats=stats)
+    two = integrate_fixed_frequency(used, cutoff, 2, stats=stats).select(*MODE, "t", F.col("re").alias("re2"), F.col("im").alias("im2"))
     rows = one.join(two, [*MODE, "t"])
     # Neighbours in l at the same m and time: at most l_max rows per group.
     near = W.partitionBy("run", "m", "t").orderBy("l")
@@ -127,7 +135,7 @@ def radiated(modes: DataFrame, radius: float, cutoff: float, l_max: int = 4) ->
         (F.sum(m * (F.col("im2") * F.col("re") - F.col("re2") * F.col("im"))) * unit).alias("_j"),
         (F.sum(F.col("re") * mix_re + F.col("im") * mix_im) * unit).alias("_p"),
     )
-    o = Ordered.of(flux, ["run"], "t").neighbours(
+    o = Ordered.of(flux, ["run"], "t", stats=KeyStats.of(used, ["run"])).neighbours(
         _pt="lag:t", _pe="lag:_e", _pj="lag:_j", _pp="lag:_p"
     )
     for now, before, out in (("_e", "_pe", "energy"), ("_j", "_pj", "j_z"), ("_p", "_pp", "p_z")):
@@ -141,15 +149,16 @@ def analyse(modes: DataFrame, radius: float, cutoff: float, *, alpha: float = 0.
     from gridloom.functions.scalars import modulus, spectral_density
 
     h = strain(modes, radius, cutoff)
+    stats = KeyStats.of(modes.filter("l = 2 and m = 2"), ["run"])
     full = total_strain(h, theta, phi).withColumn("amp", modulus("re", "im"))
     h22 = h.filter("l = 2 and m = 2").drop("l", "m")
-    phase = spectral.unwrap_phase(h22, ["run"], "t", "re", "im")
-    spectrum = spectral.polarised_spectrum(h22, ["run"], "t", "re", "im", alpha)
+    phase = spectral.unwrap_phase(h22, ["run"], "t", "re", "im", stats=stats)
+    spectrum = spectral.polarised_spectrum(h22, ["run"], "t", "re", "im", alpha, stats)
     return {
         "strain": h,
         "total_strain": full,
         "merger": series.merger(full, ["run"], "t", "amp").drop("_n"),
-        "frequency": spectral.instantaneous_frequency(phase, ["run"], "t", "phase"),
+        "frequency": spectral.instantaneous_frequency(phase, ["run"], "t", "phase", stats=stats),
         "spectrum": spectrum,
         "peak": spectral.spectral_peak(spectrum, ["run"], "f", spectral_density("amp", "f")),
     }

@@ -22,8 +22,12 @@ def spark():
 @pytest.fixture()
 def hot(spark):
     """Everything above 40 rows per key counts as hot, and nothing is small enough to broadcast whole."""
+    from gridloom.operators import skew
+
     spark.conf.set("gridloom.hot.rows", "40")
     spark.conf.set("gridloom.broadcast.rows", "0")
+    few, skew.KeyStats.few = skew.KeyStats.few, False
     yield
+    skew.KeyStats.few = few
     spark.conf.unset("gridloom.hot.rows")
     spark.conf.unset("gridloom.broadcast.rows")
