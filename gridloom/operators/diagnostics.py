@@ -73,3 +73,8 @@ def distinct_centerings(meshes: DataFrame) -> DataFrame:
 def mesh_groups(chunks: DataFrame, keys: Sequence[str] = ("series", "iteration")) -> DataFrame:
     """Distinct (label, level, patch, mesh_name, component), the grouping compositing follows."""
     return labelled(chunks).select(*keys, "label", "level", "patch", "mesh_name", "component").distinct()
+
+
+def same_rows(a: DataFrame, b: DataFrame) -> bool:
+    """True when two tables hold the same rows, duplicates counted."""
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridloom.constants import MILLIS
 from gridloom.functions.scalars import finite_or_null, since_merger
 from gridloom.operators.ordered import Ordered
-from gridloom.operators.skew import KeyStats, attach
+from gridloom.operators.skew import KeyStats, attach, heavy_hashes
 
 
 def peak_rank(amp: Column, order: Column, digits: int | None = 15) -> Column:
@@ -18,19 +19,27 @@ def peak_rank(amp: Column, order: Column, digits: int | None = 15) -> Column:
     return F.struct(F.round(amp, digits) if digits is not None else amp, order)
 
 
-def merger(df: DataFrame, keys: Sequence[str], t: str, amp: str, order: str | None = None) -> DataFrame:
+def merger(
+    df: DataFrame, keys: Sequence[str], t: str, amp: str, order: str | None = None, stats: KeyStats | None = None
+) -> DataFrame:
     """Per run: time and amplitude of the largest amplitude, run end and sample count.
 
-    Equal peaks (to 15 digits) resolve to the last. One map-side combining aggregate.
+    Equal peaks (to 15 digits) resolve to the last. The exact maximum comes from
+    a plain hash aggregate; rounding and tie-breaking then only see the samples
+    next to it. With too many runs to broadcast their maxima, one aggregate does
+    both at the price of a local sort.
     """
-    rank = peak_rank(F.col(amp), F.col(order or t))
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(t, amp), rank).alias("_m"), F.max(t).alias("t_end"), F.count(F.lit(1)).alias("_n"))
-        .select(
-            *keys, F.col(f"_m.{t}").alias("t_merge"), F.col(f"_m.{amp}").alias("amp_merge"), "t_end", "_n"
-        )
-    )
+    order = order or t
+    stats = stats or KeyStats.of(df, keys)
+    rank = peak_rank(F.col(amp), F.col(order))
+    peak = F.max_by(F.struct(t, amp), rank).alias("_m")
+    tops = df.groupBy(*keys).agg(F.max(amp).alias("_top"), F.max(t).alias("t_end"), F.count(F.lit(1)).alias("_n"))
+    if stats.few:
+        near = df.join(F.broadcast(tops.select(*keys, "_top")), list(keys)).filter(F.col(amp) >= F.col("_top") - 1e-14)
+        found = tops.join(near.groupBy(*keys).agg(peak), list(keys))
+    else:
+        found = df.groupBy(*keys).agg(peak, F.max(t).alias("t_end"), F.count(F.lit(1)).alias("_n"))
+    return found.select(*keys, F.col(f"_m.{t}").alias("t_merge"), F.col(f"_m.{amp}").alias("amp_merge"), "t_end", "_n")
 
 
 def common_end(mergers: DataFrame) -> DataFrame:
@@ -45,11 +54,12 @@ def align(df: DataFrame, keys: Sequence[str], t: str, amp: str, *, from_merger:
     first sample at or past t_common + t_merge, and a run whose last sample falls
     short of that (by rounding) has no end index and yields no rows.
     """
-    runs = merger(df, keys, t, amp)
+    stats = KeyStats.of(df, keys)
+    runs = merger(df, keys, t, amp, stats=stats)
     ends = runs.withColumn("_bound", common_end(runs).scalar() + F.col("t_merge")).filter(
         F.col("t_end") >= F.col("_bound")
     )
-    rows = attach(df, ends.select(*keys, "t_merge", "amp_merge", "_bound", "_n"), keys, how="inner")
+    rows = attach(df, ends.select(*keys, "t_merge", "amp_merge", "_bound", "_n"), keys, how="inner", stats=stats)
     keep = F.col(t) < F.col("_bound")
     if from_merger:
         keep = keep & (F.col(t) >= F.col("t_merge"))
@@ -89,10 +99,21 @@ def first_restart_wins(
     the time for volume integrals.
     """
     full = [*keys, at]
-    firsts = df.groupBy(*full).agg(F.min(restart).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    return attach(df, firsts, full, many_keys=True, how="inner").filter(
-        F.col(restart) == F.col("_first")
-    ).drop("_first")
+
+    def kept(rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col(restart) == F.col("_first")).drop("_first")
+
+    first = F.min(restart)
+    heavy = heavy_hashes(df, full)
+    if not heavy:
+        return kept(df.withColumn("_first", first.over(W.partitionBy(*full))))
+    # Heavily repeated keys are few: their first restart is aggregated and
+    # broadcast, so their rows are not gathered anywhere.
+    is_heavy = F.xxhash64(*full).isin(heavy)
+    hot = df.filter(is_heavy)
+    firsts = hot.groupBy(*full).agg(first.alias("_first"))
+    light = df.filter(~is_heavy).withColumn("_first", first.over(W.partitionBy(*full)))
+    return kept(light).unionByName(kept(hot.join(F.broadcast(firsts), full)).select(*df.columns))
 
 
 def normalise_by_first(df: DataFrame, keys: Sequence[str], t: str, value: str, out: str) -> DataFrame:

@@ -79,6 +79,23 @@ class KeyStats:
         return tuple(r for r in self.top[:MAX_HOT] if r["_n"] > self.limit)
 
 
+def heavy_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
+    """xxhash64 of key combinations owning more than `gridloom.hot.rows` rows.
+
+    For keys with too many values to count one by one. The frequent-items sketch
+    has a fixed size and lists every key above about total / 7500 rows; counts
+    may be off and hashes may collide, so use the list for routing only.
+    """
+    top = (
+        df.select(F.xxhash64(*keys).alias("_h"))
+        .agg(F.expr(f"approx_top_k(_h, {MAX_HOT}, 10000)").alias("_top"))
+        .select(F.explode("_top").alias("_t"))
+        .filter(F.col("_t.count") > hot_row_limit(df))
+        .collect()
+    )
+    return [r["_t"]["item"] for r in top]
+
+
 def _key_frame(df: DataFrame, keys: Sequence[str], hot: Sequence[Row]) -> DataFrame:
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_n", T.LongType())])
     return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) + (r["_n"],) for r in hot], schema)

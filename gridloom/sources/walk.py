@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gridloom.constants import DEFAULT_SCAN_EXCLUDED_DIRS
 from gridloom.functions import names
+from gridloom.functions.names import matches_glob
 
 _STATE = "path string, is_dir boolean, depth int, open boolean"
 
@@ -52,7 +53,7 @@ def walk(
                         file, folder = e.is_file(follow_symlinks=False), e.is_dir(follow_symlinks=False)
                     except OSError:
                         continue
-                    if file and not names.matches_glob(e.name, globs):
+                    if file and not matches_glob(e.name, globs):
                         out.append((e.path, False, depth + 1, False))
                     elif folder and e.name not in banned:
                         out.append((e.path, True, depth + 1, True))
