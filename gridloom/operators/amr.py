@@ -19,7 +19,7 @@ from gridloom.functions import names
 from gridloom.functions.grid import Axis, StoredAxis, bilinear, grid_point
 from gridloom.functions.scalars import NAN, is_finite
 from gridloom.operators.ordered import Ordered
-from gridloom.operators.skew import is_small
+from gridloom.operators.skew import sized
 
 CANVAS = ("series", "iteration", "label")
 
@@ -203,7 +203,7 @@ def _with_extent(chunks: DataFrame, extent: "Extent | DataFrame") -> DataFrame:
             k: F.lit(float(getattr(extent, k))) for k in ("x_min", "x_max", "y_min", "y_max")
         })
     keys = [c for c in extent.columns if c in chunks.columns]
-    return chunks.join(F.broadcast(extent) if is_small(extent) else extent, keys)
+    return chunks.join(sized(extent), keys)
 
 
 def _paint(

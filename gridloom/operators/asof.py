@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridloom.operators.ordered import Ordered
-from gridloom.operators.skew import broadcast_row_limit, count_up_to, is_small
+from gridloom.operators.skew import broadcast_row_limit, count_up_to, sized
 
 
 def asof_forward(
@@ -45,7 +45,7 @@ def asof_forward(
         found = _by_order(wanted, samples, keys, time, hit)
     if clamp:
         ends = samples.groupBy(*keys).agg(F.max(hit).alias("_last"))
-        found = found.join(F.broadcast(ends) if is_small(ends) else ends, keys, "left").withColumn(
+        found = found.join(sized(ends), keys, "left").withColumn(
             "_hit", F.coalesce("_hit", "_last")
         )
     return found.select(

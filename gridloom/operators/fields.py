@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.grid import Axis, StoredAxis, bilinear, half_open_count, half_open_point
 from gridloom.functions.scalars import NAN, is_finite, safe_divide_arrays
 from gridloom.operators.ordered import Ordered
+from gridloom.operators.skew import sized
 
 
 def cells(slices: DataFrame, data: str = "data", ny: str = "ny") -> DataFrame:
@@ -27,8 +28,14 @@ def cells(slices: DataFrame, data: str = "data", ny: str = "ny") -> DataFrame:
 
 
 def frame_index(slices: DataFrame, keys: Sequence[str] = ("run", "variable")) -> DataFrame:
-    """Number the slices of each variable by iteration from 0."""
-    return Ordered.of(slices, keys, "iteration").index("frame_idx").result()
+    """Number the slices of each variable by iteration from 0.
+
+    Only (keys, iteration) is ordered; the arrays are joined to the result
+    instead of being sorted.
+    """
+    on = [*keys, "iteration"]
+    index = Ordered.of(slices.select(*on).distinct(), keys, "iteration").index("frame_idx").result()
+    return slices.join(sized(index), on)
 
 
 def frame_count(indexed: DataFrame, keys: Sequence[str] = ("run",)) -> DataFrame:

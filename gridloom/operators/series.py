@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridloom.constants import MILLIS
 from gridloom.functions.scalars import finite_or_null, since_merger
 from gridloom.operators.ordered import Ordered
-from gridloom.operators.skew import KeyStats, attach, heavy_hashes
+from gridloom.operators.skew import KeyStats, attach, heavy_hashes, pin
 
 
 def peak_rank(amp: Column, order: Column, digits: int | None = 15) -> Column:
@@ -35,6 +35,7 @@ def merger(
     peak = F.max_by(F.struct(t, amp), rank).alias("_m")
     tops = df.groupBy(*keys).agg(F.max(amp).alias("_top"), F.max(t).alias("t_end"), F.count(F.lit(1)).alias("_n"))
     if stats.few:
+        tops = pin(tops, stats)
         near = df.join(F.broadcast(tops.select(*keys, "_top")), list(keys)).filter(F.col(amp) >= F.col("_top") - 1e-14)
         found = tops.join(near.groupBy(*keys).agg(peak), list(keys))
     else:
@@ -55,7 +56,7 @@ def align(df: DataFrame, keys: Sequence[str], t: str, amp: str, *, from_merger:
     short of that (by rounding) has no end index and yields no rows.
     """
     stats = KeyStats.of(df, keys)
-    runs = merger(df, keys, t, amp, stats=stats)
+    runs = pin(merger(df, keys, t, amp, stats=stats), stats)
     ends = runs.withColumn("_bound", common_end(runs).scalar() + F.col("t_merge")).filter(
         F.col("t_end") >= F.col("_bound")
     )

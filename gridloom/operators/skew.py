@@ -42,6 +42,11 @@ def is_small(df: DataFrame, limit: int | None = None) -> bool:
     return count_up_to(df, limit) <= limit
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """Hint a broadcast when the table is counted to be small, otherwise leave the join to Spark."""
+    return F.broadcast(df) if is_small(df) else df
+
+
 @dataclass(frozen=True)
 class KeyStats:
     """What routing needs to know about the keys of a table, from one scan of the key columns.
@@ -79,6 +84,13 @@ class KeyStats:
         return tuple(r for r in self.top[:MAX_HOT] if r["_n"] > self.limit)
 
 
+def pin(table: DataFrame, stats: KeyStats) -> DataFrame:
+    """Evaluate a one-row-per-key table once when it has at most MAX_HOT rows; else return it as it is."""
+    if not stats.few:
+        return table
+    return table.sparkSession.createDataFrame(table.collect(), table.schema)
+
+
 def heavy_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
     """xxhash64 of key combinations owning more than `gridloom.hot.rows` rows.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import names
 from gridloom.operators import amr, fields
+from gridloom.operators.skew import sized
 
 
 @dataclass(frozen=True)
@@ -41,7 +42,7 @@ def first_iteration(chunks: DataFrame, last: bool = False) -> DataFrame:
     """Chunks of each series' first (or last) iteration."""
     pick = (F.max if last else F.min)("iteration").alias("iteration")
     ends = chunks.groupBy("series").agg(pick)
-    return chunks.join(ends, ["series", "iteration"], "left_semi")
+    return chunks.join(sized(ends), ["series", "iteration"], "left_semi")
 
 
 def render_planes(
@@ -60,7 +61,7 @@ def render_slices(
     found = select_variable(first_iteration(chunks), variable)
     if not all_variables:
         first = found.groupBy("series").agg(F.min("label").alias("label"))
-        found = found.join(first, ["series", "label"], "left_semi")
+        found = found.join(sized(first), ["series", "label"], "left_semi")
     parts = [amr.composite_slice(found, a, at, n=n, method=method).withColumn("axis", F.lit(a)) for a in axes]
     out = parts[0]
     for p in parts[1:]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.grid import grid_point
 from gridloom.operators import amr, fields
 from gridloom.operators.ordered import iteration_select
-from gridloom.operators.skew import is_small
+from gridloom.operators.skew import sized
 from gridloom.plans.config import ResampleConfig
 from gridloom.plans.tasks import requested_variables, skipped_variables
 from gridloom.sources import openpmd, slice_store, walk
@@ -48,9 +48,7 @@ def resample(chunks: DataFrame, config: ResampleConfig, run: str) -> DataFrame:
         F.min("time").alias("time")
     )
     chosen = select_iterations(index, config)
-    picked = labelled.drop("time").join(
-        F.broadcast(chosen) if is_small(chosen) else chosen, ["run", "variable", "iteration"]
-    )
+    picked = labelled.drop("time").join(sized(chosen), ["run", "variable", "iteration"])
     keys = ["run", "variable", "iteration", "time"]
     canvas = amr.composite_plane(
         picked, nx=nx, ny=ny, method=config.method, extent=amr.Extent(lo[0], hi[0], lo[1], hi[1]), keys=keys
@@ -102,7 +100,7 @@ def run(spark: SparkSession, config: ResampleConfig) -> str:
         F.lit(config.label).alias("run"), F.col("label").alias("variable"), "iteration", "time"
     ).groupBy("run", "variable", "iteration").agg(F.min("time").alias("time"))
     chosen = select_iterations(found, config).select(F.col("variable").alias("label"), "iteration")
-    needed = needed.join(F.broadcast(chosen) if is_small(chosen) else chosen, ["label", "iteration"], "left_semi")
+    needed = needed.join(sized(chosen), ["label", "iteration"], "left_semi")
     loaded = amr.labelled(openpmd.load_chunks(needed))
     # Range and stride are already applied.
     plain = ResampleConfig(**{**config.__dict__, "iteration_stride": 1, "iteration_min": None, "iteration_max": None})
