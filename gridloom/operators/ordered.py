@@ -15,6 +15,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.operators.skew import KeyStats, Segments, attach
 
@@ -41,7 +42,8 @@ class Ordered:
     ) -> "Ordered":
         """`stats` of a table with the same keys saves counting them again."""
         stats = stats or KeyStats.of(df, keys)
-        segments = Segments.plan(df, keys, order, stats)
+        tie = ties[0] if ties and isinstance(df.schema[ties[0]].dataType, T.NumericType) else None
+        segments = Segments.plan(df, keys, order, stats, tie)
         return cls(segments.tag(df), tuple(keys), order, tuple(ties), segments, stats)
 
     @property

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -164,57 +164,90 @@ class Segments:
     `edges` holds (key values, sorted edges) for hot keys only; other keys are
     one segment, numbered 0. Edges are plain literals, so tagging a row is a
     deterministic function of that row and may be recomputed at will.
+
+    A single order value may be hot by itself. It is then necessarily an edge,
+    that is the lowest value of its segment; `tied` lists such values with edges
+    on the tie column, which split them further.
     """
 
     keys: tuple[str, ...]
     order: str
     edges: tuple[tuple[tuple, tuple], ...]
+    tie: str | None = None
+    tied: tuple[tuple[tuple, tuple], ...] = ()
 
     @classmethod
-    def plan(cls, df: DataFrame, keys: Sequence[str], order: str, stats: KeyStats | None = None) -> "Segments":
+    def plan(
+        cls, df: DataFrame, keys: Sequence[str], order: str, stats: KeyStats | None = None, tie: str | None = None
+    ) -> "Segments":
         keys = tuple(keys)
         hot = (stats or KeyStats.of(df, keys)).hot
         if not hot:
             return cls(keys, order, ())
         total = sum(r["_n"] for r in hot)
         chunk = max(hot_row_limit(df), total // MAX_EDGES + 1)
-        probs = [i / _PROBS for i in range(1, _PROBS)]
-        step = F.greatest(F.lit(1), F.floor(F.lit(_PROBS * chunk) / F.first("_n"))).cast("int")
-        cuts = F.percentile_approx(order, F.lit(probs), F.lit(8 * _PROBS))
-        rows = (
-            df.select(*keys, order)
-            .join(F.broadcast(_key_frame(df, keys, hot)), list(keys), "inner")
-            .groupBy(*keys)
-            .agg(cuts.alias("_cuts"), step.alias("_step"))
-            .select(
-                *keys,
-                F.expr("array_distinct(filter(_cuts, (x, i) -> (i + 1) % _step = 0))").alias("_edges"),
-            )
-            .collect()
-        )
-        return cls(keys, order, tuple((tuple(r[k] for k in keys), tuple(r["_edges"])) for r in rows))
+        own = df.select(*keys, order).join(F.broadcast(_key_frame(df, keys, hot)), list(keys), "inner")
+        edges = _quantile_edges(own, keys, order, F.first("_n"), chunk)
+        if tie is None:
+            return cls(keys, order, edges)
+        at_edge = _edge_frame(df, keys, order, edges).select(*keys, F.explode(F.array_distinct("_edges")).alias(order))
+        on = [*keys, order]
+        same = df.select(*on, tie).join(F.broadcast(at_edge), on, "inner")
+        counts = same.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk).collect()
+        if not counts:
+            return cls(keys, order, edges)
+        same = same.join(F.broadcast(_key_frame(df, on, counts)), on, "inner")
+        return cls(keys, order, edges, tie, _quantile_edges(same, on, tie, F.first("_n"), chunk))
 
     def __bool__(self) -> bool:
         return bool(self.edges)
 
     def tag(self, df: DataFrame) -> DataFrame:
-        """Add `_seg`, increasing with `order` inside each key."""
+        """Add `_seg`, increasing with `order` (then the tie column) inside each key."""
         if not self.edges:
-            return df.withColumn("_seg", F.lit(0))
-        schema = T.StructType(
-            [df.schema[k] for k in self.keys]
-            + [T.StructField("_edges", T.ArrayType(df.schema[self.order].dataType))]
-        )
-        table = df.sparkSession.createDataFrame([(*k, list(e)) for k, e in self.edges], schema)
-        top = max(len(e) for _, e in self.edges).bit_length() - 1
-        steps = ",".join(str(1 << b) for b in range(top, -1, -1))
-        # Number of edges <= order value, by binary search: `get` is null past the end.
-        seg = F.expr(
-            f"aggregate(array({steps}), 0, (i, s) -> if(get(_edges, i + s - 1) <= `{self.order}`, i + s, i))"
-        )
-        return (
-            df.join(F.broadcast(table), list(self.keys), "left")
-            .withColumn("_seg", F.when(F.col("_edges").isNull(), 0).otherwise(seg))
+            return df.withColumn("_seg", F.lit(0).cast("bigint"))
+        table = F.broadcast(_edge_frame(df, self.keys, self.order, self.edges))
+        out = (
+            df.join(table, list(self.keys), "left")
+            .withColumn("_seg", F.coalesce(_edges_passed(self.edges, self.order), F.lit(0)).cast("bigint"))
             .drop("_edges")
         )
+        if not self.tied:
+            return out
+        on = [*self.keys, self.order]
+        table = F.broadcast(_edge_frame(df, on, self.tie, self.tied))
+        # The hot value leads its segment, so all other rows go behind its pieces.
+        sub = F.coalesce(_edges_passed(self.tied, self.tie), F.lit(_TIE_ROOM - 1))
+        return out.join(table, on, "left").withColumn("_seg", F.col("_seg") * _TIE_ROOM + sub).drop("_edges")
+
+
+_TIE_ROOM = 1 << 20
+Edges = tuple[tuple[tuple, tuple], ...]
+
+
+def _quantile_edges(df: DataFrame, keys: Sequence[str], value: str, rows: Column, chunk: int) -> Edges:
+    """Per key, approximate quantiles of `value` about `chunk` rows apart; one small row per hot key."""
+    probs = [i / _PROBS for i in range(1, _PROBS)]
+    step = F.greatest(F.lit(1), F.floor(F.lit(_PROBS * chunk) / rows)).cast("int")
+    found = (
+        df.groupBy(*keys)
+        .agg(F.percentile_approx(value, F.lit(probs), F.lit(8 * _PROBS)).alias("_cuts"), step.alias("_step"))
+        .select(*keys, F.expr("array_distinct(filter(_cuts, (x, i) -> (i + 1) % _step = 0))").alias("_edges"))
+        .collect()
+    )
+    return tuple((tuple(r[k] for k in keys), tuple(r["_edges"])) for r in found)
+
+
+def _edge_frame(df: DataFrame, keys: Sequence[str], value: str, edges: Edges) -> DataFrame:
+    schema = T.StructType(
+        [df.schema[k] for k in keys] + [T.StructField("_edges", T.ArrayType(df.schema[value].dataType))]
+    )
+    return df.sparkSession.createDataFrame([(*k, list(e)) for k, e in edges], schema)
+
 
+def _edges_passed(edges: Edges, value: str) -> Column:
+    """Number of `_edges` <= value by binary search (`get` is null past the end); NULL without edges."""
+    top = max(len(e) for _, e in edges).bit_length() - 1
+    steps = ",".join(str(1 << b) for b in range(max(top, 0), -1, -1))
+    search = f"aggregate(array({steps}), 0, (i, s) -> if(get(_edges, i + s - 1) <= `{value}`, i + s, i))"
+    return F.expr(f"if(_edges is null, null, {search})")

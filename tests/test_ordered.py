@@ -152,3 +152,23 @@ def test_hot_plan_has_no_whole_key_window(spark, hot):
     plan = ordered.row_index(df, ["run"], "t")._jdf.queryExecution().executedPlan().toString()
     main = [line for line in plan.splitlines() if "Window" in line and "row_number" in line]
     assert main and all("_seg" in line for line in main)
+
+
+def test_hot_order_value_is_split_by_ties(spark, hot):
+    """Most rows of the run share one time; the tie column orders and splits them."""
+    rng = np.random.default_rng(4)
+    n = 600
+    pdf = pd.DataFrame({
+        "run": "a", "t": np.where(rng.random(n) < 0.6, 5.0, rng.uniform(0, 10, n)), "k": rng.permutation(n), "y": rng.normal(size=n),
+    })
+    df = spark.createDataFrame(pdf).repartition(4)
+    o = Ordered.of(df, ["run"], "t", ["k"])
+    assert o.segments.tied
+    sizes = o.df.groupBy("_seg").count().toPandas()["count"]
+    assert sizes.max() < 0.3 * n
+    got = o.index("idx").neighbours(prev="lag:y", nxt="lead:y").running_sum(F.col("y"), "cum").result().toPandas().sort_values(["t", "k"])
+    want = pdf.sort_values(["t", "k"])
+    assert list(got.idx) == list(range(n))
+    np.testing.assert_allclose(got.prev, want.y.shift(1))
+    np.testing.assert_allclose(got.nxt, want.y.shift(-1))
+    np.testing.assert_allclose(got.cum, want.y.cumsum(), atol=1e-12)
