@@ -101,13 +101,13 @@ def paint_order() -> Column:
     )
 
 
-def _axis_2d(d: int) -> Axis:
+def axis_2d(d: int) -> Axis:
     spacing = F.get("spacing", F.lit(d))
     first = F.get("grid_offset", F.lit(d)) + (F.get("off", F.lit(d)) + F.get("position", F.lit(d))) * spacing
     return Axis(first, F.lit(0.0), spacing, F.get("ext", F.lit(d)).cast("int"))
 
 
-def _axis_3d(d: int) -> Axis:
+def axis_3d(d: int) -> Axis:
     return Axis(
         F.get("grid_offset", F.lit(d)),
         F.get("off", F.lit(d)) + F.get("position", F.lit(d)),
@@ -133,7 +133,7 @@ def _coarsest(per_chunk: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def plane_extents(chunks: DataFrame, keys: Sequence[str] = CANVAS) -> DataFrame:
     """Canvas box of 2D chunks: first centre to one spacing past the last, coarsest written level."""
-    y, x = _axis_2d(0), _axis_2d(1)
+    y, x = axis_2d(0), axis_2d(1)
     return _coarsest(
         clip_chunks(chunks).filter(F.size("ext") == 2).select(
             *keys, "level",
@@ -146,9 +146,9 @@ def plane_extents(chunks: DataFrame, keys: Sequence[str] = CANVAS) -> DataFrame:
     )
 
 
-def _stabbed(chunks: DataFrame, axis: str, at: float) -> DataFrame:
+def stabbed(chunks: DataFrame, axis: str, at: float) -> DataFrame:
     """3D chunks whose half-cell padded span along the cut axis holds `at`; adds the slab index `_k`."""
-    cut = _axis_3d(SLICE_AXES[axis]["cut"])
+    cut = axis_3d(SLICE_AXES[axis]["cut"])
     pad = F.abs(cut.step) / 2
     s = F.lit(float(at))
     # Ties between two planes go to the lower index, whichever way the axis runs.
@@ -164,9 +164,9 @@ def _stabbed(chunks: DataFrame, axis: str, at: float) -> DataFrame:
 
 def slice_extents(chunks: DataFrame, axis: str, at: float, keys: Sequence[str] = CANVAS) -> DataFrame:
     """Canvas box of a 3D cut: span of the centres, coarsest level the plane meets."""
-    slow, fast = _axis_3d(SLICE_AXES[axis]["slow"]), _axis_3d(SLICE_AXES[axis]["fast"])
+    slow, fast = axis_3d(SLICE_AXES[axis]["slow"]), axis_3d(SLICE_AXES[axis]["fast"])
     return _coarsest(
-        _stabbed(chunks, axis, at).select(
+        stabbed(chunks, axis, at).select(
             *keys, "level",
             fast.low.alias("_x0"), fast.high.alias("_x1"), slow.low.alias("_y0"), slow.high.alias("_y1"),
         ),
@@ -264,7 +264,7 @@ def plane_writes(
         extent = plane_extents(chunks, keys)
     flat = clip_chunks(chunks).filter(F.size("ext") == 2)
     return _paint(
-        flat, _axis_2d(0), _axis_2d(1), F.lit(0), F.get("stored", F.lit(1)), F.lit(1),
+        flat, axis_2d(0), axis_2d(1), F.lit(0), F.get("stored", F.lit(1)), F.lit(1),
         extent, keys, nx, ny, method,
     )
 
@@ -284,7 +284,7 @@ def slice_writes(
         F.get("stored", F.lit(1)) * F.get("stored", F.lit(2)), F.get("stored", F.lit(2)), F.lit(1),
     )
     return _paint(
-        _stabbed(chunks, axis, at), _axis_3d(a["slow"]), _axis_3d(a["fast"]),
+        stabbed(chunks, axis, at), axis_3d(a["slow"]), axis_3d(a["fast"]),
         F.col("_k") * stride[a["cut"]], stride[a["slow"]], stride[a["fast"]],
         extent, keys, nx, ny, method,
     )
@@ -469,7 +469,7 @@ def chunk_listing(chunks: DataFrame) -> DataFrame:
 
 def chunk_edges(chunks: DataFrame, keys: Sequence[str] = CANVAS) -> DataFrame:
     """Cell edges of every 2D chunk, for drawing chunk by chunk without a canvas."""
-    y, x = _axis_2d(0), _axis_2d(1)
+    y, x = axis_2d(0), axis_2d(1)
 
     def edges(a: Axis) -> Column:
         return F.transform(F.sequence(F.lit(0), a.n), lambda k: a.first + (k.cast("double") - 0.5) * a.step)

@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridloom.schema import FIELD_SLICE
 
@@ -62,9 +61,3 @@ def iterate(spark: SparkSession, path: str, name: str, run: str | None = None) -
 def iteration_index(slices: DataFrame) -> DataFrame:
     """(run, variable, iteration, time) without touching the arrays."""
     return slices.select("run", "variable", "iteration", "time")
-
-
-def meta_schema() -> T.StructType:
-    from gridloom.schema import FIELD_META
-
-    return FIELD_META

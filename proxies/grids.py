@@ -93,7 +93,7 @@ def nan_pixel_count(spark: SparkSession, sf: str) -> DataFrame:
 from ch, range(64) t(q) where q // 8 < ny and q % 8 < nx""")
 def world_coords(spark: SparkSession, sf: str) -> DataFrame:
     c = amr.clip_chunks(labelled(spark, sf))
-    y, x = amr._axis_2d(0), amr._axis_2d(1)
+    y, x = amr.axis_2d(0), amr.axis_2d(1)
     return (
         c.select("chunk_id", "ext", y.first.alias("y0"), x.first.alias("x0"), y.step.alias("sp"), F.posexplode("data").alias("q", "v"))
         .withColumns({"j": F.expr("q div 8"), "i": F.expr("cast(q % 8 as bigint)")})

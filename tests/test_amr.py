@@ -189,9 +189,9 @@ def test_slice_matches_brute_force(spark, name, at, method):
 def test_slice_stab_is_inclusive(spark):
     df = amr.labelled(spark.createDataFrame(
         [chunk("h_patch00_lev00", 0, (0, 0, 0), (3, 2, 2), (1, 1, 1), np.arange(12), (0.0,) * 3, (0.0,) * 3)], AMR_CHUNK))
-    assert amr._stabbed(df, "xy", 2.5).first()._k == 2
-    assert amr._stabbed(df, "xy", 0.5).first()._k == 0
-    assert amr._stabbed(df, "xy", 2.51).count() == 0
+    assert amr.stabbed(df, "xy", 2.5).first()._k == 2
+    assert amr.stabbed(df, "xy", 0.5).first()._k == 0
+    assert amr.stabbed(df, "xy", 2.51).count() == 0
 
 
 def test_recipe(spark):
