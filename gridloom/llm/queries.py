@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import decontaminate as op1
+from gridloom.llm import kdshard as op10
+from gridloom.llm import order_minhash as op4
+from gridloom.llm import packing as op7
 from gridloom.llm import quality as op6
 from gridloom.llm import toxicity as op9
+from gridloom.llm import warc as op8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,9 +59,53 @@ def op9_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.digest(op9.score(docs, op9.fit(docs, table(spark, sf_dir, "labels"))))
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7.digest(op7.pack(table(spark, sf_dir, "documents")))
+
+
+def op8_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages against a replica of them that lacks some records and has others altered."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    replica = pages.where("page_id % 499 != 3").withColumn(
+        "html", F.when(F.col("page_id") % 101 == 7, F.expr("concat(substr(html, 2), 'x')")).otherwise(F.col("html"))
+    )
+    found = op8.audit(pages, replica)
+    return found.select(F.col("id").alias("page_id"), "place", "offset", "length", "digest", "replica_digest", "status")
+
+
+OP8_SQL = """
+with r as (select page_id, chr(13) || chr(10) as nl, coalesce(url, '') as url, coalesce(html, '') as html from pages),
+rec as (
+  select page_id, url, html, nl,
+    'WARC/1.1' || nl || 'WARC-Type: response' || nl || 'WARC-Target-URI: ' || url || nl || 'Content-Length: ' || strlen(html) || nl || nl || html || nl || nl as raw,
+    case when page_id % 101 = 7 then substr(html, 2) || 'x' else html end as html2 from r),
+both_ as (
+  select *, 'WARC/1.1' || nl || 'WARC-Type: response' || nl || 'WARC-Target-URI: ' || url || nl || 'Content-Length: ' || strlen(html2) || nl || nl || html2 || nl || nl as raw2
+  from rec),
+put as (
+  select page_id, row_number() over (order by page_id) - 1 as place,
+    (sum(strlen(raw)) over (order by page_id) - strlen(raw))::bigint as "offset", strlen(raw) as length, sha256(raw) as digest,
+    case when page_id % 499 <> 3 then sha256(raw2) end as replica_digest from both_)
+select *, case when replica_digest is null then 'missing' else 'changed' end as status
+from put where replica_digest is distinct from digest
+"""
+
+
+def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10.digest(op10.assign(table(spark, sf_dir, "documents"), shards=24))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op4_order_minhash": op4_order_minhash,
     "op6_bradley_terry_quality": op6_bradley_terry_quality,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_merkle_audit": op8_merkle_audit,
     "op9_toxicity_lexicon": op9_toxicity_lexicon,
+    "op10_kd_sharding": op10_kd_sharding,
 }
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op8_merkle_audit": OP8_SQL}
