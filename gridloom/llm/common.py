@@ -71,12 +71,12 @@ def with_text(docs: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
     return source.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows of about SLICE_BYTES of the column; one row at least."""
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows of about `size` bytes of the column; one row at least."""
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)
     if not len(sizes):
         return
-    group = (np.cumsum(sizes) - 1).clip(0) // SLICE_BYTES
+    group = (np.cumsum(sizes) - 1).clip(0) // size
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
     for a, b in zip(cuts, cuts[1:]):
         yield batch.slice(a, b - a)

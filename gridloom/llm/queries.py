@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.llm import bwt as op3
 from gridloom.llm import decontaminate as op1
 from gridloom.llm import kdshard as op10
 from gridloom.llm import order_minhash as op4
 from gridloom.llm import packing as op7
 from gridloom.llm import quality as op6
+from gridloom.llm import substring as op2
 from gridloom.llm import toxicity as op9
 from gridloom.llm import warc as op8
 
@@ -59,6 +61,14 @@ def op9_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.digest(op9.score(docs, op9.fit(docs, table(spark, sf_dir, "labels"))))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2.digest(op2.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3.digest(op3.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -101,6 +111,8 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_order_minhash": op4_order_minhash,
     "op6_bradley_terry_quality": op6_bradley_terry_quality,
     "op7_best_fit_packing": op7_best_fit_packing,
