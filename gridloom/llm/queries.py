@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridloom.llm import bwt as op3
 from gridloom.llm import decontaminate as op1
 from gridloom.llm import kdshard as op10
+from gridloom.llm import ngram_join as op5
 from gridloom.llm import order_minhash as op4
 from gridloom.llm import packing as op7
 from gridloom.llm import quality as op6
@@ -51,6 +52,27 @@ from w left join hit using (doc_id) left join its using (doc_id)
 """
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5.join(table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+sh as (
+  select distinct doc_id, array_to_string(ws[i:i + least(5, len(ws)) - 1], ' ') as g
+  from w, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) t(i) where len(ws) > 0),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as c from sh a join sh b using (g) where a.doc_id <> b.doc_id group by 1, 2),
+link as (select a, b from common join n na on na.doc_id = a join n nb on nb.doc_id = b where c >= 0.8 * (na.n + nb.n - c) - 1e-6),
+reach as (select a, b from link union select r.a, l.b from reach r join link l on l.a = r.b)
+select doc_id, least(doc_id, coalesce((select min(b) from reach where a = doc_id), doc_id)) as class_id,
+       coalesce((select count(*) from link where a = doc_id), 0)::bigint as n_links
+from documents
+"""
+
+
 def op6_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return op6.digest(op6.score(docs, op6.fit(docs, table(spark, sf_dir, "labels"))))
@@ -114,10 +136,11 @@ QUERIES: dict[str, Query] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_order_minhash": op4_order_minhash,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_bradley_terry_quality": op6_bradley_terry_quality,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_merkle_audit": op8_merkle_audit,
     "op9_toxicity_lexicon": op9_toxicity_lexicon,
     "op10_kd_sharding": op10_kd_sharding,
 }
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op8_merkle_audit": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op5_ngram_jaccard_join": OP5_SQL, "op8_merkle_audit": OP8_SQL}
