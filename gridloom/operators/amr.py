@@ -30,8 +30,6 @@ SLICE_AXES = {
     "yz": {"cut": 2, "slow": 0, "fast": 1},
 }
 
-_LEVEL_BITS, _PATCH_BITS, _MESH_BITS, _CHUNK_BITS = 8, 16, 16, 23
-
 
 def labelled(chunks: DataFrame) -> DataFrame:
     """Parse mesh names: adds group, centering, level, patch, plane_tag, label; drops unparseable rows."""
@@ -86,18 +84,23 @@ def clip_chunks(chunks: DataFrame, keep_empty: bool = False) -> DataFrame:
     return out if keep_empty else out.filter(F.forall("ext", lambda e: e > 0))
 
 
-def paint_order() -> Column:
-    """(level, patch, mesh_seq, chunk_id) packed into one BIGINT, so the aggregate stays a hash aggregate."""
-    parts = (
-        ("level", _LEVEL_BITS), ("patch", _PATCH_BITS), ("mesh_seq", _MESH_BITS), ("chunk_id", _CHUNK_BITS),
-    )
-    packed, fits = F.lit(0).cast("bigint"), F.lit(True)
-    for name, bits in parts:
-        c = F.col(name).cast("bigint")
-        packed = packed * (1 << bits) + c
-        fits = fits & (c >= 0) & (c < (1 << bits))
-    return F.when(fits, packed).otherwise(
-        F.raise_error(F.lit("level, patch, mesh_seq or chunk_id out of range for the paint order")).cast("bigint")
+PRIO = "decimal(38,0)"
+
+
+def paint_order(columns: Sequence[str]) -> Column:
+    """(level, patch, series, mesh_seq, chunk_id) as one number, so the aggregate stays a hash aggregate.
+
+    8, 16, 32, 31 and 32 bits: what names and column types can hold. Series that number their meshes alike
+    rank by a hash of their names, so the order is total.
+    """
+    big = lambda c: F.col(c).cast("bigint")
+    series = F.shiftrightunsigned(F.xxhash64("series"), 32) if "series" in columns else F.lit(0)
+    high = (big("level") * (1 << 16) + big("patch")) * (1 << 32) + series
+    low = big("mesh_seq") * (1 << 32) + big("chunk_id")
+    fits = big("level").between(0, 255) & big("patch").between(0, 65535) & big("mesh_seq").between(0, (1 << 31) - 1) & big("chunk_id").between(0, (1 << 32) - 1)
+    number = high.cast("decimal(18,0)") * F.lit(str(1 << 63)).cast("decimal(19,0)") + low.cast("decimal(19,0)")
+    return F.when(fits, number.cast(PRIO)).otherwise(
+        F.raise_error(F.lit("level, patch, mesh_seq or chunk_id out of range for the paint order")).cast(PRIO)
     )
 
 
@@ -223,7 +226,7 @@ def _paint(
     ya, xa = StoredAxis("y"), StoredAxis("x")
     patches = _with_extent(
         chunks.select(
-            *keys, paint_order().alias("prio"), "data",
+            *keys, paint_order(chunks.columns).alias("prio"), "data",
             base.cast("int").alias("_base"), slow_stride.cast("int").alias("_slow"), fast_stride.cast("int").alias("_fast"),
             *[c.alias(n) for n, c in {**ya.columns(slow), **xa.columns(fast)}.items()],
         ),
@@ -299,7 +302,7 @@ def _blank(extent: DataFrame, keys: Sequence[str], nx: int, ny: int) -> DataFram
             *keys, "j", "i",
             grid_point(F.col("j"), F.col("y_min"), F.col("y_max"), ny).alias("y"),
             grid_point(F.col("i"), F.col("x_min"), F.col("x_max"), nx).alias("x"),
-            F.lit(NAN).alias("v"), F.lit(-1).cast("bigint").alias("prio"),
+            F.lit(NAN).alias("v"), F.lit(-1).cast(PRIO).alias("prio"),
         )
     )
 

@@ -27,6 +27,7 @@ def asof_forward(
 
     No tolerance; without a hit the payload is NULL, or with `clamp` that of the
     last sample. Among samples at the same time the smallest payload is first.
+    Targets and samples with a NULL key or time are left out.
 
     Few targets (their number is checked unless `few_targets` is False): each sample is dropped into the gap
     between two neighbouring targets with a broadcast lookup and a map-side
@@ -35,7 +36,8 @@ def asof_forward(
     is carried back over the gaps, segment by segment.
     """
     keys, payload = list(keys), list(payload)
-    wanted = targets.select(*keys, F.col(target).alias("_t")).distinct()
+    wanted = targets.select(*keys, F.col(target).alias("_t")).dropna().distinct()
+    samples = samples.dropna(subset=[*keys, time])
     hit = F.struct(F.col(time).alias("_time"), *payload)
     limit = broadcast_row_limit(samples)
     n = count_up_to(wanted, limit) if few_targets is not False else limit + 1

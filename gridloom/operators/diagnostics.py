@@ -47,7 +47,7 @@ def mesh_report(meshes: DataFrame, keys: Sequence[str], variable: str | None = N
     )
 
 
-def unrecognised(meshes: DataFrame, limit: int | None = 8) -> DataFrame:
+def unrecognised(meshes: DataFrame, limit: int | None = None) -> DataFrame:
     out = meshes.filter(names.mesh_name("mesh_name").isNull()).select("mesh_name").distinct()
     return out if limit is None else out.orderBy("mesh_name").limit(limit)
 

@@ -17,12 +17,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.operators.skew import KeyStats, Segments, attach
+from gridloom.operators.skew import KeyStats, Segments, attach, join_keys
 
 
 @dataclass(frozen=True)
 class Ordered:
-    """A DataFrame whose rows are ordered by `order` (then `ties`) within `keys`."""
+    """A DataFrame whose rows are ordered by `order` (then `ties`) within `keys`.
+
+    The ties are completed by all other columns that can be ordered, numbers first, so that
+    rows which compare equal are equal and every operator sees one order.
+    """
 
     df: DataFrame
     keys: tuple[str, ...]
@@ -42,9 +46,12 @@ class Ordered:
     ) -> "Ordered":
         """`stats` of a table with the same keys saves counting them again."""
         stats = stats or KeyStats.of(df, keys)
-        tie = ties[0] if ties and isinstance(df.schema[ties[0]].dataType, T.NumericType) else None
+        rest = [f for f in df.schema.fields if f.name not in (*keys, order, *ties) and isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)]
+        rest.sort(key=lambda f: not isinstance(f.dataType, T.NumericType))
+        full = (*ties, *[f.name for f in rest])
+        tie = full[0] if full and isinstance(df.schema[full[0]].dataType, T.NumericType) else None
         segments = Segments.plan(df, keys, order, stats, tie)
-        return cls(segments.tag(df), tuple(keys), order, tuple(ties), segments, stats)
+        return cls(segments.tag(df), tuple(keys), order, full, segments, stats)
 
     @property
     def _group(self) -> list[str]:
@@ -65,7 +72,7 @@ class Ordered:
             self.df.select(*self.keys).schema,
         )
         return (
-            self.df.join(F.broadcast(hot), list(self.keys), "left_semi")
+            join_keys(self.df, hot, self.keys, "left_semi")
             .groupBy(*self._group)
             .agg(*[c.alias(n) for n, c in aggs.items()])
         )
@@ -89,7 +96,7 @@ class Ordered:
                 F.sum("_seg_n").over(self._across.rowsBetween(W.unboundedPreceding, -1)).alias("_seg_before"),
             )
             df = (
-                df.join(F.broadcast(before), self._group, "left")
+                join_keys(df, before, self._group)
                 .withColumn(out, F.col(out) + F.coalesce("_seg_before", F.lit(0)))
                 .drop("_seg_before")
             )
@@ -111,25 +118,17 @@ class Ordered:
         for out, (side, src) in wanted.items():
             df = df.withColumn(out, (F.lag if side == "lag" else F.lead)(src).over(self._window))
         if self.segments:
-            sources = sorted({src for _, src in wanted.values()})
-            edge = self._borders(
-                _seg_first=F.min_by(F.struct(*sources), self._rank),
-                _seg_last=F.max_by(F.struct(*sources), self._rank),
-                _seg_lo=F.min(self._rank),
-                _seg_hi=F.max(self._rank),
-            ).select(
-                *self._group, "_seg_lo", "_seg_hi",
-                F.lag("_seg_last").over(self._across).alias("_seg_prev"),
-                F.lead("_seg_first").over(self._across).alias("_seg_next"),
+            # Only the first (last) row of a segment looks across its border; its place, not its value, tells.
+            df = df.withColumns({"_seg_first": F.lag(F.lit(1)).over(self._window).isNull(), "_seg_last": F.lead(F.lit(1)).over(self._window).isNull()})
+            sources = F.struct(*sorted({src for _, src in wanted.values()}))
+            edge = self._borders(_lo=F.min_by(sources, self._rank), _hi=F.max_by(sources, self._rank)).select(
+                *self._group, F.lag("_hi").over(self._across).alias("_seg_prev"), F.lead("_lo").over(self._across).alias("_seg_next"),
             )
-            df = df.join(F.broadcast(edge), self._group, "left")
+            df = join_keys(df, edge, self._group)
             for out, (side, src) in wanted.items():
-                border, carry = ("_seg_lo", "_seg_prev") if side == "lag" else ("_seg_hi", "_seg_next")
-                df = df.withColumn(
-                    out,
-                    F.when(self._rank == F.col(border), F.col(carry)[src]).otherwise(F.col(out)),
-                )
-            df = df.drop("_seg_lo", "_seg_hi", "_seg_prev", "_seg_next")
+                border, carry = ("_seg_first", "_seg_prev") if side == "lag" else ("_seg_last", "_seg_next")
+                df = df.withColumn(out, F.when(F.col(border), F.col(carry)[src]).otherwise(F.col(out)))
+            df = df.drop("_seg_first", "_seg_last", "_seg_prev", "_seg_next")
         return self._with(df)
 
     def running_sum(self, value: Column, out: str) -> "Ordered":
@@ -143,7 +142,7 @@ class Ordered:
                 F.sum("_seg_sum").over(self._across.rowsBetween(W.unboundedPreceding, -1)).alias("_seg_before"),
             )
             df = (
-                df.join(F.broadcast(before), self._group, "left")
+                join_keys(df, before, self._group)
                 .withColumn(out, F.col(out) + F.coalesce("_seg_before", F.lit(0)))
                 .drop("_seg_before")
             )
@@ -165,7 +164,7 @@ class Ordered:
                 *self._group, F.last("_seg_v", ignorenulls=True).over(down).alias("_seg_after")
             )
             df = (
-                df.join(F.broadcast(after), self._group, "left")
+                join_keys(df, after, self._group)
                 .withColumn(out, F.coalesce(F.col(out), F.col("_seg_after")))
                 .drop("_seg_after")
             )

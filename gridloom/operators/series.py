@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridloom.constants import MILLIS
 from gridloom.functions.scalars import finite_or_null, since_merger
 from gridloom.operators.ordered import Ordered
-from gridloom.operators.skew import KeyStats, attach, heavy_hashes, pin
+from gridloom.operators.skew import KeyStats, attach, heavy_hashes, join_keys, pin
 
 
 def peak_rank(amp: Column, order: Column, digits: int | None = 15) -> Column:
@@ -27,17 +27,18 @@ def merger(
     Equal peaks (to 15 digits) resolve to the last. The exact maximum comes from
     a plain hash aggregate; rounding and tie-breaking then only see the samples
     next to it. With too many runs to broadcast their maxima, one aggregate does
-    both at the price of a local sort.
+    both at the price of a local sort. A run without any amplitude has NULL
+    merger time and amplitude; a NULL run is a run.
     """
     order = order or t
     stats = stats or KeyStats.of(df, keys)
     rank = peak_rank(F.col(amp), F.col(order))
-    peak = F.max_by(F.struct(t, amp), rank).alias("_m")
+    peak = F.max_by(F.struct(t, amp), F.when(F.col(amp).isNotNull(), rank)).alias("_m")
     tops = df.groupBy(*keys).agg(F.max(amp).alias("_top"), F.max(t).alias("t_end"), F.count(F.lit(1)).alias("_n"))
     if stats.few:
         tops = pin(tops, stats)
-        near = df.join(F.broadcast(tops.select(*keys, "_top")), list(keys)).filter(F.col(amp) >= F.col("_top") - 1e-14)
-        found = tops.join(near.groupBy(*keys).agg(peak), list(keys))
+        near = join_keys(df, tops.select(*keys, "_top"), keys, "inner").filter(F.col(amp) >= F.col("_top") - 1e-14)
+        found = join_keys(tops, near.groupBy(*keys).agg(peak), keys)
     else:
         found = df.groupBy(*keys).agg(peak, F.max(t).alias("t_end"), F.count(F.lit(1)).alias("_n"))
     return found.select(*keys, F.col(f"_m.{t}").alias("t_merge"), F.col(f"_m.{amp}").alias("amp_merge"), "t_end", "_n")
@@ -96,8 +97,8 @@ def first_restart_wins(
 ) -> DataFrame:
     """Stitch restarts: drop rows whose `at` an earlier restart of the run already holds.
 
-    Duplicates inside one restart survive. `at` is the iteration for scalars and
-    the time for volume integrals.
+    Duplicates inside one restart survive, rows without a restart do not; NULL keys are
+    values like others. `at` is the iteration for scalars and the time for volume integrals.
     """
     full = [*keys, at]
 
@@ -114,7 +115,7 @@ def first_restart_wins(
     hot = df.filter(is_heavy)
     firsts = hot.groupBy(*full).agg(first.alias("_first"))
     light = df.filter(~is_heavy).withColumn("_first", first.over(W.partitionBy(*full)))
-    return kept(light).unionByName(kept(hot.join(F.broadcast(firsts), full)).select(*df.columns))
+    return kept(light).unionByName(kept(join_keys(hot, firsts, full, "inner")).select(*df.columns))
 
 
 def normalise_by_first(df: DataFrame, keys: Sequence[str], t: str, value: str, out: str) -> DataFrame:

@@ -47,6 +47,14 @@ def sized(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if is_small(df) else df
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", broadcast: bool = True) -> DataFrame:
+    """Equi-join in which NULL keys match each other, as they do in the window or group that it replaces."""
+    there = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = [left[k].eqNullSafe(there[f"_r_{k}"]) for k in keys]
+    out = left.join(F.broadcast(there) if broadcast else there, on, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{k}" for k in keys])
+
+
 @dataclass(frozen=True)
 class KeyStats:
     """What routing needs to know about the keys of a table, from one scan of the key columns.
@@ -136,7 +144,7 @@ def attach(
     keys = list(keys)
     values = [c for c in table.columns if c not in keys and c != weight]
     if not many_keys and (stats or KeyStats.of(rows, keys)).few:
-        return rows.join(F.broadcast(table.drop(weight)), keys, how)
+        return join_keys(rows, table.drop(weight), keys, how)
 
     packed = table.select(*keys, weight, F.struct(*values).alias("_cold"))
     warm = (
@@ -147,9 +155,10 @@ def attach(
     )
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(SALTS)).cast("int") + 1
     joined = (
-        rows.join(F.broadcast(warm), keys, "left")
-        .withColumn("_salt", F.when(F.col("_warm").isNotNull(), spread).otherwise(0))
-        .join(packed.drop(weight).withColumn("_salt", F.lit(0)), [*keys, "_salt"], "left")
+        join_keys(
+            join_keys(rows, warm, keys).withColumn("_salt", F.when(F.col("_warm").isNotNull(), spread).otherwise(0)),
+            packed.drop(weight).withColumn("_salt", F.lit(0)), [*keys, "_salt"], broadcast=False,
+        )
         .withColumn("_hit", F.coalesce("_warm", "_cold"))
     )
     if how == "inner":
@@ -186,17 +195,17 @@ class Segments:
             return cls(keys, order, ())
         total = sum(r["_n"] for r in hot)
         chunk = max(hot_row_limit(df), total // MAX_EDGES + 1)
-        own = df.select(*keys, order).join(F.broadcast(_key_frame(df, keys, hot)), list(keys), "inner")
+        own = join_keys(df.select(*keys, order), _key_frame(df, keys, hot), keys, "inner")
         edges = _quantile_edges(own, keys, order, F.first("_n"), chunk)
         if tie is None:
             return cls(keys, order, edges)
         at_edge = _edge_frame(df, keys, order, edges).select(*keys, F.explode(F.array_distinct("_edges")).alias(order))
         on = [*keys, order]
-        same = df.select(*on, tie).join(F.broadcast(at_edge), on, "inner")
+        same = join_keys(df.select(*on, tie), at_edge, on, "inner")
         counts = same.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk).collect()
         if not counts:
             return cls(keys, order, edges)
-        same = same.join(F.broadcast(_key_frame(df, on, counts)), on, "inner")
+        same = join_keys(same, _key_frame(df, on, counts), on, "inner")
         return cls(keys, order, edges, tie, _quantile_edges(same, on, tie, F.first("_n"), chunk))
 
     def __bool__(self) -> bool:
@@ -206,19 +215,17 @@ class Segments:
         """Add `_seg`, increasing with `order` (then the tie column) inside each key."""
         if not self.edges:
             return df.withColumn("_seg", F.lit(0).cast("bigint"))
-        table = F.broadcast(_edge_frame(df, self.keys, self.order, self.edges))
         out = (
-            df.join(table, list(self.keys), "left")
+            join_keys(df, _edge_frame(df, self.keys, self.order, self.edges), self.keys)
             .withColumn("_seg", F.coalesce(_edges_passed(self.edges, self.order), F.lit(0)).cast("bigint"))
             .drop("_edges")
         )
         if not self.tied:
             return out
         on = [*self.keys, self.order]
-        table = F.broadcast(_edge_frame(df, on, self.tie, self.tied))
         # The hot value leads its segment, so all other rows go behind its pieces.
         sub = F.coalesce(_edges_passed(self.tied, self.tie), F.lit(_TIE_ROOM - 1))
-        return out.join(table, on, "left").withColumn("_seg", F.col("_seg") * _TIE_ROOM + sub).drop("_edges")
+        return join_keys(out, _edge_frame(df, on, self.tie, self.tied), on).withColumn("_seg", F.col("_seg") * _TIE_ROOM + sub).drop("_edges")
 
 
 _TIE_ROOM = 1 << 20

@@ -5,19 +5,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def combine_axes(samples: DataFrame, keys: Sequence[str] = ("run", "restart")) -> DataFrame:
-    """Rows (keys, body, axis, iteration, time, value) -> tracks, distinct as whole rows over restarts.
+def combine_axes(samples: DataFrame, keys: Sequence[str] = ("run", "restart"), line: str = "line") -> DataFrame:
+    """Rows (keys, body, axis, iteration, time, value, line) -> tracks, distinct as whole rows over restarts.
 
-    Files are matched by (restart, iteration) and the x file supplies the time.
+    The three files of a body in one restart are paired by iteration and, where an iteration has several
+    rows, by their place in the file (`line`, any type that orders; times and values without it). The x
+    file supplies the time. A row that one axis lacks is NULL there.
     """
+    own = [*keys, "body", "axis", "iteration"]
+    order = [line] if line in samples.columns else ["time", "value"]
+    placed = samples.withColumn("_place", F.row_number().over(W.partitionBy(*own).orderBy(*order)))
+
     def at(axis: str, column: str):
         return F.max(F.when(F.col("axis") == axis, F.col(column)))
 
     return (
-        samples.groupBy(*keys, "body", "iteration")
+        placed.groupBy(*keys, "body", "iteration", "_place")
         .agg(at("x", "time").alias("time"), *[at(a, "value").alias(a) for a in "xyz"])
         .select(*[k for k in keys if k != "restart"], "body", "iteration", "time", "x", "y", "z")
         .distinct()

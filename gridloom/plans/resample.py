@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions import names
 from gridloom.functions.grid import grid_point
 from gridloom.operators import amr, fields
 from gridloom.operators.ordered import iteration_select
@@ -36,26 +37,39 @@ def report_skipped(index: DataFrame, config: ResampleConfig) -> list[str]:
     return gone
 
 
+def in_plane(chunks: DataFrame, plane: str) -> DataFrame:
+    """Chunks of the plane, by the tag of their mesh names; untagged ones belong to any.
+
+    Adds `plane`: the plane's name at elevation 0 or without a tag, else the whole tag, so that
+    cuts at several elevations stay apart.
+    """
+    tag = names.plane_tag("plane_tag")
+    own = chunks.withColumn("_tag", tag).filter(F.col("_tag").isNull() | (F.col("_tag.plane") == plane))
+    apart = F.col("_tag").isNotNull() & (F.col("_tag.elevation") != 0)
+    return own.withColumn("plane", F.when(apart, F.col("plane_tag")).otherwise(F.lit(plane))).drop("_tag")
+
+
 def resample(chunks: DataFrame, config: ResampleConfig, run: str) -> DataFrame:
     """Slices of `chunks` (labelled, in `schema.AMR_CHUNK`) on the configured grid, finest level on top.
 
-    Iterations are chosen on metadata first and joined back, so arrays of other
-    iterations are not touched.
+    Only chunks of the configured plane count. Iterations are chosen on metadata
+    first and joined back, so arrays of other iterations are not touched. Where
+    several series cover an iteration, they are painted in one fixed order.
     """
     lo, hi = config.grid.bounds()
     nx, ny = (int(v) for v in config.grid.resolution)
-    labelled = chunks.withColumn("run", F.lit(run)).withColumn("variable", F.col("label"))
+    labelled = in_plane(chunks, config.plane).withColumn("run", F.lit(run)).withColumn("variable", F.col("label"))
     index = labelled.select("run", "variable", "iteration", "time").groupBy("run", "variable", "iteration").agg(
         F.min("time").alias("time")
     )
     chosen = select_iterations(index, config)
     picked = labelled.drop("time").join(sized(chosen), ["run", "variable", "iteration"])
-    keys = ["run", "variable", "iteration", "time"]
+    keys = ["run", "variable", "plane", "iteration", "time"]
     canvas = amr.composite_plane(
         picked, nx=nx, ny=ny, method=config.method, extent=amr.Extent(lo[0], hi[0], lo[1], hi[1]), keys=keys
     )
     return fields.to_slices(canvas, keys).select(
-        "run", "variable", F.lit(config.plane).alias("plane"), "iteration", "time", "nx", "ny", "data"
+        "run", "variable", "plane", "iteration", "time", "nx", "ny", "data"
     )
 
 
@@ -88,7 +102,7 @@ def run(spark: SparkSession, config: ResampleConfig) -> str:
         exclude_dirs=config.exclude_dirs, exclude_files=config.exclude_files, max_depth=config.scan_max_depth,
     )
     series = walk.find_series(index)
-    chunks = amr.labelled(openpmd.chunk_index(spark, series, which="all"))
+    chunks = in_plane(amr.labelled(openpmd.chunk_index(spark, series, which="all")), config.plane).drop("plane")
     report_skipped(chunks.select(F.col("label").alias("variable")), config)
     lo, hi = config.grid.bounds()
     needed = openpmd.intersecting(

@@ -87,8 +87,13 @@ def spin_harmonic(l: int, m: int, theta: float, phi: float) -> complex:
     return amp * complex(math.cos(m * phi), math.sin(m * phi))
 
 
-def total_strain(h: DataFrame, theta: float, phi: float, l_max: int = 8) -> DataFrame:
-    """Sum over modes of h_lm times its harmonic in the direction (theta, phi): rows (run, t, re, im)."""
+def total_strain(h: DataFrame, theta: float, phi: float, l_max: int | None = None, modes: DataFrame | None = None) -> DataFrame:
+    """Sum over modes of h_lm times its harmonic in the direction (theta, phi): rows (run, t, re, im).
+
+    All modes count unless `l_max` is given. `modes` is any table with the (l, m) of h, read instead of h to list them.
+    """
+    if l_max is None:
+        l_max = (h if modes is None else modes).agg(F.max("l")).first()[0] or 2
     table = h.sparkSession.createDataFrame(
         [
             (l, m, y.real, y.imag)
@@ -150,7 +155,7 @@ def analyse(modes: DataFrame, radius: float, cutoff: float, *, alpha: float = 0.
 
     h = strain(modes, radius, cutoff)
     stats = KeyStats.of(modes.filter("l = 2 and m = 2"), ["run"])
-    full = total_strain(h, theta, phi).withColumn("amp", modulus("re", "im"))
+    full = total_strain(h, theta, phi, modes=modes).withColumn("amp", modulus("re", "im"))
     h22 = h.filter("l = 2 and m = 2").drop("l", "m")
     phase = spectral.unwrap_phase(h22, ["run"], "t", "re", "im", stats=stats)
     spectrum = spectral.polarised_spectrum(h22, ["run"], "t", "re", "im", alpha, stats)

@@ -15,16 +15,19 @@ RESTART = r"output-(\d{4})"
 
 
 def read_table(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Rows (path, cols ARRAY<DOUBLE>); comments from `#` on and blank lines are dropped.
+    """Rows (path, line, cols ARRAY<DOUBLE>); comments from `#` on and blank lines are dropped.
 
-    A file with a single row is just that.
+    `line` orders the rows of a file as they stand in it. A file with a single row is just that.
     """
     text = F.trim(F.regexp_replace(F.col("value"), r"#.*$", ""))
     return (
         spark.read.text(paths if isinstance(paths, str) else list(paths))
-        .select(F.col("_metadata.file_path").alias("path"), text.alias("_line"))
+        .select(
+            F.col("_metadata.file_path").alias("path"), text.alias("_line"),
+            F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("line"),
+        )
         .filter("_line <> ''")
-        .select("path", F.split("_line", r"\s+").cast("array<double>").alias("cols"))
+        .select("path", "line", F.split("_line", r"\s+").cast("array<double>").alias("cols"))
     )
 
 
@@ -61,13 +64,13 @@ def read_volume(spark: SparkSession, run: str, paths: str | Sequence[str], long:
 
 
 def read_puncture(spark: SparkSession, run: str, run_dir: str) -> DataFrame:
-    """(run, restart, body, axis, iteration, time, value) from the six location files of each restart."""
+    """(run, restart, body, axis, iteration, time, value, line) from the six location files of each restart."""
     table = read_table(spark, f"{run_dir.rstrip('/')}/output-*/Scalars/pt_loc_*..asc")
     return table.select(
         F.lit(run).alias("run"), restart_number("path").alias("restart"),
         F.regexp_extract(F.url_decode("path"), r"pt_loc_[xyz]\[(\d)\]", 1).cast("int").alias("body"),
         F.regexp_extract("path", r"pt_loc_([xyz])", 1).alias("axis"),
-        _at(ITERATION).cast("bigint").alias("iteration"), _at(TIME).alias("time"), _at(VALUE).alias("value"),
+        _at(ITERATION).cast("bigint").alias("iteration"), _at(TIME).alias("time"), _at(VALUE).alias("value"), "line",
     )
 
 

@@ -58,12 +58,14 @@ ELEVATION_SQL = f"""(case when regexp_extract(s, {RX}, 3) = 'neg' then -1 else 1
 select id, regexp_extract(s, {RX}) as tag, regexp_extract(s, {RX}, 1) as plane,
   regexp_extract(s, {RX}, 2) as normal_axis, regexp_extract(s, {RX}, 3) as sign,
   round({ELEVATION_SQL}, 9) as elevation, 9::bigint as first, 9 + length(regexp_extract(s, {RX})) as last
-from s where regexp_matches(s, {RX})""")
+from s where regexp_matches(s, {RX})
+union all
+-- No tag in the basename: the one of the directory counts, at its place in the whole path.
+select id, 'xy_z_pos9', 'xy', 'z', 'pos', 9::double, 9::bigint, 18::bigint from s where not regexp_matches(s, {RX})""")
 def plane_tag_parse(spark: SparkSession, sf: str) -> DataFrame:
     path = F.concat(F.lit("/data/xy_z_pos9/sim.x_"), F.col("tag0"))
     return (
         mesh_names(spark, sf).select("id", F.explode(F.array_compact(F.array(names.plane_tag(path)))).alias("t"), "tag0")
-        .filter(F.col("tag0") != "volume")
         .select(
             "id", "t.tag", "t.plane", "t.normal_axis", "t.sign", F.round("t.elevation", 9).alias("elevation"),
             (F.col("t.start") + 3).cast("bigint").alias("first"), (F.col("t.end") + 3).cast("bigint").alias("last"),

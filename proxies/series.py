@@ -230,20 +230,21 @@ def variables_semi_anti(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _puncture_samples(spark: SparkSession, sf: str) -> DataFrame:
-    """Six scalar files' worth of rows per restart; restarts repeat many iterations with equal values."""
+    """Six scalar files' worth of rows per restart; an iteration has several rows, and restarts repeat many of them."""
     li = tb.read(spark, sf, "lineitem")
     axes = F.array(*[F.struct(F.lit(b).alias("body"), F.lit(a).alias("axis"), F.lit(k).alias("f")) for b in (0, 1) for k, a in enumerate("xyz")])
     return li.select(
-        F.col("l_returnflag").alias("run"), F.col("l_linenumber").alias("restart"), F.col("l_orderkey").alias("iteration"),
-        (F.col("l_orderkey") * 0.5).alias("time"), F.explode(axes).alias("a"),
+        F.col("l_returnflag").alias("run"), (F.col("l_linenumber") % 2).alias("restart"), F.col("l_orderkey").alias("iteration"),
+        (F.col("l_orderkey") * 0.5).alias("time"), F.col("l_linenumber").alias("line"), F.explode(axes).alias("a"),
     ).select(
-        "run", "restart", "iteration", "time", "a.body", "a.axis",
-        ((F.col("iteration") % 97) * (F.col("a.f") + 1) * F.when(F.col("a.body") == 0, 0.25).otherwise(-0.25)).alias("value"),
+        "run", "restart", "iteration", "time", "line", "a.body", "a.axis",
+        (((F.col("iteration") + F.col("a.f") * F.expr("line div 2") * 13) % 97) * (F.col("a.f") + 1) * F.when(F.col("a.body") == 0, 0.25).otherwise(-0.25)).alias("value"),
     )
 
 
-TRACK_SQL = """tr as (select distinct l_returnflag as run, b as body, l_orderkey as iteration, l_orderkey * 0.5::double as time,
-  (l_orderkey % 97) * s as x, (l_orderkey % 97) * 2 * s as y, (l_orderkey % 97) * 3 * s as z
+_AXIS = "((l_orderkey + {0} * (l_linenumber // 2) * 13) % 97) * {1} * s"
+TRACK_SQL = f"""tr as (select distinct l_returnflag as run, b as body, l_orderkey as iteration, l_orderkey * 0.5::double as time,
+  {_AXIS.format(0, 1)} as x, {_AXIS.format(1, 2)} as y, {_AXIS.format(2, 3)} as z
   from lineitem cross join (values (0, 0.25::double), (1, -0.25::double)) v(b, s))"""
 
 
@@ -252,15 +253,16 @@ def puncture_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return tracks.combine_axes(_puncture_samples(spark, sf))
 
 
-@query(f"""with {TRACK_SQL}, w as (select distinct l_returnflag as run, l_orderkey * 0.5::double as time from lineitem)
-select w.run, w.time, a.x as x0, b.x as x1, a.y as y0, b.y as y1 from w
-join tr a on a.run = w.run and a.time = w.time and a.body = 0 join tr b on b.run = w.run and b.time = w.time and b.body = 1""")
+@query(f"""with {TRACK_SQL},
+ f as (select run, time, body, unnest(min({{'iteration': iteration, 'x': x, 'y': y, 'z': z}})) from tr group by run, time, body)
+select a.run, a.time, a.iteration, a.x as x0, b.x as x1, a.y as y0, b.y as y1, a.z as z0, b.z as z1
+from f a join f b on a.run = b.run and a.time = b.time where a.body = 0 and b.body = 1""")
 def puncture_lookup(spark: SparkSession, sf: str) -> DataFrame:
     track = tracks.combine_axes(_puncture_samples(spark, sf))
     wanted = tb.read(spark, sf, "lineitem").select(F.col("l_returnflag").alias("run"), (F.col("l_orderkey") * 0.5).alias("time"))
     return tracks.lookup(track, wanted, by="time").select(
-        "run", "time", F.col("body0.x").alias("x0"), F.col("body1.x").alias("x1"),
-        F.col("body0.y").alias("y0"), F.col("body1.y").alias("y1"),
+        "run", "time", F.col("body0.iteration").alias("iteration"),
+        *[F.col(f"body{b}.{a}").alias(f"{a}{b}") for a in "xyz" for b in (0, 1)],
     )
 
 
