@@ -166,7 +166,7 @@ def place(at: Column) -> tuple[Column, Column]:
 
 
 def repeated(docs: DataFrame, unit: str, length: int, k: int, resolve: Callable, shard_symbols: int, max_contents: int = MAX_CONTENTS) -> DataFrame:
-    """(_d, _h, spans) of the documents with repeated windows; spans are [first, end) symbols, unmerged.
+    """(_d, _h, _spans) of the documents with repeated windows; the spans are [first, end) symbols, unmerged.
 
     docs: _d, _h, _text (binary, not null). resolve(bodies, weights, length) gets the contents of one
     shard (bytes; words joined by one space) and how often each occurs, and gives a boolean array per
@@ -204,7 +204,7 @@ def repeated(docs: DataFrame, unit: str, length: int, k: int, resolve: Callable,
         hits.where("varied").join(contents.where("n > 1").select("anchor", "content"), ["anchor", "content"], "left_semi").select(*KEY, "at")
     ).select(*KEY, start.alias("first"), (start + count - 1 + length).alias("end"))
     every = whole.unionByName(found).unionByName(_crowded(known.where("crowded"), unit, length))
-    return every.groupBy(*KEY).agg(F.collect_set(F.struct("first", "end")).alias("spans"))
+    return every.groupBy(*KEY).agg(F.collect_set(F.struct("first", "end")).alias("_spans"))
 
 
 def _fetch(contents: DataFrame, docs: DataFrame, unit: str, length: int) -> DataFrame:

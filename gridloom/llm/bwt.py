@@ -120,22 +120,22 @@ def resolve(bodies: list[bytes], weights: np.ndarray, size: int) -> list[np.ndar
     return np.split(often, np.cumsum(windows)[:-1])
 
 
-def repeated_bytes(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
+def repeated_bytes(docs: DataFrame, length: int = LENGTH, text: str = "text", **limits: int) -> DataFrame:
     """Per document key: spans of bytes in windows that occur anywhere else."""
     rows = keyed(docs, text).select(*KEY, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"))
-    return repeated(rows, "byte", length, min(K, length), resolve, SHARD_BYTES)
+    return repeated(rows, "byte", length, min(K, length), resolve, SHARD_BYTES, **limits)
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, text: str = "text", **limits: int) -> DataFrame:
     """docs + n_bytes, n_removed, removed (maximal runs of bytes), kept_sha256, kept (bytes that stay)."""
-    both = keyed(docs, text).join(repeated_bytes(docs, length, text), list(KEY), "left").drop(*KEY)
+    both = keyed(docs, text).join(repeated_bytes(docs, length, text, **limits), list(KEY), "left").drop(*KEY)
     # The spans travel to the text's function in front of it.
     framed = both.withColumn("_framed", F.concat(
-        F.coalesce(F.to_json("spans"), F.lit("[]")).cast("binary"), F.lit("\n").cast("binary"), F.coalesce(F.col(text), F.lit("")).cast("binary")
-    )).drop("spans")
+        F.coalesce(F.to_json("_spans"), F.lit("[]")).cast("binary"), F.lit("\n").cast("binary"), F.coalesce(F.col(text), F.lit("")).cast("binary")
+    )).drop("_spans")
 
     def make():
         def work(texts: list[bytes | None]):
@@ -160,8 +160,8 @@ def cleaned(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFr
     """The columns of docs, the text without its repeated spans; characters are kept or removed as a whole."""
     both = keyed(docs, text).join(repeated_bytes(docs, length, text), list(KEY), "left").drop(*KEY)
     framed = both.withColumn("_framed", F.concat(
-        F.coalesce(F.to_json("spans"), F.lit("[]")).cast("binary"), F.lit("\n").cast("binary"), F.col(text).cast("binary")
-    )).drop("spans")
+        F.coalesce(F.to_json("_spans"), F.lit("[]")).cast("binary"), F.lit("\n").cast("binary"), F.col(text).cast("binary")
+    )).drop("_spans")
 
     def make():
         def work(texts: list[bytes | None]):

@@ -210,11 +210,11 @@ def _fetch(members: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame, **options) -> DataFrame:
-    """The columns of docs: of each class the row of its least id. Rows without words stay; equal rows with words count once."""
+    """The columns of docs: of each class the row of its least id (of rows equal in id and text, one). Rows without words stay."""
     found = stored(join(docs, **options))
     keep = found.where("n_links = 0 or doc_id <=> class_id").groupBy(F.col("doc_id").alias("_keep")).agg(
         ((F.count("*") > 1) & (F.max("n_links") > 0)).alias("_again"))
     kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["_keep"])).drop("_keep")
     # Only ids that occur again have their rows compared.
     once = kept.where("not _again").drop("_again")
-    return once.unionByName(kept.where("_again").drop("_again").dropDuplicates()) if not keep.where("_again").isEmpty() else once
+    return once.unionByName(kept.where("_again").drop("_again").dropDuplicates(["doc_id", "text"])) if not keep.where("_again").isEmpty() else once

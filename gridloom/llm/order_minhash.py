@@ -99,7 +99,7 @@ def with_next(docs: DataFrame, text: str = "text", parts: int | None = None) ->
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID))
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"), key.alias("k"))
     edges = rows.agg(F.percentile_approx("k", [i / n for i in range(1, n)], 100 * n), F.min("k")).first()
-    cuts = sorted({edges[1], *(edges[0] or [])} - {None})
+    cuts = sorted({edges[1], *(edges[0] or [])} - {None}) or [0]
     held = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")
     bucket = F.size(F.filter(held, lambda e: e <= F.col("k"))) - 1
     last = len(cuts) - 1

@@ -107,20 +107,20 @@ def resolve(bodies: list[bytes], weights: np.ndarray, size: int) -> list[np.ndar
     ]
 
 
-def repeated_words(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
+def repeated_words(docs: DataFrame, length: int = LENGTH, text: str = "text", **limits: int) -> DataFrame:
     """Per document key: spans of words in windows that occur anywhere else."""
     rows = keyed(docs, text).select(*KEY, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"))
-    return repeated(rows, "word", length, min(K, length), resolve, SHARD_WORDS)
+    return repeated(rows, "word", length, min(K, length), resolve, SHARD_WORDS, **limits)
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, text: str = "text", **limits: int) -> DataFrame:
     """docs + n_words, n_removed, kept_sha256, kept (the kept words, joined by one space)."""
     keys = keyed(docs, text)
-    both = keys.join(repeated_words(docs, length, text), list(KEY), "left").drop(*KEY)
+    both = keys.join(repeated_words(docs, length, text, **limits), list(KEY), "left").drop(*KEY)
     # The spans travel to the text's function in front of it.
     framed = both.withColumn("_framed", F.concat(
-        F.coalesce(F.to_json("spans"), F.lit("[]")).cast("binary"), F.lit("\n").cast("binary"), F.coalesce(F.col(text), F.lit("")).cast("binary")
-    )).drop("spans")
+        F.coalesce(F.to_json("_spans"), F.lit("[]")).cast("binary"), F.lit("\n").cast("binary"), F.coalesce(F.col(text), F.lit("")).cast("binary")
+    )).drop("_spans")
 
     def make():
         import json
