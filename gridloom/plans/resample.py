@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import names
 from gridloom.functions.grid import grid_point
-from gridloom.operators import amr, fields
+from gridloom.operators import amr
 from gridloom.operators.ordered import iteration_select
+from gridloom.operators.painting import composite_slices
 from gridloom.operators.skew import sized
 from gridloom.plans.config import ResampleConfig
 from gridloom.plans.tasks import requested_variables, skipped_variables
@@ -65,10 +66,10 @@ def resample(chunks: DataFrame, config: ResampleConfig, run: str) -> DataFrame:
     chosen = select_iterations(index, config)
     picked = labelled.drop("time").join(sized(chosen), ["run", "variable", "iteration"])
     keys = ["run", "variable", "plane", "iteration", "time"]
-    canvas = amr.composite_plane(
+    canvas = composite_slices(
         picked, nx=nx, ny=ny, method=config.method, extent=amr.Extent(lo[0], hi[0], lo[1], hi[1]), keys=keys
     )
-    return fields.to_slices(canvas, keys).select(
+    return canvas.select(
         "run", "variable", "plane", "iteration", "time", "nx", "ny", "data"
     )
 

@@ -1,6 +1,9 @@
 """Resampling tells planes, elevations and series apart."""
 
-from gridloom.operators import amr
+import numpy as np
+import pytest
+
+from gridloom.operators import amr, fields, painting
 from gridloom.plans import config, resample
 from gridloom.schema import AMR_CHUNK
 
@@ -36,3 +39,30 @@ def test_series_are_painted_in_one_order(spark):
 def test_chunk_numbers_have_room(spark):
     rows = [chunk("a", name(TAGS["xy"]), k, chunk_id=k) for k in (7, (1 << 31) - 1, 1 << 24)]
     assert slices(spark, rows) == {"xy": {float((1 << 31) - 1)}}
+
+
+@pytest.mark.parametrize("method", ["nearest", "linear"])
+@pytest.mark.parametrize("block", [1 << 20, 90])
+def test_slices_equal_the_point_composite(spark, monkeypatch, method, block):
+    monkeypatch.setattr(painting, "BLOCK", block)
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(40):
+        ny, nx = (int(v) for v in rng.integers(1, 6, 2))
+        data = np.where(rng.random(ny * nx) < 0.1, np.nan, rng.normal(size=ny * nx))
+        level = int(rng.integers(0, 3))
+        step = rng.choice([-1.0, 1.0], 2) / 2**level
+        rows.append((
+            "ab"[k % 2], k % 3, 0.5, f"hydrobasex_rho_patch{k % 2:02d}_lev{level:02d}", "scalar", k % 2, k, [20, 20],
+            [int(v) for v in rng.integers(0, 9, 2)], [ny, nx], [float(v) for v in rng.normal(size=2)], [float(v) for v in step],
+            [0.5 * (k % 2)] * 2, [float(v) for v in data]))
+    rows.append(("a", 9, 0.5, "hydrobasex_rho_patch00_lev00", "scalar", 0, 0, [2, 2], [0, 0], [2, 2], [99.0, 99.0], [1.0, 1.0], [0.0, 0.0], [1.0] * 4))
+    chunks = amr.labelled(spark.createDataFrame(rows, AMR_CHUNK))
+    keys, extent = ["label", "iteration"], amr.Extent(-6.0, 9.0, -5.5, 8.0)
+    own = painting.composite_slices(chunks, nx=31, ny=27, method=method, extent=extent, keys=keys)
+    want = fields.to_slices(amr.composite_plane(chunks, nx=31, ny=27, method=method, extent=extent, keys=keys), keys)
+    own, want = ({(r.label, r.iteration): r for r in x.collect()} for x in (own, want))
+    assert own.keys() == want.keys() and len(own) == 4
+    for k, r in own.items():
+        assert (r.nx, r.ny) == (want[k].nx, want[k].ny)
+        np.testing.assert_array_equal(r.data, want[k].data)
