@@ -11,6 +11,7 @@ from gridloom.functions.scalars import (
     finite_or_null, rotation_rate, safe_divide, safe_divide_arrays,
 )
 from gridloom.operators import amr, fields, ordered, series
+from gridloom.operators.painting import composite_slices
 from proxies import tables as tb
 from proxies.diagnostics import labelled
 from proxies.registry import query
@@ -170,6 +171,21 @@ def bilinear_resample(spark: SparkSession, sf: str) -> DataFrame:
     return _canvas(canvas).withColumns({"unwritten": F.isnan("v"), "v": finite_or_null("v")})
 
 
+@query(f"""with {tb.CHUNKS}, {_writes_sql(48, True, FIXED)}
+select e.iteration, e.label, j.j, i.i, round(cv.v, 9) as v
+from (select distinct iteration, label from ch) e cross join range(48) j(j) cross join range(48) i(i)
+left join cv on cv.iteration = e.iteration and cv.label = e.label and cv.j = j.j and cv.i = i.i""")
+def resample_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """The same grid as whole slices, x first, with their unwritten points."""
+    out = composite_slices(
+        labelled(spark, sf), nx=48, ny=48, method="linear", extent=amr.Extent(0, 33, 0, 33), keys=["iteration", "label"]
+    )
+    return out.select("iteration", "label", F.posexplode("data").alias("q", "v")).select(
+        "iteration", "label", F.expr("cast(q % 48 as bigint)").alias("j"), F.expr("q div 48").alias("i"),
+        F.round(finite_or_null("v"), 9).alias("v"),
+    )
+
+
 @query(f"with {tb.CHUNKS}, {_writes_sql(48, False, FIXED)} select iteration, label, j, i, round(v, 9) as v from cv")
 def nearest_resample(spark: SparkSession, sf: str) -> DataFrame:
     canvas = amr.composite_plane(
