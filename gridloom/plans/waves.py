@@ -24,14 +24,16 @@ from gridloom.operators.skew import KeyStats, attach
 MODE = ("run", "l", "m")
 
 
-def integrate_fixed_frequency(
-    modes: DataFrame, cutoff: float, order: int = 2, keys: Sequence[str] = MODE, stats: KeyStats | None = None
-) -> DataFrame:
-    """`order` time integrals of complex series (keys, t, re, im) with cutoff period `cutoff`."""
-    if order not in (1, 2):
-        raise ValueError("order must be 1 or 2")
+def at_radius(modes: DataFrame, radius: float) -> DataFrame:
+    """Modes extracted at the radius (to nine digits); a table without a radius column has one radius."""
+    if "radius" not in modes.columns:
+        return modes
+    return modes.filter(F.abs(F.col("radius") - radius) <= 1e-9 * abs(radius)).drop("radius")
+
+
+def _integrals(modes: DataFrame, cutoff: float, orders: Sequence[int], keys: Sequence[str], stats: KeyStats) -> DataFrame:
+    """Rows (keys, order, t, re, im): all orders from one forward and one inverse transform."""
     keys = list(keys)
-    stats = stats or KeyStats.of(modes, keys)
     rows = Ordered.of(modes.select(*keys, "t", "re", "im"), keys, "t", stats=stats).index("idx").result()
     grid = modes.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_w"), F.count(F.lit(1)).alias("n"), F.min("t").alias("t0"),
@@ -43,22 +45,32 @@ def integrate_fixed_frequency(
     turn = F.when(2 * F.col("k") < F.col("n"), F.col("k")).otherwise(F.col("k") - F.col("n"))
     omega = F.lit(2 * math.pi) * turn / (F.col("n") * F.col("dt"))
     floor = F.greatest(F.abs(omega), F.lit(2 * math.pi / cutoff))
-    if order == 2:
-        re, im = -F.col("re") / (floor * floor), -F.col("im") / (floor * floor)
-    else:
-        # Division by i omega; the zero frequency has no sign and integrates to nothing.
-        re, im = F.col("im") * F.signum(omega) / floor, -F.col("re") * F.signum(omega) / floor
+    # Division by i omega; the zero frequency has no sign and integrates to nothing.
+    factor = {
+        1: (F.col("im") * F.signum(omega) / floor, -F.col("re") * F.signum(omega) / floor),
+        2: (-F.col("re") / (floor * floor), -F.col("im") / (floor * floor)),
+    }
+    each = F.array(*[F.struct(F.lit(o).alias("order"), factor[o][0].alias("re"), factor[o][1].alias("im")) for o in orders])
     back = spectral.fft(
-        spec.select(*full, "n", "k", re.alias("re"), im.alias("im")), full, "k", "n", "re", "im",
-        inverse=True, longest=stats.longest,
+        spec.select(*full, "n", "k", F.inline(each)), [*full, "order"], "k", "n", "re", "im", inverse=True, longest=stats.longest,
     )
-    return back.select(*keys, (F.col("t0") + F.col("k") * F.col("dt")).alias("t"), "re", "im")
+    return back.select(*keys, "order", (F.col("t0") + F.col("k") * F.col("dt")).alias("t"), "re", "im")
+
+
+def integrate_fixed_frequency(
+    modes: DataFrame, cutoff: float, order: int = 2, keys: Sequence[str] = MODE, stats: KeyStats | None = None
+) -> DataFrame:
+    """`order` time integrals of complex series (keys, t, re, im) with cutoff period `cutoff`."""
+    if order not in (1, 2):
+        raise ValueError("order must be 1 or 2")
+    return _integrals(modes, cutoff, (order,), keys, stats or KeyStats.of(modes, keys)).drop("order")
 
 
 def strain(
     modes: DataFrame, radius: float, cutoff: float, trim: bool = True, stats: KeyStats | None = None
 ) -> DataFrame:
-    """r * h_lm from psi4_lm; `trim` removes one cutoff period at both ends of each mode."""
+    """r * h_lm from psi4_lm at this radius; `trim` removes one cutoff period at both ends of each mode."""
+    modes = at_radius(modes, radius)
     stats = stats or KeyStats.of(modes, MODE)
     h = integrate_fixed_frequency(modes, cutoff, stats=stats).withColumns({
         "re": F.col("re") * F.lit(float(radius)), "im": F.col("im") * F.lit(float(radius)),
@@ -116,12 +128,11 @@ def _d(l: Column, m: Column) -> Column:
 
 
 def radiated(modes: DataFrame, radius: float, cutoff: float, l_max: int = 4) -> DataFrame:
-    """Cumulative radiated energy, J_z and P_z per run: rows (run, t, energy, j_z, p_z)."""
-    used = modes.filter(F.col("l") <= l_max)
-    stats = KeyStats.of(used, MODE)
-    one = integrate_fixed_frequency(used, cutoff, 1, stats=stats)
-    two = integrate_fixed_frequency(used, cutoff, 2, stats=stats).select(*MODE, "t", F.col("re").alias("re2"), F.col("im").alias("im2"))
-    rows = one.join(two, [*MODE, "t"])
+    """Cumulative radiated energy, J_z and P_z per run from the modes at this radius: rows (run, t, energy, j_z, p_z)."""
+    used = at_radius(modes, radius).filter(F.col("l") <= l_max)
+    of = lambda order, part: F.max(F.when(F.col("order") == order, F.col(part)))
+    rows = _integrals(used, cutoff, (1, 2), MODE, KeyStats.of(used, MODE)).groupBy(*MODE, "t").agg(
+        of(1, "re").alias("re"), of(1, "im").alias("im"), of(2, "re").alias("re2"), of(2, "im").alias("im2"))
     # Neighbours in l at the same m and time: at most l_max rows per group.
     near = W.partitionBy("run", "m", "t").orderBy("l")
     for name, side in (("lo", F.lag), ("hi", F.lead)):
@@ -153,6 +164,7 @@ def analyse(modes: DataFrame, radius: float, cutoff: float, *, alpha: float = 0.
     """The chain from psi4 to merger times, phase, frequency, spectrum and spectral peak, lazily."""
     from gridloom.functions.scalars import modulus, spectral_density
 
+    modes = at_radius(modes, radius)
     h = strain(modes, radius, cutoff)
     stats = KeyStats.of(modes.filter("l = 2 and m = 2"), ["run"])
     full = total_strain(h, theta, phi, modes=modes).withColumn("amp", modulus("re", "im"))

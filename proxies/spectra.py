@@ -165,11 +165,13 @@ def _ffi_sql(order: int, modes: str = "md") -> str:
         from fy join jn on jn.run = fy.run group by all)"""
 
 
-@query(f"""with {MODES_SQL}, d1 as (select * from md where l = 2), {_ffi_sql(2, 'd1')}
+@query(f"""with {MODES_SQL}, {_ffi_sql(2)}
 select it.run, l, m, j::double as t, round(re * 500, 3) as re, round(im * 500, 3) as im from it
 join nn on nn.run = it.run where j >= {CUTOFF} and j <= n - 1 - {CUTOFF}""")
 def gw_strain(spark: SparkSession, sf: str) -> DataFrame:
-    h = waves.strain(_modes(spark, sf).filter("l = 2"), 500.0, CUTOFF)
+    """All modes of one of two extraction radii."""
+    near = _modes(spark, sf).withColumns({"radius": F.lit(300.0), "re": F.col("re") * 7})
+    h = waves.strain(_modes(spark, sf).withColumn("radius", F.lit(500.0)).unionByName(near), 500.0, CUTOFF)
     return h.select("run", "l", "m", F.round("t", 6).alias("t"), F.round("re", 3).alias("re"), F.round("im", 3).alias("im"))
 
 
