@@ -10,16 +10,17 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import regex
 
-#: Pieces whose ids are kept at a time in one worker (some 200 bytes each).
+#: Pieces in either half of the cache of one worker (some 200 bytes each).
 CACHE = 300_000
 END = "\x1c"
 # Fixed value: how the vocabulary's tokenizer splits words.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-PLAIN = regex.compile(r"[\x21-\x7e¡-įĲ-ɏ]+")
+WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+ODD = regex.compile(r"[^\x20-\x7e¡-įĲ-ɏ]")
 
 
 class Encoder:
@@ -58,44 +59,49 @@ class Encoder:
         ends = {i for t, i in vocab.items() if t.endswith("</w>")}
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[list(ends)] = True
-        self.bpe = tiktoken.Encoding("words", pat_str=f"[^{END}]*{END}", mergeable_ranks=ranks, special_tokens={})
-        self.cache: dict[bytes, bytes] = {}
+        self.bpe = tiktoken.Encoding("words", pat_str=f"[^{END} ]*{END}", mergeable_ranks=ranks, special_tokens={})
+        self.recent: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _slow(self, piece: str) -> bytes:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def _learn(self, pieces: list[bytes]) -> None:
-        plain, counts, parts = [], [], []
-        for piece in pieces:
-            s = piece.decode()
-            if not PLAIN.fullmatch(s) or self.marked.search(s):
-                self.cache[piece] = self._slow(s)
-                continue
-            got = PIECES.findall((s if s.isascii() else unicodedata.normalize("NFC", s)).lower())
-            plain.append(piece)
-            counts.append(len(got))
-            parts += got
-        if not parts:
+        """Keep the ids of new pieces; all plain ones go through the merges in one call."""
+        joined = b" ".join(pieces).decode()
+        if ODD.search(joined) or self.marked.search(joined):
+            odd = [p for p in pieces if ODD.search(p.decode()) or self.marked.search(p.decode())]
+            self.recent.update((p, self._slow(p.decode())) for p in odd)
+            pieces = list(set(pieces).difference(odd))
+            joined = b" ".join(pieces).decode()
+        if not pieces:
             return
-        ids = self.ids[np.array(self.bpe.encode_ordinary(END.join(parts) + END), np.int64)]
+        if not joined.isascii():
+            joined = unicodedata.normalize("NFC", joined)
+        # Words of each piece, each with the end mark; the spaces between pieces stay and match no token.
+        marked = WORDS.sub(r"\g<0>" + END, joined.lower())
+        ids = self.ids[np.array(self.bpe.encode_ordinary(marked), np.int64)]
         stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(parts):  # a word end was lost or doubled: let the tokenizer decide
-            for piece in plain:
-                self.cache[piece] = self._slow(piece.decode())
+        raw = np.frombuffer(marked.encode(), np.uint8)
+        ends = np.cumsum(raw == ord(END))
+        upto = np.append(ends[raw == 32], ends[-1])
+        if len(stops) != ends[-1] or len(upto) != len(pieces):  # a mark was lost or doubled: let the tokenizer decide
+            self.recent.update((p, self._slow(p.decode())) for p in pieces)
             return
-        bounds = np.concatenate([[0], stops])[np.concatenate([[0], np.cumsum(counts)])] * 4
+        bounds = (np.concatenate([[0], stops])[np.concatenate([[0], upto])] * 4).tolist()
         data = ids.astype("<u4").tobytes()
-        for piece, a, b in zip(plain, bounds.tolist(), bounds[1:].tolist()):
-            self.cache[piece] = data[a:b]
+        self.recent.update(zip(pieces, map(data.__getitem__, map(slice, bounds, bounds[1:]))))
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         split = [t.split() if t else [] for t in texts]
-        new = set().union(*split) - self.cache.keys()
-        if len(new) + len(self.cache) > CACHE:
-            self.cache.clear()
-            new = set().union(*split)
-        self._learn(list(new))
-        return [b"".join(map(self.cache.__getitem__, s)) for s in split]
+        if len(self.recent) > CACHE:
+            self.recent, self.old = {}, self.recent
+        new = set(chain.from_iterable(split)).difference(self.recent)
+        # Pieces met again go over from the older half of the cache.
+        for piece in new.intersection(self.old):
+            self.recent[piece] = self.old[piece]
+        self._learn(list(new.difference(self.recent)))
+        return [b"".join(map(self.recent.__getitem__, s)) for s in split]
 
 
 def _byte_alphabet() -> dict[str, int]:
