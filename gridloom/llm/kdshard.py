@@ -149,12 +149,16 @@ def _cut(state: DataFrame, goal: dict[int, float]) -> tuple[dict[int, tuple[int,
     left = []
     edge = state.where(here).select("node", "place", "g", "size", "part", "bytes").orderBy("place", "g", "part").limit(EDGE * 2 * len(bins)).collect()
     for n in bins:
-        need = missing[n]
+        need, over = missing[n], None
         for r in (r for r in edge if r.node == n):
-            # Take a unit if that brings the left side closer to its goal.
-            if abs(need - r.bytes) < abs(need):
+            if r.bytes <= need:
                 need -= r.bytes
                 left.append((r.g, r.size, r.part))
+            elif over is None or r.bytes < over.bytes:
+                over = r
+        # One unit too many, if that comes closer to the goal.
+        if over is not None and over.bytes - need < need:
+            left.append((over.g, over.size, over.part))
     return bins, left
 
 
