@@ -4,8 +4,8 @@ Folding lower-cases, strips accents, maps homoglyphs to Latin letters, and digit
 stand between or before letters to the letters they resemble. Entries are whole words or word
 beginnings; each weighs its smoothed log-odds among the labelled documents. Word pairs in which an
 entry is harmless are exception phrases, matched by the same automaton, and cancel the entry. The
-weights are summed and divided by a power of the number of words; a one-variable logistic curve turns
-that into a score.
+weights of all matches are summed, divided by a power of the number of words, and turned into a score by
+a logistic curve; weights and curve are then fitted together to the labels, starting from the log-odds.
 
 Null, empty and word-free texts have no matches and get the score of such a text. Labels that are
 null or belong to no document are not used; without both kinds of label every score is the same.
@@ -25,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.llm.common import DOUBLE, LONG, with_text
-from gridloom.llm.training import held_out, logistic_curve, sample
+from gridloom.llm.training import held_out, sample
 
 #: Bound on the labelled rows that lexicon and curve are fitted on.
 MAX_TRAINING_ROWS = 20_000
@@ -35,7 +36,8 @@ MAX_TRAINING_ROWS = 20_000
 MAX_ENTRIES = 4_000
 #: Least log-odds of an entry.
 MIN_ODDS = 1.5
-LENGTH_POWER = 0.25
+LENGTH_POWER = 0.5
+STEPS, RATE, RIDGE = 500, 0.1, 1e-3
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
 
@@ -200,12 +202,49 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = M
         rows.unpersist()
         return Model({}, [], (0.0, 0.0))
     weights = lexicon(rows, n_toxic, n_clean)
-    model = Model(weights, exception_phrases(rows, weights), (0.0, 0.0))
-    # At most `limit` pairs of numbers.
-    pairs = np.array([(r.strength, float(r._label > 0)) for r in _strength(rows, model, "_text").select("strength", "_label").collect()])
+    exceptions = exception_phrases(rows, weights)
+    entries = sorted(weights)
+    # At most `limit` rows of match counts.
+    got = _matched(rows, weights, exceptions, entries).select("_label", "_scale", "_entries").collect()
     rows.unpersist()
-    model.curve = logistic_curve(pairs[:, 0], pairs[:, 1], ridge=1e-5)
-    return model
+    row = np.repeat(np.arange(len(got)), [len(r._entries) for r in got])
+    entry = np.array([e for r in got for e in r._entries], np.int64)
+    start = np.array([weights[e] for e in entries])
+    fitted, base = refined(row, entry, np.array([r._scale for r in got]), np.array([r._label > 0 for r in got], float), start)
+    return Model(dict(zip(entries, fitted.tolist())), exceptions, (1.0, base))
+
+
+def _matched(rows: DataFrame, weights: dict[str, float], exceptions: list[str], entries: list[str]) -> DataFrame:
+    """rows + _entries (number of the entry of each match) and _scale (what its weight is multiplied by)."""
+    number = {e: k for k, e in enumerate(entries)}
+
+    def make():
+        machine = automaton(weights, exceptions)
+
+        def work(texts: list[bytes | None]):
+            found, scale = [], []
+            for raw in texts:
+                flat = folded(raw.decode()) if raw else " "
+                found.append([number[m[1]] for m in matches(machine, flat)])
+                scale.append(max(flat.count(" ") - 1, 1) ** -LENGTH_POWER)
+            return [found, scale]
+
+        return work
+
+    return with_text(rows, "_text", [("_entries", T.ArrayType(LONG)), ("_scale", DOUBLE)], make)
+
+
+def refined(row: np.ndarray, entry: np.ndarray, scale: np.ndarray, y: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and intercept of least logistic loss, by Adam from `start`; a ridge holds them near it."""
+    w, m, v = np.append(start, np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))), 0.0, 0.0
+    for t in range(1, STEPS + 1):
+        z = np.bincount(row, w[entry] * scale[row], len(y)) + w[-1]
+        slip = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) / len(y)
+        grad = np.append(np.bincount(entry, slip[row] * scale[row], len(start)), slip.sum())
+        grad[:-1] += RIDGE * (w[:-1] - start) / len(y)
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+        w = w - RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-10)
+    return w[:-1], float(w[-1])
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
