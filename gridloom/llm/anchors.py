@@ -20,6 +20,7 @@ Documents are known by (id, hash of text): rows equal in both are one key, but c
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,12 +30,12 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import U64, drawn, mixed, slices, stored, word_hashes
+from gridloom.llm.common import U64, drawn, mixed, pressed, slices, small_batches, stored, word_hashes
 
 #: Different contents of one anchor that one shard may get.
 MAX_CONTENTS = 4_000
 #: Bytes of text whose arrays are held at once.
-SCAN_BYTES = 1 << 20
+SCAN_BYTES = 1 << 18
 
 _BASE = int(drawn(11, 1)[0]) | 1
 _BACK = pow(_BASE, -1, 1 << 64)
@@ -45,6 +46,7 @@ KEY = ("_d", "_h")
 
 def keyed(docs: DataFrame, text: str) -> DataFrame:
     """docs + the key of each row."""
+    small_batches(docs.sparkSession)
     return docs.withColumns({
         "_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
         "_h": F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col("doc_id").isNull()),
@@ -173,9 +175,10 @@ def repeated(docs: DataFrame, unit: str, length: int, k: int, resolve: Callable,
     content: which of its windows occur twice or more. A shard has about `shard_symbols` symbols.
     """
     segments = _segments(docs, unit, length, k)
-    anchors = segments.groupBy("anchor").agg(
+    # Stored, so that the join below has nothing but shuffled rows on either side and a hot anchor can be split.
+    anchors = stored(segments.groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"),
-    ).where("n > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("varied"))
+    ).where("n > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("varied")))
     hits = stored(segments.join(anchors, "anchor"))
 
     contents = stored(hits.where("varied").groupBy("anchor", "content").agg(
@@ -257,6 +260,22 @@ def _crowded(rows: DataFrame, unit: str, length: int) -> DataFrame:
     return windows.where("n = 1").join(counted, ["one", "two"], "left_semi").select(*KEY, "first", (F.col("first") + length).alias("end"))
 
 
+def with_spans(docs: DataFrame, spans: DataFrame, text: str) -> DataFrame:
+    """docs without the text, + `_framed`: its spans as JSON, a line break, the compressed text (null for a null text)."""
+    both = pressed(keyed(docs, text), text).join(spans, list(KEY), "left").drop(*KEY)
+    frame = F.concat(F.coalesce(F.to_json("_spans"), F.lit("[]")).cast("binary"), F.lit("\n").cast("binary"), F.col("_z"))
+    return both.withColumn("_framed", frame).drop("_spans", "_z")
+
+
+def unframed(framed: bytes | None) -> tuple[list[tuple[int, int]], bytes | None]:
+    """The merged spans and the text of a `_framed` value."""
+    if framed is None:
+        return [], None
+    head, _, body = framed.partition(b"\n")
+    spans = merged([(s["first"], s["end"]) for s in json.loads(head)])
+    return spans, zstandard.ZstdDecompressor().decompress(body)
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping or touching spans joined, in order."""
     out: list[tuple[int, int]] = []

@@ -16,20 +16,19 @@ other. Windows count bytes, so a cut can fall within a character; `cleaned` then
 from __future__ import annotations
 
 import hashlib
-import json
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.anchors import KEY, Powers, Symbols, keyed, merged, repeated, segments_of
+from gridloom.llm.anchors import KEY, Powers, Symbols, keyed, repeated, segments_of, unframed, with_spans
 from gridloom.llm.common import BINARY, LONG, STRING, U64, mixed, with_text
 
 LENGTH, K = 200, 64
 SYMBOL = 8
 #: Bytes of passages in one shard, and parts that it is dealt into.
-SHARD_BYTES, PARTS = 4_000_000, 8
+SHARD_BYTES, PARTS = 1_000_000, 8
 
 
 def sorted_by(values: np.ndarray) -> np.ndarray:
@@ -131,48 +130,44 @@ SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.Struct
 
 def dedup(docs: DataFrame, length: int = LENGTH, text: str = "text", **limits: int) -> DataFrame:
     """docs + n_bytes, n_removed, removed (maximal runs of bytes), kept_sha256, kept (bytes that stay)."""
-    both = keyed(docs, text).join(repeated_bytes(docs, length, text, **limits), list(KEY), "left").drop(*KEY)
-    # The spans travel to the text's function in front of it.
-    framed = both.withColumn("_framed", F.concat(
-        F.coalesce(F.to_json("_spans"), F.lit("[]")).cast("binary"), F.lit("\n").cast("binary"), F.coalesce(F.col(text), F.lit("")).cast("binary")
-    )).drop("_spans")
+    framed = with_spans(docs, repeated_bytes(docs, length, text, **limits), text)
 
     def make():
-        def work(texts: list[bytes | None]):
-            out = [[], [], [], [], []]
-            for raw in texts:
-                head, _, body = raw.partition(b"\n")
-                spans = merged([(s["first"], s["end"]) for s in json.loads(head)])
+        def work(parts: list[bytes | None]):
+            out = [[], [], [], [], [], []]
+            for part in parts:
+                spans, whole = unframed(part)
+                body = whole or b""
                 edge = [0, *(x for s in spans for x in s), len(body)]
                 kept = b"".join(body[a:b] for a, b in zip(edge[0::2], edge[1::2]))
-                row = (len(body), len(body) - len(kept), [{"start": a, "end": b} for a, b in spans], hashlib.sha256(kept).hexdigest(), kept)
+                row = (
+                    len(body), len(body) - len(kept), [{"start": a, "end": b} for a, b in spans], hashlib.sha256(kept).hexdigest(), kept,
+                    None if whole is None else body.decode(),
+                )
                 for column, value in zip(out, row):
                     column.append(value)
             return out
 
         return work
 
-    fields = [("n_bytes", LONG), ("n_removed", LONG), ("removed", SPANS), ("kept_sha256", STRING), ("kept", BINARY)]
+    fields = [("n_bytes", LONG), ("n_removed", LONG), ("removed", SPANS), ("kept_sha256", STRING), ("kept", BINARY), (text, STRING)]
     return with_text(framed, "_framed", fields, make).drop("_framed")
 
 
 def cleaned(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """The columns of docs, the text without its repeated spans; characters are kept or removed as a whole."""
-    both = keyed(docs, text).join(repeated_bytes(docs, length, text), list(KEY), "left").drop(*KEY)
-    framed = both.withColumn("_framed", F.concat(
-        F.coalesce(F.to_json("_spans"), F.lit("[]")).cast("binary"), F.lit("\n").cast("binary"), F.col(text).cast("binary")
-    )).drop("_spans")
+    framed = with_spans(docs, repeated_bytes(docs, length, text), text)
 
     def make():
-        def work(texts: list[bytes | None]):
+        def work(parts: list[bytes | None]):
             out = []
-            for raw in texts:
-                if raw is None:
+            for part in parts:
+                spans, body = unframed(part)
+                if body is None:
                     out.append(None)
                     continue
-                head, _, body = raw.partition(b"\n")
                 kept, at = [], 0
-                for a, b in merged([(s["first"], s["end"]) for s in json.loads(head)]):
+                for a, b in spans:
                     while a < b and body[a] & 0xC0 == 0x80:
                         a += 1
                     while b > a and b < len(body) and body[b] & 0xC0 == 0x80:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LONG, DOUBLE, STRING, BOOL, BINARY = T.LongType(), T.DoubleType(), T.StringType(), T.BooleanType(), T.BinaryType()
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 U64 = np.uint64
 
 
@@ -42,6 +42,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Fewer rows per Arrow batch where the session has Spark's default of 10,000: texts are long, and batches are held by JVM and worker at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     gone = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
@@ -53,6 +60,7 @@ def with_text(docs: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
     `make()` runs once per task and gives a function from a list of UTF-8 byte strings (None for
     null) to one list or array per field.
     """
+    small_batches(docs.sparkSession)
     keep = without(docs, [n for n, _ in fields])
     schema = T.StructType([*keep.schema.fields, *[T.StructField(n, t) for n, t in fields]])
     # The text may itself be replaced, so it travels under a name of its own.
@@ -71,6 +79,30 @@ def with_text(docs: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
     return source.mapInArrow(run, schema)
 
 
+def pressed(df: DataFrame, text: str) -> DataFrame:
+    """df with its text compressed, as `_z`, for a shuffle on the way."""
+
+    def make():
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=1)
+        return lambda texts: [[None if t is None else press.compress(t) for t in texts]]
+
+    return without(with_text(df, text, [("_z", BINARY)], make), [text])
+
+
+def unpressed(df: DataFrame, text: str) -> DataFrame:
+    """The text of a `pressed` table again, as its last column."""
+
+    def make():
+        import zstandard
+
+        press = zstandard.ZstdDecompressor()
+        return lambda parts: [[None if z is None else press.decompress(z).decode() for z in parts]]
+
+    return with_text(df, "_z", [(text, STRING)], make).drop("_z")
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about `size` bytes of the column; one row at least."""
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)

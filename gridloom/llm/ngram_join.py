@@ -29,14 +29,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import U64, drawn, mixed, slices, stored, word_hashes
+from gridloom.llm.common import U64, drawn, mixed, pressed, slices, small_batches, stored, unpressed, word_hashes
 from gridloom.llm.components import components
 
 N, THRESHOLD, RECALL = 5, 0.8, 0.999
 MAX_HASHES = 128
 #: N-grams whose pairs one task verifies at a time.
 BLOCK = 600_000
-SCAN_BYTES = 1 << 20
+SCAN_BYTES = 1 << 18
 COLUMNS = 4096
 
 _BASE = U64(int(drawn(21, 1)[0]) | 1)
@@ -155,6 +155,7 @@ def _verify(frame: pd.DataFrame, n: int, threshold: float) -> pd.DataFrame:
 
 def join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, text: str = "text", block: int = BLOCK) -> DataFrame:
     """doc_id, class_id (least id of the class), n_links (other documents at or above the threshold), one row per row of docs."""
+    small_batches(docs.sparkSession)
     bands, rows = banding(threshold, recall)
     source = docs.select(F.col("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"))
     # The text of a set is fetched again by these two, equal for equal rows.
@@ -214,7 +215,8 @@ def representatives(docs: DataFrame, **options) -> DataFrame:
     found = stored(join(docs, **options))
     keep = found.where("n_links = 0 or doc_id <=> class_id").groupBy(F.col("doc_id").alias("_keep")).agg(
         ((F.count("*") > 1) & (F.max("n_links") > 0)).alias("_again"))
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["_keep"])).drop("_keep")
+    pack = pressed(docs, "text")
+    kept = unpressed(pack.join(keep, pack["doc_id"].eqNullSafe(keep["_keep"])).drop("_keep"), "text").select(*docs.columns, "_again")
     # Only ids that occur again have their rows compared.
     once = kept.where("not _again").drop("_again")
     return once.unionByName(kept.where("_again").drop("_again").dropDuplicates(["doc_id", "text"])) if not keep.where("_again").isEmpty() else once

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import ordered, settled, slices
+from gridloom.llm.common import ordered, settled, slices, small_batches
 from gridloom.llm.tokens import Encoder
 
 SIZE = 2048
@@ -38,21 +38,19 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 def pieces(docs: DataFrame, path: str, size: int = SIZE, keep_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids as bytes): documents cut into pieces of `size` ids."""
-    box = docs.sparkSession.sparkContext.broadcast({})  # each worker keeps its encoder in it
+    small_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"][: int(keep_ids)]]
     schema = f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = box.value
-        if "encoder" not in held:
-            held["encoder"] = Encoder(path)
+        encoder = Encoder(path)  # of one task, so that no worker holds its cache any longer
         mark = np.array([END_ID], "<u4").tobytes()
         step = size * 4
         for batch in batches:
             for part in slices(batch, "_text"):
                 row, at, start, length, crc, kept = [], [], [], [], [], []
-                for i, ids in enumerate(held["encoder"].encode(part.column("_text").to_pylist())):
+                for i, ids in enumerate(encoder.encode(part.column("_text").to_pylist())):
                     ids += mark
                     for k, a in enumerate(range(0, len(ids), step)):
                         own = ids[a : a + step]

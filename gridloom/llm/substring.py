@@ -20,12 +20,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.anchors import KEY, keyed, merged, repeated
+from gridloom.llm.anchors import KEY, keyed, repeated, unframed, with_spans
 from gridloom.llm.common import LONG, STRING, with_text
 
 LENGTH, K = 35, 10
 #: Words of one reference shard; a word costs some 500 bytes in the automaton.
-SHARD_WORDS = 100_000
+SHARD_WORDS = 40_000
 
 
 class SuffixAutomaton:
@@ -115,34 +115,29 @@ def repeated_words(docs: DataFrame, length: int = LENGTH, text: str = "text", **
 
 def dedup(docs: DataFrame, length: int = LENGTH, text: str = "text", **limits: int) -> DataFrame:
     """docs + n_words, n_removed, kept_sha256, kept (the kept words, joined by one space)."""
-    keys = keyed(docs, text)
-    both = keys.join(repeated_words(docs, length, text, **limits), list(KEY), "left").drop(*KEY)
-    # The spans travel to the text's function in front of it.
-    framed = both.withColumn("_framed", F.concat(
-        F.coalesce(F.to_json("_spans"), F.lit("[]")).cast("binary"), F.lit("\n").cast("binary"), F.coalesce(F.col(text), F.lit("")).cast("binary")
-    )).drop("_spans")
+    framed = with_spans(docs, repeated_words(docs, length, text, **limits), text)
 
     def make():
-        import json
-
-        def work(texts: list[bytes | None]):
-            out = [[], [], [], []]
-            for raw in texts:
-                head, _, body = raw.partition(b"\n")
-                words = body.split()
+        def work(parts: list[bytes | None]):
+            out = [[], [], [], [], []]
+            for part in parts:
+                spans, body = unframed(part)
+                words = (body or b"").split()
                 kept, at = [], 0
-                for a, b in merged([(s["first"], s["end"]) for s in json.loads(head)]):
+                for a, b in spans:
                     kept += words[at:a]
                     at = b
-                kept = b" ".join(kept + words[at:])
-                n = len(kept.split())
-                for column, value in zip(out, (len(words), len(words) - n, hashlib.sha256(kept).hexdigest(), kept.decode())):
+                kept += words[at:]
+                joined = b" ".join(kept)
+                row = (len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(), joined.decode(), None if body is None else body.decode())
+                for column, value in zip(out, row):
                     column.append(value)
             return out
 
         return work
 
-    return with_text(framed, "_framed", [("n_words", LONG), ("n_removed", LONG), ("kept_sha256", STRING), ("kept", STRING)], make).drop("_framed")
+    fields = [("n_words", LONG), ("n_removed", LONG), ("kept_sha256", STRING), ("kept", STRING), (text, STRING)]
+    return with_text(framed, "_framed", fields, make).drop("_framed")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import numpy as np
 import regex
 
 #: Pieces in either half of the cache of one worker (some 200 bytes each).
-CACHE = 300_000
+CACHE = 150_000
 END = "\x1c"
 # Fixed value: how the vocabulary's tokenizer splits words.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
