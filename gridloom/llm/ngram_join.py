@@ -6,11 +6,13 @@
    threshold. Sets are shuffled on band hashes and tied to the least set in their bucket: linear in
    the size of a bucket. What is tied together, directly or not, is a candidate cluster.
 3. The sets of a cluster are fetched once and all its pairs are verified, by counts of common n-grams
-   as matrix products. A cluster above BLOCK n-grams is dealt into blocks, and pairs of blocks go to
-   different tasks. Tasks give numbers of links and a spanning forest, never pairs.
+   as matrix products, a stripe of rows at a time. A cluster above BLOCK n-grams or SETS sets is dealt
+   into blocks, and pairs of blocks go to different tasks. Tasks give numbers of links and a spanning
+   forest, never pairs.
 
 Numbers of links are exact for all pairs in a cluster, so verification grows with the square of the
-number of different texts in one cluster; blocks spread it.
+number of different texts in one cluster; blocks spread it. The memory of a task is linear in the sets
+and n-grams of its pair of blocks; each set is sent once to every block of its cluster.
 
 Words are lower-cased runs of letters and digits (see `common.words`); a text of fewer than n words has one
 n-gram of all of them. Texts without words, null ones too, have no links and are alone. Repeated
@@ -36,8 +38,11 @@ N, THRESHOLD, RECALL = 5, 0.8, 0.999
 MAX_HASHES = 128
 #: N-grams whose pairs one task verifies at a time.
 BLOCK = 600_000
+#: Sets of one cluster in a block, about.
+SETS = 2_000
 SCAN_BYTES = 1 << 18
-COLUMNS = 4096
+#: Columns of a dense matrix at most; entries of it, and of a stripe of the pairs.
+COLUMNS, ENTRIES = 4096, 1 << 21
 
 _BASE = U64(int(drawn(21, 1)[0]) | 1)
 
@@ -121,39 +126,44 @@ def _verify(frame: pd.DataFrame, n: int, threshold: float) -> pd.DataFrame:
         keep = often[column] > 1  # an n-gram of one set is in no intersection
         owner, column = owner[keep], column[keep]
         _, column = np.unique(column, return_inverse=True)
-        common = np.zeros((m, m), np.float32)
         order = np.argsort(column, kind="stable")
         owner, column = owner[order], column[order]
-        for c in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-            a, b = np.searchsorted(column, [c, c + COLUMNS])
-            x = np.zeros((m, min(COLUMNS, int(column[-1]) + 1 - c)), np.float32)
-            x[owner[a:b], column[a:b] - c] = 1
-            common += x @ x.T
-        linked = common >= threshold * (size[:, None] + size[None] - common) - 1e-6
-        np.fill_diagonal(linked, False)
+        last = int(column[-1]) + 1 if len(column) else 0
         i, j = rows["i"].iloc[0], rows["j"].iloc[0]
-        if i != j:
-            linked &= block[:, None] != block[None]
-        links = linked @ weight
-        root = list(range(m))
-
-        def find(x: int, root: list[int] = root) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        for x in range(m):
-            # Joining x to its linked sets before it is enough: each pair is met once.
-            for y in np.flatnonzero(linked[x, :x]).tolist():
-                a, b = find(x), find(y)
-                if a != b:
-                    root[a] = b
-        out += [(ids[x], int(links[x]), ids[find(x)]) for x in range(m) if links[x]]
+        wide, high = max(1, min(COLUMNS, last, ENTRIES // m)), max(1, ENTRIES // m)
+        links, label = np.zeros(m, np.int64), np.arange(m)
+        for top in range(0, m, high):
+            own = slice(top, min(m, top + high))
+            common = np.zeros((own.stop - top, m), np.float32)
+            for c in range(0, last, wide):
+                a, b = np.searchsorted(column, [c, c + wide])
+                x = np.zeros((m, wide), np.float32)
+                x[owner[a:b], column[a:b] - c] = 1
+                common += x[own] @ x.T
+            linked = common >= threshold * (size[own, None] + size[None] - common) - 1e-6
+            linked[np.arange(own.stop - top), np.arange(top, own.stop)] = False
+            if i != j:
+                linked &= block[own, None] != block[None]
+            links[own] = linked @ weight
+            for x, row in enumerate(linked, top):
+                # Joining x to its linked sets before it is enough: each pair is met once.
+                met = label[:x][row[:x]]
+                if (met != label[x]).any():
+                    met = np.unique(np.append(met, label[x]))
+                    label[np.isin(label, met)] = met[0]
+        out += [(ids[x], int(links[x]), ids[label[x]]) for x in range(m) if links[x]]
     return pd.DataFrame(out, columns=["set_id", "links", "root"])
 
 
-def join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, text: str = "text", block: int = BLOCK) -> DataFrame:
+def _dealt(members: DataFrame, block: int, most: int) -> DataFrame:
+    """members + nb, the blocks of their cluster, and block: about `block` n-grams and `most` sets in one at most."""
+    volume = members.groupBy("cluster").agg(F.greatest(F.ceil(F.sum("size") / block), F.ceil(F.count("*") / most)).cast("int").alias("nb"))
+    return members.join(volume, "cluster").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("nb")).cast("int"))
+
+
+def join(
+    docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, text: str = "text", block: int = BLOCK, most: int = SETS,
+) -> DataFrame:
     """doc_id, class_id (least id of the class), n_links (other documents at or above the threshold), one row per row of docs."""
     small_batches(docs.sparkSession)
     bands, rows = banding(threshold, recall)
@@ -169,13 +179,9 @@ def join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: floa
     tied = banded.join(buckets, ["band", "value"]).where("set_id <> low").select(F.col("set_id").alias("a"), F.col("low").alias("b"))
     clusters = components(tied).select(F.col("id").alias("set_id"), F.col("root").alias("cluster"))
     members = stored(clusters.join(sets.select("set_id", "weight", "size", "one"), "set_id"))
-    volume = members.groupBy("cluster").agg(F.sum("size").alias("all"))
-    total = volume.agg(F.sum("all")).first()[0] or 0
+    total = members.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // block))
-    sized = members.join(volume, "cluster").withColumn("nb", F.ceil(F.col("all") / block).cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("set_id"), F.col("nb")).cast("int")
-    )
-    fetched = _fetch(sized, keyed)
+    fetched = _fetch(_dealt(members, block, most), keyed)
     # A block meets every block of its cluster once.
     spread = fetched.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(
         "cluster", "set_id", "weight", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "nb", "z",

@@ -2,10 +2,13 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
+import zstandard
 
 from gridloom.llm import bwt, components, ngram_join, queries, substring
 from gridloom.llm.common import words
@@ -160,3 +163,34 @@ def test_queries_against_brute_force(spark, name):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = queries.QUERIES[name](spark, SF).collect()
     check_words(got, docs, 35) if name.startswith("op2") else check_bytes(got, docs, 200)
+
+
+def short_copies(n):
+    """Different texts of 20 words; all start alike, the last word changes: 15 of 17 shingles in common."""
+    return [" ".join([f"w{k}" for k in range(19)] + [f"end{i}"]) for i in range(n)]
+
+
+def test_verify_takes_memory_linear_in_sets():
+    n, press = 4000, zstandard.ZstdCompressor(level=1)
+    frame = pd.DataFrame({
+        "cluster": b"c", "i": 0, "j": 1, "set_id": [f"{k:05d}".encode() for k in range(n)], "weight": [1 + k % 3 for k in range(n)],
+        "block": [k % 2 for k in range(n)], "z": [press.compress(t.encode()) for t in short_copies(n)]})
+    tracemalloc.start()
+    got = ngram_join._verify(frame, 5, 0.8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    other = frame.groupby("block")["weight"].sum()
+    assert got["links"].tolist() == [other[1 - k % 2] for k in range(n)] and got["root"].nunique() == 1
+    assert peak < 180e6
+
+
+def test_blocks_hold_few_sets(spark):
+    members = spark.range(1000).selectExpr("cast('c' as binary) as cluster", "cast(cast(id as string) as binary) as set_id", "16 as size")
+    sizes = [r["count"] for r in ngram_join._dealt(members, 600_000, 100).groupBy("block").count().collect()]
+    assert sum(sizes) == 1000 and len(sizes) == 10 and max(sizes) < 150
+
+
+def test_large_cluster_of_short_texts(frame):
+    texts = short_copies(60)
+    got = ngram_join.join(frame(texts), most=20).collect()
+    assert [(r.class_id, r.n_links) for r in got] == [(0, 59)] * 60
