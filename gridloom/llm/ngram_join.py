@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import U64, drawn, mixed, pressed, slices, small_batches, stored, unpressed, word_hashes
@@ -165,14 +165,26 @@ def join(
     docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, text: str = "text", block: int = BLOCK, most: int = SETS,
 ) -> DataFrame:
     """doc_id, class_id (least id of the class), n_links (other documents at or above the threshold), one row per row of docs."""
+    return _joined(docs, n, threshold, recall, text, block, most).select(
+        "doc_id", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    )
+
+
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+
+
+def _joined(docs: DataFrame, n: int, threshold: float, recall: float, text: str, block: int, most: int) -> DataFrame:
+    """doc_id, _h (hash of the text), set_id (null without words), first (doc_id and _h of the class's first document, null ids last), n_links."""
     small_batches(docs.sparkSession)
     bands, rows = banding(threshold, recall)
     source = docs.select(F.col("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"))
     # The text of a set is fetched again by these two, equal for equal rows.
-    keyed = source.select("doc_id", F.xxhash64("_text").alias("_h"), "_text")
+    keyed = source.select("doc_id", _text_hash("_text").alias("_h"), "_text")
     signed = stored(signatures(keyed, n, bands, rows))
     sets = stored(signed.where("set_id is not null").groupBy("set_id").agg(
-        F.count("*").alias("weight"), F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "_h")).alias("one"), F.first("bands").alias("bands"), F.first("size").alias("size"),
+        F.count("*").alias("weight"), F.min(F.struct(F.col("doc_id").isNull().alias("_no"), "doc_id", "_h")).alias("one"), F.first("bands").alias("bands"), F.first("size").alias("size"),
     ))
     banded = sets.select("set_id", F.posexplode("bands").alias("band", "value"))
     buckets = banded.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("set_id").alias("low")).where("n > 1").drop("n")
@@ -190,14 +202,11 @@ def join(
         lambda frame: _verify(frame, n, threshold), "set_id binary, links bigint, root binary"))
     linked = verified.groupBy("set_id").agg(F.sum("links").alias("links"))
     roots = components(verified.select(F.col("set_id").alias("a"), F.col("root").alias("b")))
-    leaves = sets.select("set_id", "weight", "least").join(roots.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    least = leaves.groupBy("root").agg(F.min("least").alias("class_id"))
+    leaves = sets.select("set_id", "weight", "one").join(roots.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    least = leaves.groupBy("root").agg(F.min("one").alias("first"))
     known = leaves.join(least, "root").join(linked, "set_id", "left").select(
-        "set_id", "class_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return signed.select("doc_id", "set_id").join(known, "set_id", "left").select(
-        "doc_id", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-    )
+        "set_id", "first", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return signed.select("doc_id", "_h", "set_id").join(known, "set_id", "left")
 
 
 def _fetch(members: DataFrame, docs: DataFrame) -> DataFrame:
@@ -216,13 +225,16 @@ def _fetch(members: DataFrame, docs: DataFrame) -> DataFrame:
     return wanted.join(texts, [wanted["_h"] == texts["_h"], same]).drop("_h", "_id", "_one").dropDuplicates(["set_id"])
 
 
-def representatives(docs: DataFrame, **options) -> DataFrame:
-    """The columns of docs: of each class the row of its least id (of rows equal in id and text, one). Rows without words stay."""
-    found = stored(join(docs, **options))
-    keep = found.where("n_links = 0 or doc_id <=> class_id").groupBy(F.col("doc_id").alias("_keep")).agg(
-        ((F.count("*") > 1) & (F.max("n_links") > 0)).alias("_again"))
-    pack = pressed(docs, "text")
-    kept = unpressed(pack.join(keep, pack["doc_id"].eqNullSafe(keep["_keep"])).drop("_keep"), "text").select(*docs.columns, "_again")
-    # Only ids that occur again have their rows compared.
+def representatives(
+    docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, text: str = "text", block: int = BLOCK, most: int = SETS,
+) -> DataFrame:
+    """The columns of docs: of each class one row of its least id (of its rows, that of the least text hash). Rows without words stay."""
+    found = stored(_joined(docs, n, threshold, recall, text, block, most))
+    chosen = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_h") == F.col("first._h"))
+    keep = found.where(F.col("set_id").isNull() | chosen).groupBy(F.col("doc_id").alias("_keep"), F.col("_h").alias("_hash")).agg(
+        ((F.count("*") > 1) & F.first("set_id").isNotNull()).alias("_again"))
+    pack = pressed(docs.withColumn("_h", _text_hash(text)), text)
+    kept = unpressed(pack.join(keep, (pack["_h"] == keep["_hash"]) & pack["doc_id"].eqNullSafe(keep["_keep"])), text).select(*docs.columns, "_again")
+    # Only rows equal in id and text are compared.
     once = kept.where("not _again").drop("_again")
-    return once.unionByName(kept.where("_again").drop("_again").dropDuplicates(["doc_id", "text"])) if not keep.where("_again").isEmpty() else once
+    return once.unionByName(kept.where("_again").drop("_again").dropDuplicates(["doc_id", text])) if not keep.where("_again").isEmpty() else once

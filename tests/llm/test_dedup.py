@@ -152,6 +152,20 @@ def test_ngram_join_repeated_and_null_ids(frame):
     assert sorted(-1 if r.doc_id is None else r.doc_id for r in kept) == [1, 5, 5]
 
 
+def test_representatives_tell_texts_of_one_id_apart(frame):
+    """Near copies that differ in text under null and shared ids; an id with a text of its own and a near copy of another id."""
+    base = [[f"{c}{k}" for k in range(60)] for c in "abcd"]
+    near = lambda c: " ".join(base[c][:-1] + ["changed"])
+    full = [" ".join(b) for b in base]
+    texts = [full[0], near(0), full[1], near(1), full[2], near(2), full[3], full[3], None, "!"]
+    ids = [None, None, 7, 7, 3, 5, 5, 5, 5, None]
+    kept = ngram_join.representatives(frame(texts, ids)).collect()
+    assert len(kept) == 6 and sum(r.text in (full[0], near(0)) for r in kept) == 1 and sum(r.text in (full[1], near(1)) for r in kept) == 1
+    assert {(r.doc_id, r.text) for r in kept} > {(3, full[2]), (5, full[3]), (5, None), (None, "!")}
+    got = ngram_join.join(frame(texts, ids)).collect()
+    assert sorted((r.class_id or -1, r.n_links) for r in got) == [(-1, 0), (-1, 1), (-1, 1), (3, 1), (3, 1), (5, 0), (5, 1), (5, 1), (7, 1), (7, 1)]
+
+
 def test_banding_reaches_recall():
     for threshold in (0.5, 0.8, 0.95):
         bands, per = ngram_join.banding(threshold)
