@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridloom.operators import amr, fields, painting
 from gridloom.plans import config, resample
@@ -66,3 +67,29 @@ def test_slices_equal_the_point_composite(spark, monkeypatch, method, block):
     for k, r in own.items():
         assert (r.nx, r.ny) == (want[k].nx, want[k].ny)
         np.testing.assert_array_equal(r.data, want[k].data)
+
+
+@pytest.mark.parametrize("block", [1 << 20, 90])
+def test_hot_canvas_is_painted_in_parts(spark, monkeypatch, block):
+    """One canvas of many overlapping chunks: no task takes them all, and what is on top stays on top."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(120):
+        data = np.where(rng.random(16) < 0.2, np.nan, rng.normal(size=16))
+        rows.append((
+            "a", 3 if k < 110 else 4, 0.5, f"hydrobasex_rho_patch00_lev{k % 3:02d}", "scalar", 0, k, [20, 20], [int(v) for v in rng.integers(0, 9, 2)], [4, 4],
+            [0.0, 0.0], [1 / 2 ** (k % 3)] * 2, [0.0, 0.0], [float(v) for v in data]))
+    rows.append(("a", None, 0.5, "hydrobasex_rho_patch00_lev00", "scalar", 0, 0, [2, 2], [0, 0], [2, 2], [99.0, 99.0], [1.0, 1.0], [0.0, 0.0], [1.0] * 4))
+    chunks = amr.labelled(spark.createDataFrame(rows, AMR_CHUNK))
+    options = {"nx": 31, "ny": 27, "method": "linear", "extent": amr.Extent(0, 12, 0, 12), "keys": ["iteration"]}
+    monkeypatch.setattr(painting, "BLOCK", block)
+    whole = {r.iteration: np.array(r.data) for r in painting.composite_slices(chunks, **options).collect()}
+    monkeypatch.setattr(painting, "POINTS", 600)
+    monkeypatch.setattr(painting, "FAN", 2)
+    dealt, most = painting.parted(chunks.withColumn("_prio", F.col("chunk_id")), ["iteration"], F.lit(50))
+    sizes = [r["count"] for r in dealt.where("iteration = 3").groupBy("_part").count().collect()]
+    assert most == 21 and max(sizes) < 20
+    parts = {r.iteration: np.array(r.data) for r in painting.composite_slices(chunks, **options).collect()}
+    assert set(whole) == set(parts) == {3, 4, None}
+    for k in whole:
+        np.testing.assert_array_equal(parts[k], whole[k])
