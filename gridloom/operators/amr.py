@@ -388,44 +388,47 @@ def composite_recipe(
     return points.select(*keys, "j", "i", "y", "x", combine(sources).alias("v"))
 
 
+#: Names of the axes of a chunk, counted from the last.
+AXES = ("i", "j", "k")
+
+
+def _ranked(chunks: DataFrame) -> DataFrame:
+    """Clipped chunks of up to three axes + per axis `_o`, `_e`, `_s` (offset, extent, stored extent), NULL where a chunk lacks it."""
+    rank = F.size("ext")
+    known = F.when(rank.between(1, 3), True).otherwise(F.raise_error(F.lit("chunks of one to three axes expected")).cast("boolean"))
+    at = lambda c, q: F.get(c, F.size("ext") - 1 - q)
+    return clip_chunks(chunks).filter(known).withColumn("_rank", rank).withColumns(
+        {f"_{n}{a}": at(c, q) for q, a in enumerate(AXES) for n, c in (("o", "off"), ("e", "ext"), ("s", "stored"))}
+    )
+
+
 def chunk_cells(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Cells of 2D chunks with absolute index (gj, gi); one row per written cell."""
-    c = clip_chunks(chunks).filter(F.size("ext") == 2)
-    fast = F.get("stored", F.lit(1))
+    """Cells of 1D to 3D chunks with absolute index (gk, gj, gi), NULL for axes they lack; one row per written cell."""
+    meta = [f"_{n}{a}" for a in AXES for n in "oes"]
+    cells = _ranked(chunks).select(*keys, "chunk_id", *meta, F.posexplode("data").alias("_p", "v"))
+    # The slowest axis takes all that is left, so that points beyond the extent stay outside.
+    place = {"i": "if(_sj is null, _p, _p % _si)", "j": "if(_sk is null, _p div _si, (_p div _si) % _sj)", "k": "_p div (_si * _sj)"}
+    inside = [f"coalesce(_{a} < _e{a}, true)" for a in AXES]
     return (
-        c.select(
-            *keys, "chunk_id", "off", "ext", fast.alias("_fast"), F.posexplode("data").alias("_p", "v")
-        )
-        .withColumn("_j", F.expr("_p div _fast"))
-        .withColumn("_i", F.expr("_p % _fast"))
-        .filter((F.col("_j") < F.get("ext", F.lit(0))) & (F.col("_i") < F.get("ext", F.lit(1))))
-        .select(
-            *keys, "chunk_id",
-            (F.get("off", F.lit(0)) + F.col("_j")).alias("gj"),
-            (F.get("off", F.lit(1)) + F.col("_i")).alias("gi"), "v",
-        )
+        cells.withColumns({f"_{a}": F.expr(e) for a, e in place.items()})
+        .filter(" and ".join(inside))
+        .select(*keys, "chunk_id", *[(F.col(f"_o{a}") + F.col(f"_{a}")).alias(f"g{a}") for a in reversed(AXES)], "v")
     )
 
 
 def assemble(chunks: DataFrame, keys: Sequence[str] = ("series", "iteration", "mesh_name", "component")) -> DataFrame:
-    """Bounding box of a mesh's chunks, NaN where nothing was written, later chunks on top.
+    """Bounding box of a mesh's chunks of one to three axes, NaN where nothing was written, later chunks on top.
 
     Here a NaN does overwrite: the whole chunk replaces what lies under it.
     """
-    c = clip_chunks(chunks).filter(F.size("ext") == 2)
-    o0, o1 = F.get("off", F.lit(0)), F.get("off", F.lit(1))
-    boxes = c.groupBy(*keys).agg(
-        F.min(o0).alias("j0"), F.max(o0 + F.get("ext", F.lit(0)) - 1).alias("j1"),
-        F.min(o1).alias("i0"), F.max(o1 + F.get("ext", F.lit(1)) - 1).alias("i1"),
-    )
-    blank = (
-        boxes.withColumn("gj", F.explode(F.sequence("j0", "j1")))
-        .withColumn("gi", F.explode(F.sequence("i0", "i1")))
-        .select(*keys, F.lit(-1).alias("chunk_id"), "gj", "gi", F.lit(NAN).alias("v"))
-    )
+    index = [f"g{a}" for a in reversed(AXES)]
+    blank = _ranked(chunks).groupBy(*keys, "_rank").agg(
+        *[F.min(f"_o{a}").alias(f"_{a}0") for a in AXES], *[F.max(F.col(f"_o{a}") + F.col(f"_e{a}") - 1).alias(f"_{a}1") for a in AXES])
+    for a in reversed(AXES):
+        blank = blank.withColumn(f"g{a}", F.explode_outer(F.sequence(f"_{a}0", f"_{a}1")))
     return (
-        chunk_cells(chunks, keys).unionByName(blank)
-        .groupBy(*keys, "gj", "gi").agg(F.max_by("v", "chunk_id").alias("v"))
+        chunk_cells(chunks, keys).unionByName(blank.select(*keys, F.lit(-1).alias("chunk_id"), *index, F.lit(NAN).alias("v")))
+        .groupBy(*keys, *index).agg(F.max_by("v", "chunk_id").alias("v"))
     )
 
 

@@ -235,6 +235,54 @@ def chunks_3d(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _box(full: DataFrame, *index: str) -> DataFrame:
+    return amr.labelled(full).select(
+        "iteration", "label", "level", "patch", *index, finite_or_null("v").alias("v"), F.isnan("v").alias("unwritten")
+    )
+
+
+@query(f"""with {tb.CHUNKS}, c as (select iteration, label, level, patch, chunk_id, oy + q // 8 as gj, ox + q % 8 as gi, data[q + 1] as v
+   from ch, range(64) t(q) where q // 8 < ny and q % 8 < nx),
+ w as (select iteration, label, level, patch, gj, gi, arg_max(v, chunk_id) as v from c group by all),
+ b as (select iteration, label, level, patch, min(gj) as j0, max(gj) as j1, min(gi) as i0, max(gi) as i1 from c group by all),
+ r as (select *, unnest(range(j0, j1 + 1)) as gj from b), g as (select *, unnest(range(i0, i1 + 1)) as gi from r)
+select g.iteration, g.label, g.level::int as level, g.patch::int as patch, g.gj, g.gi, w.v, w.v is null as unwritten
+from g left join w on w.iteration = g.iteration and w.label = g.label and w.level = g.level and w.patch = g.patch and w.gj = g.gj and w.gi = g.gi""")
+def mesh_assemble_box(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole bounding boxes, with their unwritten points."""
+    return _box(amr.assemble(tb.chunks(spark, sf)), "gj", "gi")
+
+
+@query("""with c as (select vec_id % 5 as iteration, label % 3 as level, vec_id % 4 as patch, vec_id, vec_id % 5 + q // 16 as gk,
+   (vec_id * 5) % 13 + (q // 4) % 4 as gj, (vec_id * 3) % 13 + q % 4 as gi, embedding[q + 1]::double as v from embeddings, range(64) t(q)),
+ w as (select iteration, level, patch, gk, gj, gi, arg_max(v, vec_id) as v from c group by all),
+ b as (select iteration, level, patch, min(gk) as k0, max(gk) as k1, min(gj) as j0, max(gj) as j1, min(gi) as i0, max(gi) as i1 from c group by all),
+ s as (select *, unnest(range(k0, k1 + 1)) as gk from b), r as (select *, unnest(range(j0, j1 + 1)) as gj from s),
+ g as (select *, unnest(range(i0, i1 + 1)) as gi from r)
+select g.iteration, 'hydrobasex_rho' as label, g.level::int as level, g.patch::int as patch, g.gk, g.gj, g.gi, w.v, w.v is null as unwritten
+from g left join w on w.iteration = g.iteration and w.level = g.level and w.patch = g.patch and w.gk = g.gk and w.gj = g.gj and w.gi = g.gi""")
+def mesh_assemble_3d(spark: SparkSession, sf: str) -> DataFrame:
+    return _box(amr.assemble(chunks_3d(spark, sf)), "gk", "gj", "gi")
+
+
+@query(f"""with {tb.CHUNKS}, {_writes_sql(64, True, RECIPE_EXT)},
+ d as (select a.iteration, a.j, a.i, a.v / b.v as v from cv a join cv b on a.iteration = b.iteration and a.j = b.j and a.i = b.i
+   and a.label = 'hydrobasex_rho' and b.label = 'hydrobasex_press' where b.v <> 0)
+select e.iteration, j.j, i.i, round(d.v, 6) as v, d.v is null as unwritten
+from (select distinct iteration from lead) e cross join range(64) j(j) cross join range(64) i(i)
+left join d on d.iteration = e.iteration and d.j = j.j and d.i = i.i""")
+def recipe_canvas(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole canvas of `recipe_combine`, with the points where it has no value."""
+    out = amr.composite_recipe(
+        labelled(spark, sf), {"rho": "hydrobasex_rho", "p": "hydrobasex_press"},
+        lambda v: safe_divide(v["rho"], v["p"]), nx=64, ny=64,
+    )
+    return out.select(
+        "iteration", F.col("j").cast("bigint").alias("j"), F.col("i").cast("bigint").alias("i"),
+        F.round(finite_or_null("v"), 6).alias("v"), F.isnan("v").alias("unwritten"),
+    )
+
+
 SLICE_AT = 0.5
 SLICE_SQL = f"""s0 as (
     select vec_id as chunk_id, vec_id % 5 as iteration, 'hydrobasex_rho' as label, (label % 3)::bigint as level, vec_id % 4 as patch,

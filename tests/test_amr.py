@@ -229,6 +229,27 @@ def test_assemble(spark):
     assert got[2, 2] == 5 and got[1, 1] == 1 and got[3, 3] == 8 and np.isnan(got[1, 3])
 
 
+def test_assemble_in_three_dimensions(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(2, 3, 4)), rng.normal(size=(3, 2, 2))
+    a[1, 1, 1] = np.nan
+    rows = [
+        chunk("g_patch00_lev00", 0, (1, 1, 0), (2, 3, 4), (1, 1, 1), a, (0.0,) * 3, (0.0,) * 3),
+        chunk("g_patch00_lev00", 1, (2, 3, 2), (3, 2, 2), (1, 1, 1), b, (0.0,) * 3, (0.5, 0.0, 0.0), shape=(5, 9, 9)),
+        chunk("h_patch00_lev00", 0, (3,), (4,), (1,), [1, 2, 3, 4], (0.0,), (0.0,)),
+    ]
+    got = amr.assemble(spark.createDataFrame(rows, AMR_CHUNK)).collect()
+    want = np.full((3, 4, 4), np.nan)
+    want[0:2, 0:3, :] = a
+    want[1:3, 2:4, 2:4] = b[:2]  # the fill row is cut off
+    cells = {(r.gk - 1, r.gj - 1, r.gi): r.v for r in got if r.mesh_name[0] == "g"}
+    assert len(cells) == want.size
+    np.testing.assert_array_equal([cells[k] for k in np.ndindex(want.shape)], want.ravel())
+    assert sorted((r.gi, r.v) for r in got if r.mesh_name[0] == "h") == [(3, 1.0), (4, 2.0), (5, 3.0), (6, 4.0)]
+    with pytest.raises(Exception, match="one to three axes"):
+        amr.assemble(spark.createDataFrame([chunk("g_patch00_lev00", 0, (0,) * 4, (1,) * 4, (1,) * 4, [1], (0.0,) * 4, (0.0,) * 4)], AMR_CHUNK)).collect()
+
+
 def test_metadata_queries_do_not_read_data(spark, tmp_path):
     path = str(tmp_path / "chunks")
     spark.createDataFrame(scene(), AMR_CHUNK).write.parquet(path)
