@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import bwt as op3
 from gridloom.llm import decontaminate as op1
+from gridloom.llm import html_blocks as op13
+from gridloom.llm import html_samples
 from gridloom.llm import kdshard as op10
 from gridloom.llm import ngram_join as op5
+from gridloom.llm import orchard as op12
 from gridloom.llm import order_minhash as op4
 from gridloom.llm import packing as op7
 from gridloom.llm import quality as op6
+from gridloom.llm import spelling as op11
 from gridloom.llm import substring as op2
 from gridloom.llm import toxicity as op9
 from gridloom.llm import warc as op8
@@ -131,6 +135,90 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.digest(op10.assign(table(spark, sf_dir, "documents"), shards=24))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.variants(table(spark, sf_dir, "documents"))
+
+
+def _crc32_steps() -> str:
+    """The 256 steps of CRC-32 as an SQL list, from its polynomial."""
+    steps = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        steps.append(f"{value}::ubigint")
+    return f"[{', '.join(steps)}]"
+
+
+OP11_SQL = rf"""
+with recursive docs as (
+  select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) as run from documents),
+runs as (
+  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as k from docs group by 1, 2),
+bytes as (
+  select doc_id, run, k, list_transform(flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''),
+    lambda c: case when ord(c) < 128 then [ord(c)] else [192 + (ord(c) >> 6), 128 + (ord(c) & 63)] end)), lambda b: b::ubigint) as bs
+  from runs where length(run) >= 6),
+hashed as (
+  select run, k, length(run) as size, xor(4294967295::ubigint, list_reduce(list_prepend(4294967295::ubigint, bs),
+    lambda c, b: xor(c >> 8, {_crc32_steps()}[((xor(c, b) & 255) + 1)::bigint]))) as h from bytes),
+words as (
+  select case when h % 199 = 0 then run[1:h % size] || run[h % size + 2:] else run end as word, sum(k)::bigint as n from hashed group by 1),
+v as (select * from words where length(word) >= 6 and n >= 5),
+gone as (select word, n, i::bigint as i, word[1:i - 1] || word[i + 1:] as rest from v, unnest(range(1, length(word) + 1)) t(i)),
+pairs as (
+  select a.word, b.word as other, b.n as other_n from gone a join gone b using (i, rest) where a.word <> b.word
+  union select a.word, b.word, b.n from (select distinct word, rest from gone) a join v b on a.rest = b.word
+  union select b.word, a.word, a.n from (select distinct word, n, rest from gone) a join v b on a.rest = b.word),
+best as (
+  select word, count(*) as n_near, arg_min(other, (-other_n, other)) as other, max(other_n) as other_n from pairs group by word),
+f as (
+  select v.word, v.n, coalesce(n_near, 0)::bigint as n_near, case when other_n >= 5 * v.n then other end as form,
+    case when other_n >= 5 * v.n then other_n end as form_n from v left join best using (word)),
+walk as (select word, word as spot, 0 as step from f union all select w.word, f.form, step + 1 from walk w join f on f.word = w.spot where f.form is not null)
+select f.word, n, n_near, form, form_n::bigint as form_n, ends.root
+from f join (select word, arg_max(spot, step) as root from walk group by word) ends on ends.word = f.word
+"""
+
+
+def op12_orchard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.digest(op12.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def _op12_sql() -> str:
+    steps = ["""
+with raw as (select vec_id, row_number() over () as r, embedding from embeddings where len(embedding) = 64),
+k as (
+  select vec_id, r, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from raw
+  where len(list_filter(embedding, lambda x: x is not null and isfinite(x) and abs(x::double) < 262144)) = 64),
+c0 as (select row_number() over (order by sha256('1:' || vec_id::varchar), v) - 1 as c, v from k where vec_id is not null order by c limit 16)"""]
+    for i in range(4):
+        steps.append(f"""
+d{i} as (
+  select vec_id, r, k.v, c, list_sum(list_transform(list_zip(k.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as d from k, c{i}),
+a{i} as (select vec_id, r, any_value(v) as v, min((d, c)) as best from d{i} group by vec_id, r)""")
+        if i < 3:
+            steps.append(f"""
+m{i} as (
+  select best[2] as c, i, sum(v[i])::bigint as s, count(*) as n from a{i}, unnest(range(1, 65)) t(i) group by 1, 2),
+c{i + 1} as (
+  select c{i}.c, coalesce(x.v, c{i}.v) as v from c{i} left join (
+    select c, list((s - ((s % n) + n) % n) // n order by i) as v from m{i} group by c) x using (c))""")
+    steps.append("""
+u as (select best[2] as c, sum(best[1])::bigint as s from a3 group by 1)
+select vec_id, best[2]::int as cluster, best[1]::bigint as distance, u.s as cluster_inertia, (select sum(s) from u)::bigint as inertia,
+  sha256(array_to_string(c3.v, ',')) as centroid_sha256
+from a3 join u on u.c = best[2] join c3 on c3.c = best[2]""")
+    return ",".join(steps)
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_article_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = op13.fit(html_samples.samples(spark))
+    return op13.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), tree)
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
@@ -142,5 +230,11 @@ QUERIES: dict[str, Query] = {
     "op8_merkle_audit": op8_merkle_audit,
     "op9_toxicity_lexicon": op9_toxicity_lexicon,
     "op10_kd_sharding": op10_kd_sharding,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_orchard_clusters": op12_orchard_clusters,
+    "op13_article_text": op13_article_text,
+}
+ORACLES: dict[str, str] = {
+    "op1_decontaminate": OP1_SQL, "op5_ngram_jaccard_join": OP5_SQL, "op8_merkle_audit": OP8_SQL,
+    "op11_spelling_variants": OP11_SQL, "op12_orchard_clusters": OP12_SQL,
 }
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op5_ngram_jaccard_join": OP5_SQL, "op8_merkle_audit": OP8_SQL}
