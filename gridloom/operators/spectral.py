@@ -1,4 +1,4 @@
-"""Phases, tapers, Fourier transforms, splines and noise-weighted integrals."""
+"""Phases, tapers, Fourier transforms and noise-weighted integrals."""
 
 from __future__ import annotations
 
@@ -16,8 +16,6 @@ from gridloom.operators.series import peak_rank
 from gridloom.operators.skew import KeyStats, attach
 
 FFT_GROUP = 1 << 18
-SPLINE_BLOCK = 1 << 16
-SPLINE_HALO = 80
 
 
 def raw_phase(re: Column, im: Column) -> Column:
@@ -330,101 +328,3 @@ def signal_to_noise(
     return simpson(rows, [*keys, *detector], ratio, on, "_n", dx, "_sq").select(
         *keys, *detector, F.sqrt("_sq").alias("snr")
     )
-
-
-def cubic_spline(
-    df: DataFrame, keys: Sequence[str], x: str, y: str, start: float, stop: float, step: float,
-    *, block: int = SPLINE_BLOCK, halo: int = SPLINE_HALO,
-) -> DataFrame:
-    """Interpolating cubic spline (not-a-knot ends) on start, start + step, ... < stop.
-
-    Rows (keys, k, x, y). A long series is solved in blocks that overlap by
-    `halo` knots: influence in the spline system at least halves from knot to
-    knot, so 80 knots put the cut-off below double precision. Points outside the
-    knots continue the end polynomials.
-    """
-    keys = list(keys)
-    total = max(0, math.ceil((stop - start) / step))
-    o = Ordered.of(df.select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")), keys, "_x")
-    rows = o.index("_i").count("_n").result()
-    own = F.expr(f"_i div {block}")
-    last = F.expr(f"(_n - 1) div {block}")
-    spread = F.sequence(
-        F.greatest(F.lit(0), F.expr(f"(_i - {halo}) div {block}")).cast("int"),
-        F.least(last, F.expr(f"(_i + {halo}) div {block}")).cast("int"),
-    )
-    wide = rows.withColumn("_own", own).withColumn("_b", F.explode(spread))
-    schema = T.StructType(
-        _key_schema(df, keys)
-        + [T.StructField("k", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]
-    )
-
-    def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        b = int(key[-1])
-        pdf = pdf.sort_values("_i")
-        i, n = pdf["_i"].to_numpy(), int(pdf["_n"].iat[0])
-        px, py = pdf["_x"].to_numpy(), pdf["_y"].to_numpy()
-        at = np.searchsorted(i, b * block)
-        end = np.searchsorted(i, min((b + 1) * block, n))
-        lo = -np.inf if b == 0 else px[at]
-        hi = np.inf if end >= i.size else px[end]
-        k0 = 0 if np.isinf(lo) else max(0, math.floor((lo - start) / step) - 1)
-        k1 = total if np.isinf(hi) else min(total, math.ceil((hi - start) / step) + 1)
-        k = np.arange(k0, max(k0, k1))
-        gx = start + k * step
-        keep = (gx >= lo) & (gx < hi)
-        k, gx = k[keep], gx[keep]
-        data = {name: [v] * k.size for name, v in zip(keys, key[:-1])}
-        data.update({"k": k, "x": gx, "y": not_a_knot(px, py, gx)})
-        return pd.DataFrame(data)
-
-    return wide.groupBy(*keys, "_b").applyInPandas(solve, schema)
-
-
-def not_a_knot(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Evaluate the not-a-knot cubic through (x, y); fewer than four knots give the interpolating polynomial."""
-    n = x.size
-    if n < 4:
-        if n == 0:
-            return np.full(at.shape, np.nan)
-        out = np.zeros(at.shape)
-        for p in range(n):
-            term = np.full(at.shape, y[p])
-            for q in range(n):
-                if q != p:
-                    term = term * (at - x[q]) / (x[p] - x[q])
-            out += term
-        return out
-    h = np.diff(x)
-    slope = np.diff(y) / h
-    # Unknowns: second derivatives. The end conditions are eliminated into the
-    # first and last inner equation, leaving a tridiagonal system.
-    low, diag, up = h[:-1].copy(), 2 * (h[:-1] + h[1:]), h[1:].copy()
-    rhs = 6 * np.diff(slope)
-    diag[0] += h[0] * (1 + h[0] / h[1])
-    up[0] -= h[0] * h[0] / h[1]
-    diag[-1] += h[-1] * (1 + h[-1] / h[-2])
-    low[-1] -= h[-1] * h[-1] / h[-2]
-    m = np.empty(n)
-    m[1:-1] = _tridiagonal(low, diag, up, rhs)
-    m[0] = m[1] + (m[1] - m[2]) * h[0] / h[1]
-    m[-1] = m[-2] + (m[-2] - m[-3]) * h[-1] / h[-2]
-    j = np.clip(np.searchsorted(x, at, side="right") - 1, 0, n - 2)
-    d = at - x[j]
-    c1 = slope[j] - h[j] * (2 * m[j] + m[j + 1]) / 6
-    return y[j] + d * (c1 + d * (m[j] / 2 + d * (m[j + 1] - m[j]) / (6 * h[j])))
-
-
-def _tridiagonal(low, diag, up, rhs) -> np.ndarray:
-    n = rhs.size
-    c, d = np.empty(n), np.empty(n)
-    c[0], d[0] = up[0] / diag[0], rhs[0] / diag[0]
-    for p in range(1, n):
-        w = diag[p] - low[p] * c[p - 1]
-        c[p] = up[p] / w
-        d[p] = (rhs[p] - low[p] * d[p - 1]) / w
-    out = np.empty(n)
-    out[-1] = d[-1]
-    for p in range(n - 2, -1, -1):
-        out[p] = d[p] - c[p] * out[p + 1]
-    return out

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.scalars import characteristic_strain, spectral_density
-from gridloom.operators import spectral
+from gridloom.operators import spectral, splines
 from gridloom.plans import waves
 from proxies import tables as tb
 from proxies.registry import query
@@ -123,11 +123,41 @@ def snr_simpson(spark: SparkSession, sf: str) -> DataFrame:
     return spectral.signal_to_noise(spec, noise, ["run"], "i", "f", "amp", "noise", n, F.lit(0.01)).withColumn("snr", F.round("snr", 6))
 
 
-@query()
+# Elimination forwards and substitution backwards, one knot a step.
+SPLINE_SQL = f"""{MONTHS_SQL},
+ kn as (select run, i + 1.0::double as x, amp as y, row_number() over w - 1 as j, count(*) over (partition by run) as n from sp window w as (partition by run order by i)),
+ hs as (select *, x - lag(x) over w as h0, lead(x) over w - x as h1, (lead(y) over w - y) / (lead(x) over w - x) - (y - lag(y) over w) / (x - lag(x) over w) as rise
+   from kn window w as (partition by run order by j)),
+ eq as (select run, j, n, h0, h1, 6 * rise as r, h0 - case when j = n - 2 then h1 * h1 / h0 else 0 end as a, h1 - case when j = 1 then h0 * h0 / h1 else 0 end as c,
+   2 * (h0 + h1) + case when j = 1 then h0 * (1 + h0 / h1) else 0 end + case when j = n - 2 then h1 * (1 + h1 / h0) else 0 end as b from hs where j between 1 and n - 2),
+ fw as (select run, j, c / b as cc, r / b as dd from eq where j = 1 union all
+   select eq.run, eq.j, c / (b - a * cc), (r - a * dd) / (b - a * cc) from fw join eq on eq.run = fw.run and eq.j = fw.j + 1),
+ bw as (select fw.run, fw.j, dd as m from fw join eq on eq.run = fw.run and eq.j = fw.j where fw.j = n - 2 union all
+   select fw.run, fw.j, dd - cc * m from bw join fw on fw.run = bw.run and fw.j = bw.j - 1),
+ ms as (select run, j, m from bw union all
+   select e.run, 0, p.m + (p.m - q.m) * e.h0 / e.h1 from eq e join bw p on p.run = e.run and p.j = 1 join bw q on q.run = e.run and q.j = 2 where e.j = 1 union all
+   select e.run, e.j + 1, p.m + (p.m - q.m) * e.h1 / e.h0 from eq e join bw p on p.run = e.run and p.j = e.j join bw q on q.run = e.run and q.j = e.j - 1 where e.j = e.n - 2),
+ pc as (select * from (select kn.run, kn.j, n, x, y, m, lead(x) over w as x1, lead(y) over w as y1, lead(m) over w as m1
+   from kn join ms on ms.run = kn.run and ms.j = kn.j window w as (partition by kn.run order by kn.j)) where x1 is not null)"""
+
+
+def _spline_points_sql(step: str, total: int) -> str:
+    return f"""gp as (select k, 1.0::double + k * {step}::double as gx from unnest(range({total})) t(k)),
+ ev as (select run, k, gx as gx, y + (gx - x) * ((y1 - y) / (x1 - x) - (x1 - x) * (2 * m + m1) / 6 + (gx - x) * (m / 2 + (gx - x) * (m1 - m) / (6 * (x1 - x)))) as gy
+   from pc join gp on (j = 0 or gx >= x) and (j = n - 2 or gx < x1))"""
+
+
+@query(f"with recursive {SPLINE_SQL}, {_spline_points_sql('0.01', 7900)} select run, k, gx as x, round(gy / 1e4::double, 6) as y from ev")
 def spectrum_spline(spark: SparkSession, sf: str) -> DataFrame:
-    """Not expressible as plain SQL (tridiagonal solve); tests compare it with a dense numpy solve."""
     spec, _ = _months(spark, sf)
-    return spectral.cubic_spline(spec, ["run"], "f", "amp", 1.0, 80.0, 0.01)
+    return splines.cubic_spline(spec, ["run"], "f", "amp", 1.0, 80.0, 0.01).withColumn("y", F.round(F.col("y") / 1e4, 6))
+
+
+@query(f"with recursive {SPLINE_SQL}, {_spline_points_sql('0.25', 320)} select run, k, gx as x, round(gy / 1e4::double, 6) as y from ev")
+def spectrum_spline_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same system in blocks of eight knots, merged three at a time on two levels."""
+    spec, _ = _months(spark, sf)
+    return splines.cubic_spline(spec, ["run"], "f", "amp", 1.0, 81.0, 0.25, block=8, fan=3).withColumn("y", F.round(F.col("y") / 1e4, 6))
 
 
 # psi4 modes on an even grid: the wave as (2, 2) and a scaled, reversed copy as (3, 2).

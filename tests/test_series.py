@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.operators import series, spectral, tracks
+from gridloom.operators import series, spectral, splines, tracks
 
 
 @pytest.fixture(params=["plain", "hot"])
@@ -147,23 +147,49 @@ def dense_spline(x, y, at):
     return (m[j] * e**3 + m[j + 1] * d**3) / (6 * h[j]) + (y[j] / h[j] - m[j] * h[j] / 6) * e + (y[j + 1] / h[j] - m[j + 1] * h[j] / 6) * d
 
 
-@pytest.mark.parametrize("block", [1 << 16, 100])
-def test_spline_blocks_equal_dense_solve(spark, mode, block):
+@pytest.mark.parametrize("block, fan", [(1 << 16, 1 << 10), (100, 1 << 10), (7, 3)])
+def test_spline_blocks_equal_dense_solve(spark, mode, block, fan):
     rng = np.random.default_rng(8)
     x = np.cumsum(rng.uniform(0.3, 3.0, 700))
     y = np.sin(x / 40) + 0.05 * rng.normal(size=x.size)
     df = spark.createDataFrame(pd.DataFrame({"run": "a", "x": x, "y": y})).repartition(3)
     lo, hi = x[0] - 1.0, x[-1] + 1.0
-    got = spectral.cubic_spline(df, ["run"], "x", "y", lo, hi, 0.37, block=block).toPandas().sort_values("k")
+    got = splines.cubic_spline(df, ["run"], "x", "y", lo, hi, 0.37, block=block, fan=fan).toPandas().sort_values("k")
     at = lo + np.arange(math.ceil((hi - lo) / 0.37)) * 0.37
     assert list(got.k) == list(range(at.size))
     np.testing.assert_allclose(got.y, dense_spline(x, y, at), rtol=1e-8, atol=1e-8)
 
 
+@pytest.mark.parametrize("block", [1, 2, 5])
+def test_spline_of_short_series_and_null_keys(spark, block):
+    rng = np.random.default_rng(4)
+    frames, want = [], {}
+    at = np.arange(-1.0, 9.0, 0.5)
+    for run, n in (("a", 1), ("b", 2), ("c", 3), ("d", 4), ("e", 5), ("f", 6), (None, 11), ("g", 12)):
+        x, y = np.cumsum(rng.uniform(0.2, 1.5, n)), rng.normal(size=n)
+        frames.append(pd.DataFrame({"run": [run] * n, "x": x, "y": y}))
+        want[run] = dense_spline(x, y, at) if n > 3 else np.polyval(np.polyfit(x, y, n - 1), at)
+    df = spark.createDataFrame(pd.concat(frames), "run string, x double, y double").repartition(3)
+    got = splines.cubic_spline(df, ["run"], "x", "y", -1.0, 9.0, 0.5, block=block, fan=2).toPandas()
+    assert len(got) == len(want) * at.size
+    for run, values in want.items():
+        mine = got[got.run.isna() if run is None else got.run == run].sort_values("k")
+        np.testing.assert_allclose(mine.y, values, rtol=1e-7, atol=1e-7)
+
+
+def test_cyclic_reduction_equals_dense_solve():
+    rng = np.random.default_rng(9)
+    for n in (1, 2, 3, 8, 33):
+        low, up, rhs = rng.normal(size=n), rng.normal(size=n), rng.normal(size=(n, 3))
+        diag = 2.5 + np.abs(low) + np.abs(up)
+        full = np.diag(diag) + np.diag(low[1:], -1) + np.diag(up[:-1], 1)
+        np.testing.assert_allclose(splines.tridiagonal(low, diag, up, rhs), np.linalg.solve(full, rhs), rtol=1e-10, atol=1e-12)
+
+
 def test_cubic_is_reproduced(spark):
     x = np.linspace(0, 3, 9)
     df = spark.createDataFrame(pd.DataFrame({"run": "a", "x": x, "y": x**3 - 2 * x}))
-    got = spectral.cubic_spline(df, ["run"], "x", "y", -1.0, 4.0, 0.1).toPandas()
+    got = splines.cubic_spline(df, ["run"], "x", "y", -1.0, 4.0, 0.1).toPandas()
     np.testing.assert_allclose(got.y, got.x**3 - 2 * got.x, atol=1e-9)
 
 
