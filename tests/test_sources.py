@@ -7,7 +7,7 @@ import pytest
 from gridloom.operators import amr, series, tracks
 from gridloom.plans import config, resample
 from gridloom.schema import FIELD_SLICE
-from gridloom.sources import ascii, openpmd, slice_store, walk
+from gridloom.sources import ascii, openpmd, restarts, slice_store, walk
 from gridloom.streaming import slices as stream
 
 
@@ -30,6 +30,51 @@ def test_scalar_restarts(spark, tmp_path):
         (0, 0, 0.0, 0.0), (1, 0, 0.5, 1.0), (2, 0, 1.0, 2.0), (3, 2, 1.5, 23.0), (3, 2, 1.5, 23.0)]
 
 
+def _restarts(tmp_path):
+    for r in range(4):
+        d = tmp_path / f"output-{r:04d}" / "data_asc_0D"
+        d.mkdir(parents=True)
+        for q in ("mass", "energy", "mass_b[0]"):
+            (d / f"{q}..asc").write_text("".join(scalar_row(i, i * 0.5, r + 0.25) + "\n" for i in range(r, r + 3)))
+        (d / "mass.txt").write_text("not a table\n")
+    (tmp_path / "output-17").mkdir()
+    (tmp_path / "other").mkdir()
+
+
+def test_filters_open_only_their_files(spark, tmp_path):
+    _restarts(tmp_path)
+    # A file that would break the scan if it were opened.
+    os.chmod(tmp_path / "output-0003" / "data_asc_0D" / "mass..asc", 0)
+    (tmp_path / "output-0002" / "data_asc_0D" / "mass..asc").unlink()
+    os.symlink(tmp_path / "nowhere", tmp_path / "output-0002" / "data_asc_0D" / "mass..asc")
+    df = ascii.read_scalar(spark, "a", str(tmp_path), "mass")
+    early = df.filter("restart < 2")
+    assert early.rdd.getNumPartitions() == 2
+    assert sorted((r.restart, r.iteration) for r in early.collect()) == [(r, i) for r in (0, 1) for i in range(r, r + 3)]
+    some = ascii.read_restarts(spark, "a", str(tmp_path), "data_asc_0D").filter("restart in (0, 3) and quantity like 'en%' and line > 0")
+    assert some.rdd.getNumPartitions() == 2
+    assert sorted((r.restart, r.quantity, r.cols[0]) for r in some.collect()) == [(0, "energy", 1.0), (0, "energy", 2.0), (3, "energy", 4.0), (3, "energy", 5.0)]
+    assert df.filter("restart = 9").count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+@pytest.mark.parametrize("split", [1, 2, 5, 8, 1000])
+def test_pieces_of_a_file_hold_each_line_once(size, split):
+    import io
+
+    for text in ("", "\n", "a", "a\n", "\n\nab\n", "ab\r\ncd\n\nefghijkl", "x" * 20 + "\ny\n"):
+        raw = text.encode()
+        got = []
+        for start in range(0, max(len(raw), 1), split):
+            for places, lines in restarts.line_batches(io.BytesIO(raw), start, min(start + split, len(raw)), size):
+                got += zip(places, lines)
+        want, at = [], 0
+        for line in raw.split(b"\n")[: None if raw and not raw.endswith(b"\n") else -1]:
+            want.append((at, line.decode().removesuffix("\r")))
+            at += len(line) + 1
+        assert got == want
+
+
 def test_puncture_and_volume(spark, tmp_path):
     for r in (0, 1):
         d = tmp_path / f"output-{r:04d}" / "Scalars"
