@@ -164,6 +164,56 @@ def test_slice_store(spark, tmp_path, level, dtype):
     assert "GreaterThan(iteration,1)" in plan
 
 
+def test_lookup_opens_one_file(spark, tmp_path):
+    path = str(tmp_path / "store")
+    many = slices(spark, range(40), "a:b[0] c").unionByName(slices(spark, range(0, 40, 3), "press", "r 2"))
+    slice_store.write(many, path, file_bytes=200, staged=False)
+    listed = slice_store.manifest(spark, path).collect()
+    assert len(listed) > 4 and sum(r.n for r in listed) == 54
+    for key in {(r.run, r.variable) for r in listed}:
+        mine = sorted((r.lo, r.hi) for r in listed if (r.run, r.variable) == key)
+        assert all(a[1] < b[0] for a, b in zip(mine, mine[1:]))
+    hit = slice_store.lookup(spark, path, "a:b[0] c", [17])
+    assert len(hit.inputFiles()) == 1 and [r.time for r in hit.collect()] == [8.5]
+    assert slice_store.lookup(spark, path, "press", [1, 2]).count() == 0 and slice_store.lookup(spark, path, "press", []).count() == 0
+    assert slice_store.at_iteration(spark, path, "press", 39, "r 2").iteration == 39
+
+
+def test_stream_sorts_no_arrays(spark, tmp_path):
+    path = str(tmp_path / "store")
+    runs = [slices(spark, range(5, 45, s), "rho", r) for s, r in ((2, "a"), (3, "b"))]
+    slice_store.write(runs[0].unionByName(runs[1]), path, file_bytes=150)
+    want = sorted([(i, "a") for i in range(5, 45, 2)] + [(i, "b") for i in range(5, 45, 3)])
+    assert [(r.iteration, r.run) for r in slice_store.iterate(spark, path, "rho")] == want
+    placed = slice_store.numbered(spark, path, "rho")
+    got = sorted((r.run, r.position, r.iteration) for r in placed.collect())
+    assert got == sorted((r, k, i) for r, s in (("a", 2), ("b", 3)) for k, i in enumerate(range(5, 45, s)))
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("data#" in line for line in plan.splitlines() if line.strip(" :+-").startswith(("Sort", "Window", "RepartitionBy")))
+    # A streamed append lands in the middle, first unlisted, then listed.
+    slices(spark, (8, 100), "rho", "a").write.mode("append").partitionBy("run", "variable").parquet(path)
+    for _ in range(2):
+        assert [(r.iteration, r.run) for r in slice_store.iterate(spark, path, "rho")] == sorted([*want, (8, "a"), (100, "a")])
+        assert slice_store.at_iteration(spark, path, "rho", 100).run == "a"
+        slice_store.refresh(spark, path)
+    assert slice_store._listed(spark, path).count() == slice_store.manifest(spark, path).count()
+    with pytest.raises(ValueError):
+        slice_store.numbered(spark, path, "rho")
+
+
+def test_gzip_levels(spark, tmp_path):
+    noisy = np.round(np.random.default_rng(0).normal(size=40_000), 1).tolist()
+    df = spark.createDataFrame([("r", "v", "xy", 1, 0.0, 200, 200, noisy)], FIELD_SLICE)
+    sizes = []
+    for level in (1, 6, 9):
+        path = tmp_path / str(level)
+        slice_store.write(df, str(path), compression_level=level)
+        sizes.append(sum(f.stat().st_size for f in path.rglob("*.gz.parquet") if slice_store.MANIFEST not in str(f)))
+    assert sizes[0] > sizes[1] >= sizes[2]
+    with pytest.raises(ValueError):
+        slice_store.write(df, str(tmp_path / "x"), compression_level=10)
+
+
 def test_streamed_append(spark, tmp_path):
     src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
     slices(spark, (1, 2)).write.parquet(src)
