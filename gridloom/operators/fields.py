@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.grid import Axis, StoredAxis, bilinear, half_open_count, half_open_point
 from gridloom.functions.scalars import NAN, is_finite, safe_divide_arrays
 from gridloom.operators.ordered import Ordered
+from gridloom.operators.selection import percentiles
 from gridloom.operators.skew import sized
 
 
@@ -93,14 +94,12 @@ def colour_limits(
 ) -> DataFrame:
     """1st and 99th percentile of the finite (for `log` positive) values of each canvas.
 
-    A canvas has a fixed number of points, which bounds the percentile state.
-    Equal limits are spread to vmin * 1.01, or 1 when vmin is 0. `log_norm` tells
+    Exact for canvases of any size, with bounded state (see `selection`). Equal limits are spread to vmin * 1.01, or 1 when vmin is 0. `log_norm` tells
     whether a log scale applies. Canvases without usable values are absent.
     """
     keep = is_finite(value) & (F.col(value) > 0) if log else is_finite(value)
     limits = (
-        values.filter(keep).groupBy(*keys)
-        .agg(F.percentile(value, F.array(F.lit(0.01), F.lit(0.99))).alias("_p"))
+        percentiles(values.filter(keep), keys, value, (0.01, 0.99), "_p")
         .withColumn("vmin", F.col("_p")[0] if vmin is None else F.lit(float(vmin)))
         .withColumn("_hi", F.col("_p")[1] if vmax is None else F.lit(float(vmax)))
     )

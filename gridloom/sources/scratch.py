@@ -26,6 +26,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """A small table kept in the shared folder, its lineage cut: it is made once and survives lost executors."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.scalars import cutoff_periods, deformation, dimensionless_spin, radial_kinetic
-from gridloom.operators import ordered, series, tracks
+from gridloom.operators import ordered, selection, series, tracks
 from gridloom.operators.asof import asof_forward, nearest_in_time
 from gridloom.plans.tasks import requested_variables, run_cutoffs, skipped_variables, task_grid as plan_task_grid
 from proxies import tables as tb
@@ -280,3 +280,13 @@ def heterogeneous_union(spark: SparkSession, sf: str) -> DataFrame:
     short = li.filter("l_returnflag = 'N'").select(*cols, F.col("l_tax").alias("kin_total"))
     long = li.filter("l_returnflag <> 'N'").select(*cols, F.col("l_discount").alias("kinetic_shi"), F.col("l_tax").alias("kin_total"))
     return series.merge_volume_families(short, long)
+
+
+@query("""select l_returnflag as run, round(quantile_cont(l_extendedprice, 0.01), 6) as p1, round(quantile_cont(l_extendedprice, 0.5), 6) as p50,
+  round(quantile_cont(l_extendedprice, 0.99), 6) as p99, quantile_cont(l_quantity, 0.25) as q25 from lineitem group by 1""")
+def run_percentiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of many values in brackets that narrow twice; quantities are mostly ties."""
+    rows = tb.restarts(spark, sf)
+    prices = selection.percentiles(rows, ["run"], "y", (0.01, 0.5, 0.99), "p", small=200, steps=16)
+    counts = selection.percentiles(rows, ["run"], "q", (0.25,), "q", small=20, steps=16)
+    return prices.join(counts, "run").select("run", *[F.round(F.col("p")[i], 6).alias(n) for i, n in enumerate(("p1", "p50", "p99"))], F.col("q")[0].alias("q25"))

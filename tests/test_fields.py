@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridloom.constants import MILLIS, MSUN_TO_KM
 from gridloom.functions import scalars
 from gridloom.functions.grid import cell_edges, grid_point, half_open_count
-from gridloom.operators import fields
+from gridloom.operators import fields, selection
 from gridloom.plans import config, frames, tasks
 from gridloom.schema import FIELD_SLICE
 
@@ -56,6 +56,19 @@ def test_colour_limits_percentiles_and_overrides(spark):
     assert fields.colour_limits(df.filter("v > 1e9"), ["k"], "v").count() == 0
 
 
+@pytest.mark.parametrize("small, steps", [(1 << 20, 512), (60, 16)])
+def test_percentiles_of_any_size(spark, small, steps):
+    rng = np.random.default_rng(3)
+    groups = {"a": rng.normal(size=3000), "b": np.round(rng.exponential(size=900), 1), "c": np.full(500, 7.0), None: rng.normal(size=400) ** 5, "d": np.array([2.0])}
+    rows = [(k, float(x)) for k, v in groups.items() for x in v] + [("a", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    probs = (0.0, 0.013, 0.5, 0.99, 1.0)
+    got = {r.k: r.p for r in selection.percentiles(df, ["k"], "v", probs, "p", small=small, steps=steps).collect()}
+    assert set(got) == set(groups)
+    for k, v in groups.items():
+        np.testing.assert_allclose(got[k], np.percentile(v, [100 * p for p in probs]), rtol=1e-12, atol=1e-12)
+
+
 def stack(spark):
     rows = [("r", "a", "xy", i, i * 1.0, 2, 3, [float(i + k) for k in range(6)]) for i in (10, 30, 20)]
     rows += [("r", "b", "xy", i, i * 2.0, 2, 3, [float(k) for k in range(6)]) for i in (5, 15)]
