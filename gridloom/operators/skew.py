@@ -2,9 +2,9 @@
 
 A run, variable or frame may own a large share of all rows, so nothing here
 sends one key's rows to one task. `KeyStats` counts rows per key with map-side
-combining; keys above `gridloom.hot.rows` are hot, at most MAX_HOT of them, and
-a key that misses the list owns less than 1/MAX_HOT of the rows. The list steers
-routing only: results do not depend on what is in it.
+combining; keys above `gridloom.hot.rows`, or above 1/MAX_EDGES of all rows where
+that is more, are hot: fewer than MAX_EDGES by that bound, however many keys there are.
+The list steers routing only: results do not depend on what is in it.
 """
 
 from __future__ import annotations
@@ -59,9 +59,9 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
 class KeyStats:
     """What routing needs to know about the keys of a table, from one scan of the key columns.
 
-    `top` holds the heaviest keys with their row counts `_n`, at most MAX_HOT + 1
-    rows. Tables derived from the same source without adding keys or rows may
-    share its stats.
+    `top` holds the heaviest keys with their row counts `_n`: all keys, or MAX_HOT + 1
+    of them, or all that are hot if those are more. Tables derived from the same
+    source without adding keys or rows may share its stats.
     """
 
     top: tuple[Row, ...]
@@ -69,14 +69,14 @@ class KeyStats:
 
     @classmethod
     def of(cls, df: DataFrame, keys: Sequence[str]) -> "KeyStats":
-        top = (
-            df.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .orderBy(F.desc("_n"))
-            .limit(MAX_HOT + 1)
-            .collect()
-        )
-        return cls(tuple(top), hot_row_limit(df))
+        counts, limit = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), hot_row_limit(df)
+        top = counts.orderBy(F.desc("_n")).limit(MAX_HOT + 1).collect()
+        if len(top) > MAX_HOT and top[-1]["_n"] > limit:
+            # More hot keys than asked for: all of them, counted against the whole.
+            limit = max(limit, (counts.agg(F.sum("_n")).first()[0] or 0) // MAX_EDGES + 1)
+            hot = counts.filter(F.col("_n") > limit).collect()
+            top = sorted(hot, key=lambda r: -r["_n"]) if len(hot) > len(top) else top
+        return cls(tuple(top), limit)
 
     @property
     def few(self) -> bool:
@@ -89,7 +89,7 @@ class KeyStats:
 
     @property
     def hot(self) -> tuple[Row, ...]:
-        return tuple(r for r in self.top[:MAX_HOT] if r["_n"] > self.limit)
+        return tuple(r for r in self.top if r["_n"] > self.limit)
 
 
 def pin(table: DataFrame, stats: KeyStats) -> DataFrame:
@@ -135,8 +135,8 @@ def attach(
 
     `table[weight]` is the number of rows behind each key and is dropped. When
     a scan of the key columns finds at most MAX_HOT keys the table is broadcast.
-    Otherwise (or at once, with `many_keys`) the heaviest MAX_HOT keys above the
-    hot limit are broadcast, and all other rows go through a plain equi-join in
+    Otherwise (or at once, with `many_keys`) the heaviest keys above the hot limit,
+    MAX_EDGES at most, are broadcast, and all other rows go through a plain equi-join in
     which the rows already served are spread over dead-end buckets rather than
     piling up on their key. The hot list only steers routing: the equi-join
     side still holds every key.
@@ -150,7 +150,7 @@ def attach(
     warm = (
         packed.filter(F.col(weight) > hot_row_limit(rows))
         .orderBy(F.desc(weight))
-        .limit(MAX_HOT)
+        .limit(MAX_EDGES)
         .select(*keys, F.col("_cold").alias("_warm"))
     )
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(SALTS)).cast("int") + 1
@@ -197,6 +197,7 @@ class Segments:
         chunk = max(hot_row_limit(df), total // MAX_EDGES + 1)
         own = join_keys(df.select(*keys, order), _key_frame(df, keys, hot), keys, "inner")
         edges = _quantile_edges(own, keys, order, F.first("_n"), chunk)
+        edges = _finer(df, own, keys, order, edges, {tuple(r[k] for k in keys) for r in hot if r["_n"] > _PROBS * chunk}, chunk)
         if tie is None:
             return cls(keys, order, edges)
         at_edge = _edge_frame(df, keys, order, edges).select(*keys, F.explode(F.array_distinct("_edges")).alias(order))
@@ -245,6 +246,19 @@ def _quantile_edges(df: DataFrame, keys: Sequence[str], value: str, rows: Column
     return tuple((tuple(r[k] for k in keys), tuple(r["_edges"])) for r in found)
 
 
+def _finer(df: DataFrame, own: DataFrame, keys: Sequence[str], order: str, edges: Edges, giant: set[tuple], chunk: int) -> Edges:
+    """A second level of edges inside the pieces of keys that need more than one sketch gives."""
+    if not giant:
+        return edges
+    first = tuple(e for e in edges if e[0] in giant)
+    tagged = join_keys(own, _edge_frame(df, keys, order, first), keys, "inner").withColumn("_piece", _edges_passed(first, order))
+    inner = _quantile_edges(tagged.select(*keys, "_piece", order), [*keys, "_piece"], order, F.count(F.lit(1)), chunk)
+    more: dict[tuple, set] = {}
+    for key, cuts in inner:
+        more.setdefault(key[:-1], set()).update(cuts)
+    return tuple((k, tuple(sorted({*cuts, *more.get(k, ())}))) for k, cuts in edges)
+
+
 def _edge_frame(df: DataFrame, keys: Sequence[str], value: str, edges: Edges) -> DataFrame:
     schema = T.StructType(
         [df.schema[k] for k in keys] + [T.StructField("_edges", T.ArrayType(df.schema[value].dataType))]

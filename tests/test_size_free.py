@@ -84,3 +84,34 @@ def test_total_strain_counts_every_mode(spark):
     np.testing.assert_allclose([got.re, got.im], [want.real, want.imag], rtol=1e-12)
     only = waves.spin_harmonic(2, 2, 0.7, 0.3)
     assert abs(waves.total_strain(modes, 0.7, 0.3, l_max=2).first().re - only.real) < 1e-12
+
+
+@pytest.fixture()
+def limit(spark):
+    yield lambda rows: spark.conf.set("gridloom.hot.rows", str(rows))
+    spark.conf.unset("gridloom.hot.rows")
+
+
+def test_more_hot_keys_than_the_first_list(spark, limit):
+    limit(8)
+    keys, rows = 4_500, 20
+    df = spark.range(keys * rows).select((F.col("id") % keys).alias("run"), F.expr(f"id div {keys}").cast("double").alias("t"), F.col("id").alias("y"))
+    o = ordered(df)
+    assert len(o.segments.edges) == keys
+    sizes = o.df.groupBy("run", "_seg").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 16
+    placed = o.index("i").running_sum(F.lit(1.0), "s").result()
+    assert placed.filter("i <> t or s <> t + 1").count() == 0 and placed.count() == keys * rows
+
+
+def test_second_level_of_edges(spark, limit, monkeypatch):
+    from gridloom.operators import skew
+
+    limit(10)
+    monkeypatch.setattr(skew, "_PROBS", 8)
+    df = spark.range(3000).select(F.when(F.col("id") % 30 == 0, F.col("id") % 4).otherwise(7).alias("run"), F.col("id").cast("double").alias("t"), F.lit(1.0).alias("y"))
+    o = ordered(df)
+    assert max(len(e) for _, e in o.segments.edges) > 8
+    assert o.df.groupBy("run", "_seg").count().agg(F.max("count")).first()[0] < 100
+    got = o.index("i").neighbours(p="lag:t").result().filter("run = 7").orderBy("t").collect()
+    assert [r.i for r in got] == list(range(2900)) and all(b.p == a.t for a, b in zip(got, got[1:]))
