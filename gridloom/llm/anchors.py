@@ -6,12 +6,11 @@ windows of one anchor form a segment, at most length - k + 1 windows; every wind
 segment, and all windows equal to it lie in segments of the same anchor hash. So repeats are sought
 among segments of one anchor, whose number is about 2 / (length - k + 2) of that of the symbols.
 
-1. Per anchor: the number of segments and the least and largest hash of their contents, combined
-   before the shuffle. Anchors met once are done with.
-2. Equal segments of an anchor are merged with their number. Where that leaves one content, all its
-   windows repeat. Where an anchor has several contents, each is fetched once (not each copy).
-3. Contents of an anchor go to a shard of bounded size, where the caller's `resolve` finds the windows
-   that occur twice or more, by the actual symbols.
+1. A document's equal segments are one row with the list of their places. Per anchor, the number of segments
+   is combined before the shuffle. Anchors met once are done with.
+2. Equal segments of an anchor are merged with their number, and each content is fetched once (not each copy).
+3. Contents of an anchor go, with their numbers, to a shard of bounded size, where the caller's `resolve` finds the
+   windows that occur twice or more, by the actual symbols. Its verdict holds at all places of the content.
 4. An anchor with more than MAX_CONTENTS contents would be too large a group. Its windows are
    counted by a 128-bit hash instead, one row per window, combined before the shuffle.
 
@@ -34,6 +33,8 @@ from gridloom.llm.common import U64, drawn, mixed, pressed, slices, small_batche
 
 #: Different contents of one anchor that one shard may get.
 MAX_CONTENTS = 4_000
+#: Contents that occur so often that their verdicts are broadcast, at most.
+MAX_FREQUENT = 4_096
 #: Bytes of text whose arrays are held at once.
 SCAN_BYTES = 1 << 18
 
@@ -131,7 +132,7 @@ def segments_of(h: np.ndarray, first: np.ndarray, length: int, k: int, powers: P
 
 
 def _segments(docs: DataFrame, unit: str, length: int, k: int) -> DataFrame:
-    """_d, _h, at (first symbol and number of windows), anchor, content."""
+    """_d, _h, anchor, content, ats (first symbol and number of windows of each such segment of the document)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, powers = Symbols(unit), Powers()
@@ -140,14 +141,18 @@ def _segments(docs: DataFrame, unit: str, length: int, k: int) -> DataFrame:
                 got = segments_of(*symbols.hashes(part.column("_text").to_pylist()), length, k, powers)
                 if got is None:
                     continue
-                own = pa.array(got["text"])
-                place = got["at"].astype(np.int64) << 16 | got["windows"]
+                order = np.lexsort((got["at"], got["content"], got["anchor"], got["text"]))
+                text, anchor, content = got["text"][order], got["anchor"][order], got["content"][order]
+                places = (got["at"].astype(np.int64) << 16 | got["windows"])[order]
+                new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])]))
+                own = pa.array(text[new])
                 yield pa.RecordBatch.from_arrays([
-                    part.column("_d").take(own), part.column("_h").take(own), pa.array(place),
-                    pa.array(got["anchor"].view(np.int64)), pa.array(got["content"].view(np.int64)),
-                ], ["_d", "_h", "at", "anchor", "content"])
+                    part.column("_d").take(own), part.column("_h").take(own),
+                    pa.array(anchor[new].view(np.int64)), pa.array(content[new].view(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(np.append(new, len(order)), pa.int32()), pa.array(places)),
+                ], ["_d", "_h", "anchor", "content", "ats"])
 
-    return docs.select(*KEY, "_text").mapInArrow(run, "_d bigint, _h bigint, at bigint, anchor bigint, content bigint")
+    return docs.select(*KEY, "_text").mapInArrow(run, "_d bigint, _h bigint, anchor bigint, content bigint, ats array<bigint>")
 
 
 def _with_texts(rows: DataFrame, docs: DataFrame, schema: str, make: Callable) -> DataFrame:
@@ -175,14 +180,12 @@ def repeated(docs: DataFrame, unit: str, length: int, k: int, resolve: Callable,
     content: which of its windows occur twice or more. A shard has about `shard_symbols` symbols.
     """
     segments = _segments(docs, unit, length, k)
-    # Stored, so that the join below has nothing but shuffled rows on either side and a hot anchor can be split.
-    anchors = stored(segments.groupBy("anchor").agg(
-        F.count("*").alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"),
-    ).where("n > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("varied")))
+    # Stored, so that the joins below have nothing but shuffled rows on either side and a hot key can be split.
+    anchors = stored(segments.groupBy("anchor").agg(F.sum(F.size("ats")).alias("n")).where("n > 1").select("anchor"))
     hits = stored(segments.join(anchors, "anchor"))
 
-    contents = stored(hits.where("varied").groupBy("anchor", "content").agg(
-        F.count("*").alias("n"), F.min(F.struct("_d", "_h", "at")).alias("one"),
+    contents = stored(hits.groupBy("anchor", "content").agg(
+        F.sum(F.size("ats")).alias("n"), F.min(F.struct("_d", "_h", F.col("ats")[0].alias("at"))).alias("one"),
     ).select("anchor", "content", "n", "one.*"))
     sizes = contents.groupBy("anchor").agg(F.count("*").alias("m"))
     fetched = _fetch(contents, docs, unit, length)
@@ -195,21 +198,39 @@ def repeated(docs: DataFrame, unit: str, length: int, k: int, resolve: Callable,
     def in_shard(frame: pd.DataFrame) -> pd.DataFrame:
         flags = resolve(frame["body"].tolist(), frame["n"].to_numpy(), length)
         out = []
-        for d, h, at, n, own in zip(frame["_d"], frame["_h"], frame["at"], frame["n"], flags):
-            if n == 1:  # contents that occur more often repeat as a whole
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]])))
-                out += [(d, h, (at >> 16) + a, (at >> 16) + b - 1 + length) for a, b in zip(edge[0::2], edge[1::2])]
-        return pd.DataFrame(out, columns=["_d", "_h", "first", "end"]).astype("int64")
-
-    found = few.groupBy("shard").applyInPandas(in_shard, "_d bigint, _h bigint, first bigint, end bigint")
+        for row, own in zip(frame[["anchor", "content", "n", "_d", "_h", "at"]].itertuples(index=False, name=None), flags):
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]])))
+            out += [(*row, a, b - 1 + length) for a, b in zip(edge[0::2], edge[1::2])]
+        return pd.DataFrame(out, columns=["anchor", "content", "n", "_d", "_h", "at", "first", "end"]).astype("int64")
+
+    #: What repeats in a content, counted from its first symbol.
+    fields = "anchor bigint, content bigint, n bigint, _d bigint, _h bigint, at bigint, first bigint, end bigint"
+    found = stored(few.groupBy("shard").applyInPandas(in_shard, fields))
     start, count = place(F.col("at"))
-    whole = hits.where("not varied").select(*KEY, "at").unionByName(
-        hits.where("varied").join(contents.where("n > 1").select("anchor", "content"), ["anchor", "content"], "left_semi").select(*KEY, "at")
-    ).select(*KEY, start.alias("first"), (start + count - 1 + length).alias("end"))
-    every = whole.unionByName(found).unionByName(_crowded(known.where("crowded"), unit, length))
+    single = found.where("n = 1").select(*KEY, (start + F.col("first")).alias("first"), (start + F.col("end")).alias("end"))
+    often = found.where("n > 1").select("anchor", "content", "n", "first", "end").unionByName(
+        known.where("crowded and n > 1").select("anchor", "content", "n", F.lit(0).cast("long").alias("first"), (count - 1 + length).alias("end")))
+    verdicts = stored(often.groupBy("anchor", "content").agg(F.first("n").alias("n"), F.collect_list(F.struct("first", "end")).alias("own")))
+    every = _at_all_places(hits, verdicts).unionByName(single).unionByName(_crowded(known.where("crowded"), unit, length))
     return every.groupBy(*KEY).agg(F.collect_set(F.struct("first", "end")).alias("_spans"))
 
 
+def _at_all_places(hits: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """(_d, _h, first, end): what repeats in each content, at every place of it.
+
+    Contents that own over 1/MAX_FREQUENT of all places, MAX_FREQUENT at most, are broadcast; the rest meet by key.
+    """
+    places = verdicts.agg(F.sum("n")).first()[0] or 0
+    common = F.col("n") > max(1000, places // MAX_FREQUENT)
+    on = ["anchor", "content"]
+    known = hits.join(F.broadcast(verdicts.where(common).select(*on, "own")), on, "left")
+    rest = known.where("own is null").drop("own").join(verdicts.where(~common).select(*on, "own"), on)
+    both = known.where("own is not null").unionByName(rest).select(*KEY, F.explode("ats").alias("at"), "own")
+    start, _ = place(F.col("at"))
+    return both.select(*KEY, start.alias("start"), F.explode("own").alias("s")).select(
+        *KEY, (F.col("start") + F.col("s.first")).alias("first"), (F.col("start") + F.col("s.end")).alias("end"))
+
+
 def _fetch(contents: DataFrame, docs: DataFrame, unit: str, length: int) -> DataFrame:
     """contents + body (the symbols' bytes) and symbols (their number)."""
     names = ["_d", "_h", "anchor", "content", "n", "at", "body", "symbols"]

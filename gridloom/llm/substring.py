@@ -101,10 +101,7 @@ def resolve(bodies: list[bytes], weights: np.ndarray, size: int) -> list[np.ndar
     for words, n in zip(contents, weights.tolist()):
         automaton.add(words, n)
     automaton.close()
-    return [
-        np.array(automaton.occurrences(words, size)) > 1 if n == 1 else np.ones(len(words) - size + 1, bool)
-        for words, n in zip(contents, weights.tolist())
-    ]
+    return [np.array(automaton.occurrences(words, size)) > 1 for words in contents]
 
 
 def repeated_words(docs: DataFrame, length: int = LENGTH, text: str = "text", **limits: int) -> DataFrame:
