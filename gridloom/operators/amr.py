@@ -1,9 +1,8 @@
 """Compositing of multi-level chunks onto uniform canvases.
 
-A chunk row explodes only to the canvas points inside its own footprint, and
-each point reads its value straight out of the chunk's array by position, so
-there is no cell table and no range join. Overlaps are settled by one
-`max_by(value, paint order)`, which combines on the map side. Extents come from
+A chunk paints the rectangle of canvas points inside its own footprint (see `canvas`),
+reading its values straight out of its array by position, so there is no cell table, no
+range join and no row per point before a canvas is finished. Extents come from
 chunk metadata alone; the `data` column is not read for them.
 """
 
@@ -16,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions import names
-from gridloom.functions.grid import Axis, StoredAxis, bilinear, grid_point
+from gridloom.functions.grid import Axis, grid_point
+from gridloom.operators import canvas
 from gridloom.functions.scalars import NAN, is_finite
 from gridloom.operators.ordered import Ordered
-from gridloom.operators.skew import sized
+from gridloom.operators.skew import join_keys, sized
 
 CANVAS = ("series", "iteration", "label")
 
@@ -209,125 +209,71 @@ def _with_extent(chunks: DataFrame, extent: "Extent | DataFrame") -> DataFrame:
     return chunks.join(sized(extent), keys)
 
 
-def _paint(
+def _patches(
     chunks: DataFrame, slow: Axis, fast: Axis, base: Column, slow_stride: Column, fast_stride: Column,
-    extent: "Extent | DataFrame", keys: Sequence[str], nx: int, ny: int, method: str,
+    extent: "Extent | DataFrame", keys: Sequence[str],
 ) -> DataFrame:
-    """Writes (keys, j, i, y, x, v, prio) of every chunk; prio is NULL where v is not finite.
-
-    A chunk first explodes to the canvas rows it covers, where everything that
-    depends on y is settled, and only then to the points of each row. Values
-    that must not be written lose their paint order instead of being filtered:
-    a filter would be pushed below the lookup and repeat it.
-    """
-    if method not in ("nearest", "linear"):
-        raise ValueError(f"method must be 'nearest' or 'linear', not {method!r}")
-    linear = method == "linear"
-    ya, xa = StoredAxis("y"), StoredAxis("x")
-    patches = _with_extent(
-        chunks.select(
-            *keys, paint_order(chunks.columns).alias("prio"), "data",
-            base.cast("int").alias("_base"), slow_stride.cast("int").alias("_slow"), fast_stride.cast("int").alias("_fast"),
-            *[c.alias(n) for n, c in {**ya.columns(slow), **xa.columns(fast)}.items()],
-        ),
-        extent,
+    """Rows for `canvas.painted`: what each chunk's rectangle needs, with its canvas box."""
+    own = {f"_{n}{p}": c for n, a in (("y", slow), ("x", fast)) for p, c in (("o", a.origin), ("s", a.start), ("d", a.step))}
+    whole = {"_yn": slow.n, "_xn": fast.n, "_base": base, "_slow": slow_stride, "_fast": fast_stride}
+    rows = chunks.select(
+        *keys, paint_order(chunks.columns).cast("string").alias("_prio"), F.col("data").cast("array<double>").alias("_data"),
+        *[c.cast("double").alias(n) for n, c in own.items()], *[c.cast("int").alias(n) for n, c in whole.items()],
     )
-    lo, hi = F.col("y_min"), F.col("y_max")
-    lines = (
-        patches.withColumn("j", F.explode(ya.span(lo, hi, ny)))
-        .withColumn("y", grid_point(F.col("j"), lo, hi, ny))
-        .filter(ya.covers(F.col("y")))
-    )
-    lines = ya.locate(lines, "y", linear=linear)
-    lo, hi = F.col("x_min"), F.col("x_max")
-    points = (
-        lines.withColumn("i", F.explode(xa.span(lo, hi, nx)))
-        .withColumn("x", grid_point(F.col("i"), lo, hi, nx))
-        .filter(xa.covers(F.col("x")))
-    )
-    points = xa.locate(points, "x", linear=linear)
+    return _with_extent(rows, extent)
 
-    def pick(j: Column, i: Column) -> Column:
-        return F.get("data", F.col("_base") + j * F.col("_slow") + i * F.col("_fast"))
 
-    value = pick(F.col("_y_k"), F.col("_x_k"))
-    if linear:
-        value = F.when(F.col("_y_hull") & F.col("_x_hull"), bilinear(pick, "y", "x")).otherwise(value)
-    return points.select(*keys, "j", "i", "y", "x", value.alias("v"), "prio").withColumn(
-        "prio", F.when(is_finite("v"), F.col("prio"))
-    )
-
-
-def plane_writes(
-    chunks: DataFrame, *, nx: int, ny: int, method: str = "linear",
-    extent: "Extent | DataFrame | None" = None, keys: Sequence[str] = CANVAS,
-) -> DataFrame:
-    """All canvas writes of 2D chunks; those with a NULL `prio` do not count."""
-    if extent is None:
-        extent = plane_extents(chunks, keys)
+def plane_patches(chunks: DataFrame, extent: "Extent | DataFrame", keys: Sequence[str]) -> DataFrame:
+    """Rectangles of 2D chunks."""
     flat = clip_chunks(chunks).filter(F.size("ext") == 2)
-    return _paint(
-        flat, axis_2d(0), axis_2d(1), F.lit(0), F.get("stored", F.lit(1)), F.lit(1),
-        extent, keys, nx, ny, method,
-    )
-
+    return _patches(flat, axis_2d(0), axis_2d(1), F.lit(0), F.get("stored", F.lit(1)), F.lit(1), extent, keys)
 
-def slice_writes(
-    chunks: DataFrame, axis: str, at: float, *, nx: int, ny: int, method: str = "linear",
-    extent: "Extent | DataFrame | None" = None, keys: Sequence[str] = CANVAS,
-) -> DataFrame:
-    """All canvas writes of a cut through 3D chunks; those with a NULL `prio` do not count.
 
-    The slab is addressed inside the 3D array by base and strides, never copied out.
-    """
-    if extent is None:
-        extent = slice_extents(chunks, axis, at, keys)
+def slice_patches(chunks: DataFrame, axis: str, at: float, extent: "Extent | DataFrame", keys: Sequence[str]) -> DataFrame:
+    """Rectangles of a cut through 3D chunks; the slab is addressed inside the array, never copied out."""
     a = SLICE_AXES[axis]
-    stride = (
-        F.get("stored", F.lit(1)) * F.get("stored", F.lit(2)), F.get("stored", F.lit(2)), F.lit(1),
-    )
-    return _paint(
+    stride = (F.get("stored", F.lit(1)) * F.get("stored", F.lit(2)), F.get("stored", F.lit(2)), F.lit(1))
+    return _patches(
         stabbed(chunks, axis, at), axis_3d(a["slow"]), axis_3d(a["fast"]),
-        F.col("_k") * stride[a["cut"]], stride[a["slow"]], stride[a["fast"]],
-        extent, keys, nx, ny, method,
+        F.col("_k") * stride[a["cut"]], stride[a["slow"]], stride[a["fast"]], extent, keys,
     )
 
 
-def _blank(extent: DataFrame, keys: Sequence[str], nx: int, ny: int) -> DataFrame:
-    """Every canvas point as a NaN write that loses against any real one."""
-    return (
-        extent.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(ny - 1))))
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(nx - 1))))
-        .select(
-            *keys, "j", "i",
-            grid_point(F.col("j"), F.col("y_min"), F.col("y_max"), ny).alias("y"),
-            grid_point(F.col("i"), F.col("x_min"), F.col("x_max"), nx).alias("x"),
-            F.lit(NAN).alias("v"), F.lit(-1).cast(PRIO).alias("prio"),
-        )
-    )
+_BOX = ("x_min", "x_max", "y_min", "y_max")
 
 
-def flatten(writes: DataFrame, keys: Sequence[str] = CANVAS) -> DataFrame:
-    """Last writer wins: the value of the highest paint order at each canvas point."""
-    return (
-        writes.groupBy(*keys, "j", "i")
-        .agg(F.max_by("v", "prio").alias("v"), F.first("y").alias("y"), F.first("x").alias("x"))
-        .filter("v is not null")
+def _points(canvases: DataFrame, keys: Sequence[str], values: Column, nx: int, ny: int) -> DataFrame:
+    """(keys, j, i, y, x, _v) of finished canvases, `values` an array per canvas."""
+    rows = canvases.select(*keys, *_BOX, F.posexplode(values).alias("_at", "_v"))
+    j, i = F.expr(f"cast(_at div {nx} as int)"), F.expr(f"cast(_at % {nx} as int)")
+    return rows.withColumns({"j": j, "i": i}).select(
+        *keys, "j", "i",
+        grid_point(F.col("j"), F.col("y_min"), F.col("y_max"), ny).alias("y"),
+        grid_point(F.col("i"), F.col("x_min"), F.col("x_max"), nx).alias("x"), "_v",
     )
 
 
+def _composite(
+    patches: DataFrame, given: "Extent | DataFrame | None", keys: Sequence[str], nx: int, ny: int, method: str, dense: bool
+) -> DataFrame:
+    """Last writer wins on every canvas; points of canvases that only a given extent names are all unwritten."""
+    keys = list(keys)
+    made = canvas.painted(patches, [*keys, *_BOX], nx, ny, method)
+    if dense and isinstance(given, DataFrame):
+        blank = F.array_repeat(F.lit(NAN), nx * ny)
+        made = join_keys(given.select(*keys, *_BOX), made.drop(*_BOX), keys, broadcast=False).withColumn("data", F.coalesce("data", blank))
+    points = _points(made, keys, F.col("data"), nx, ny).withColumnRenamed("_v", "v")
+    points = points.select(*keys, "j", "i", "v", "y", "x")
+    return points if dense else points.filter(is_finite("v"))
+
+
 def composite_plane(
     chunks: DataFrame, *, nx: int = 1024, ny: int = 1024, method: str = "linear",
     extent: "Extent | DataFrame | None" = None, keys: Sequence[str] = CANVAS, dense: bool = True,
 ) -> DataFrame:
     """2D canvas (keys, j, i, y, x, v) per canvas key; `dense` also lists the points nothing wrote."""
     boxes = plane_extents(chunks, keys) if extent is None else extent
-    writes = plane_writes(chunks, nx=nx, ny=ny, method=method, extent=boxes, keys=keys)
-    if dense:
-        if isinstance(boxes, Extent):
-            boxes = _with_extent(chunks.select(*keys).distinct(), boxes)
-        writes = writes.unionByName(_blank(boxes, keys, nx, ny))
-    return flatten(writes, keys)
+    return _composite(plane_patches(chunks, boxes, keys), extent, keys, nx, ny, method, dense)
 
 
 def composite_slice(
@@ -336,12 +282,7 @@ def composite_slice(
 ) -> DataFrame:
     """n x n canvas of the cut `axis` at coordinate `at`; j runs along the slow axis."""
     boxes = slice_extents(chunks, axis, at, keys) if extent is None else extent
-    writes = slice_writes(chunks, axis, at, nx=n, ny=n, method=method, extent=boxes, keys=keys)
-    if dense:
-        if isinstance(boxes, Extent):
-            boxes = _with_extent(chunks.select(*keys).distinct(), boxes)
-        writes = writes.unionByName(_blank(boxes, keys, n, n))
-    return flatten(writes, keys)
+    return _composite(slice_patches(chunks, axis, at, boxes, keys), extent, keys, n, n, method, dense)
 
 
 def composite_recipe(
@@ -354,8 +295,8 @@ def composite_recipe(
 ) -> DataFrame:
     """Several labels on the first label's box, combined point by point into `v`.
 
-    With `axis` the sources are cuts of 3D chunks, otherwise 2D planes. All
-    sources are flattened by the same aggregate, so there is one shuffle.
+    With `axis` the sources are cuts of 3D chunks, otherwise 2D planes. Every source is painted as a canvas of its own;
+    the few canvases of an iteration meet as arrays.
     """
     if not variables:
         raise ValueError("a recipe needs at least one variable")
@@ -370,22 +311,21 @@ def composite_recipe(
     full = [*keys, "label"]
     if axis is None:
         box = extent or plane_extents(lead, keys)
-        writes = plane_writes(used, nx=nx, ny=ny, method=method, extent=box, keys=full)
+        patches = plane_patches(used, box, full)
     else:
         box = extent or slice_extents(lead, axis, at, keys)
-        writes = slice_writes(used, axis, at, nx=nx, ny=ny, method=method, extent=box, keys=full)
-    boxes = _with_extent(lead.select(*keys).distinct(), box) if isinstance(box, Extent) else box
-    blank = _blank(boxes, keys, nx, ny).withColumn("label", F.lit(None).cast("string"))
-    points = writes.unionByName(blank).groupBy(*keys, "j", "i").agg(
-        F.first("y").alias("y"), F.first("x").alias("x"),
-        *[
-            F.max_by(F.when(F.col("label") == label, F.col("v")), F.when(F.col("label") == label, F.col("prio")))
-            .alias(f"_{alias}")
-            for alias, label in variables.items()
-        ],
-    )
-    sources = {a: F.coalesce(F.col(f"_{a}"), F.lit(NAN)) for a in variables}
-    return points.select(*keys, "j", "i", "y", "x", combine(sources).alias("v"))
+        patches = slice_patches(used, axis, at, box, full)
+    if isinstance(box, Extent):
+        # Canvases are those of the first label, whatever else there is.
+        patches = join_keys(patches, lead.select(*keys).distinct(), keys, "left_semi", broadcast=False)
+    painted = canvas.painted(patches, [*full, *_BOX], nx, ny, method)
+    together = painted.groupBy(*keys, *_BOX).agg(*[
+        F.first(F.when(F.col("label") == label, F.col("data")), ignorenulls=True).alias(f"_{alias}") for alias, label in variables.items()
+    ])
+    none = F.array_repeat(F.lit(NAN), nx * ny)
+    zipped = F.arrays_zip(*[F.coalesce(f"_{alias}", none).alias(f"_{alias}") for alias in variables])
+    points = _points(together, keys, zipped, nx, ny)
+    return points.select(*keys, "j", "i", "y", "x", combine({a: F.col("_v")[f"_{a}"] for a in variables}).alias("v"))
 
 
 #: Names of the axes of a chunk, counted from the last.

@@ -106,7 +106,7 @@ def world_coords(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _writes_sql(n: int, linear: bool, extent: str) -> str:
+def _writes_sql(n: int, linear: bool, extent: str, width: int = 8) -> str:
     """SQL for all finite canvas writes; `extent` defines ext(iteration, label, x_min, x_max, y_min, y_max)."""
     def point(i: str, a: str) -> str:
         return f"case when {i} = {n - 1} then {a}_max else {a}_min + {i} * (({a}_max - {a}_min) / {n - 1}) end"
@@ -120,7 +120,7 @@ def _writes_sql(n: int, linear: bool, extent: str) -> str:
         return f"least(n{a} - 2, greatest(0, floor(({a} - {a}0) / sp)))::bigint"
 
     def at(j: str, i: str) -> str:
-        return f"data[({j}) * 8 + ({i}) + 1]"
+        return f"data[({j}) * {width} + ({i}) + 1]"
 
     wy, wx = "((y - (y0 + jy * sp)) / ((y0 + (jy + 1) * sp) - (y0 + jy * sp)))", "((x - (x0 + ix * sp)) / ((x0 + (ix + 1) * sp) - (x0 + ix * sp)))"
     lin = (
@@ -304,6 +304,40 @@ def slice_3d(spark: SparkSession, sf: str) -> DataFrame:
     return _canvas(amr.composite_slice(chunks, "xy", SLICE_AT, n=40, method="nearest", dense=False))
 
 
+#: Record axes (z, y, x) of `chunks_3d` with origin and stride: which is cut, which runs slow and which fast.
+_AXES_3D = {"z": ("-2 + (vec_id % 5) * sp", 16), "y": ("((vec_id * 5) % 13) * sp", 4), "x": ("((vec_id * 3) % 13) * sp", 1)}
+_CUTS = {"xy": ("z", "y", "x", 0.5), "xz": ("y", "z", "x", 2.2), "yz": ("x", "z", "y", 3.25)}
+
+
+def _cut_sql(axis: str) -> str:
+    """ch: the slabs that a cut meets, as 2D chunks."""
+    cut, slow, fast, at = _CUTS[axis]
+    (c0, cs), (s0, ss), (f0, fs) = (_AXES_3D[a] for a in (cut, slow, fast))
+    return f"""a0 as (select vec_id, label, 1::double / pow(2, label % 3) as sp, embedding::double[] as d3 from embeddings),
+  a1 as (select vec_id as chunk_id, vec_id % 5 as iteration, 'hydrobasex_rho' as label, (label % 3)::bigint as level, vec_id % 4 as patch, sp, 4 as ny, 4 as nx,
+     {c0} as c0, {s0} as y0, {f0} as x0, d3 from a0),
+  a2 as (select *, least(3, greatest(0, ceil(({at}::double - c0) / sp - 0.5)))::bigint as kc from a1 where {at}::double between c0 - sp / 2 and c0 + 3 * sp + sp / 2),
+  ch as (select * exclude (d3), [d3[kc * {cs} + (q // 4) * {ss} + (q % 4) * {fs} + 1] for q in range(16)] as data,
+     ((level * 65536 + patch) * 65536) * 8388608 + chunk_id as prio from a2)"""
+
+
+_CUT_BOX = """lo as (select iteration, label, min(level) as l0 from ch group by all),
+ ext as (select ch.iteration, ch.label, min(x0) as x_min, max(x0 + 3 * sp) as x_max, min(y0) as y_min, max(y0 + 3 * sp) as y_max
+   from ch join lo on lo.iteration = ch.iteration and level = l0 group by all)"""
+
+
+def _cut_query(axis: str, method: str) -> None:
+    def cut(spark: SparkSession, sf: str) -> DataFrame:
+        return _canvas(amr.composite_slice(amr.labelled(chunks_3d(spark, sf)), axis, _CUTS[axis][3], n=40, method=method, dense=False))
+
+    cut.__name__ = f"slice_{axis}_{method}"
+    query(f"with {_cut_sql(axis)}, {_writes_sql(40, method == 'linear', _CUT_BOX, 4)} select iteration, label, j, i, round(v, 9) as v from cv")(cut)
+
+
+for _axis, _method in (("xy", "linear"), ("xz", "nearest"), ("xz", "linear"), ("yz", "nearest"), ("yz", "linear")):
+    _cut_query(_axis, _method)
+
+
 @query(f"""with {CELLS_SQL}, c as (select iteration, i, j, (i - 3.5::double) as x, (j - 3.5::double) as y, v from cl),
  r as (select *, sqrt(x * x + y * y) + 1e-17::double as r from c)
 select iteration, i, j, round({tb.MILLIS_SQL} * (0.5::double * ((x / r) * (v + 1) - (y / r) * v) / r - ((x / r) * 0.25::double - (y / r) * v) / r), 6) as omega from r""")

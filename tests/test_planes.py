@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.operators import amr, fields, painting
+from gridloom.operators import amr, canvas, fields, painting
 from gridloom.plans import config, resample
 from gridloom.schema import AMR_CHUNK
 
@@ -45,7 +45,7 @@ def test_chunk_numbers_have_room(spark):
 @pytest.mark.parametrize("method", ["nearest", "linear"])
 @pytest.mark.parametrize("block", [1 << 20, 90])
 def test_slices_equal_the_point_composite(spark, monkeypatch, method, block):
-    monkeypatch.setattr(painting, "BLOCK", block)
+    monkeypatch.setattr(canvas, "BLOCK", block)
     rng = np.random.default_rng(6)
     rows = []
     for k in range(40):
@@ -82,14 +82,36 @@ def test_hot_canvas_is_painted_in_parts(spark, monkeypatch, block):
     rows.append(("a", None, 0.5, "hydrobasex_rho_patch00_lev00", "scalar", 0, 0, [2, 2], [0, 0], [2, 2], [99.0, 99.0], [1.0, 1.0], [0.0, 0.0], [1.0] * 4))
     chunks = amr.labelled(spark.createDataFrame(rows, AMR_CHUNK))
     options = {"nx": 31, "ny": 27, "method": "linear", "extent": amr.Extent(0, 12, 0, 12), "keys": ["iteration"]}
-    monkeypatch.setattr(painting, "BLOCK", block)
+    monkeypatch.setattr(canvas, "BLOCK", block)
     whole = {r.iteration: np.array(r.data) for r in painting.composite_slices(chunks, **options).collect()}
-    monkeypatch.setattr(painting, "POINTS", 600)
-    monkeypatch.setattr(painting, "FAN", 2)
-    dealt, most = painting.parted(chunks.withColumn("_prio", F.col("chunk_id")), ["iteration"], F.lit(50))
+    monkeypatch.setattr(canvas, "POINTS", 600)
+    monkeypatch.setattr(canvas, "FAN", 2)
+    dealt, most = canvas.parted(chunks.withColumn("_prio", F.col("chunk_id")), ["iteration"], F.lit(50))
     sizes = [r["count"] for r in dealt.where("iteration = 3").groupBy("_part").count().collect()]
     assert most == 21 and max(sizes) < 20
     parts = {r.iteration: np.array(r.data) for r in painting.composite_slices(chunks, **options).collect()}
     assert set(whole) == set(parts) == {3, 4, None}
     for k in whole:
         np.testing.assert_array_equal(parts[k], whole[k])
+
+
+def test_no_point_rows_before_a_canvas_is_done(spark):
+    """Between the chunks and the finished canvases nothing is exploded."""
+    chunks = amr.labelled(spark.createDataFrame([], AMR_CHUNK))
+    for made in (
+        amr.composite_plane(chunks, nx=5, ny=4), amr.composite_slice(chunks, "yz", 0.5, n=5),
+        amr.composite_recipe(chunks, {"a": "rho", "b": "press"}, lambda v: v["a"] + v["b"], nx=5, ny=4),
+    ):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        above, below = plan.split("FlatMapGroupsInArrow", 1)
+        assert above.count("Generate posexplode") == 1 and below.count("Generate posexplode") == 0
+        assert "Generate" not in below.split("MapInArrow", 1)[0]
+        assert made.count() == 0
+
+
+def test_given_boxes_without_chunks_are_blank(spark):
+    rows = [("a", 0, 0.5, "hydrobasex_rho_patch00_lev00", "scalar", 0, 0, [3, 3], [0, 0], [3, 3], [0.0, 0.0], [1.0, 1.0], [0.0, 0.0], [float(k) for k in range(9)])]
+    chunks = amr.labelled(spark.createDataFrame(rows, AMR_CHUNK))
+    boxes = spark.createDataFrame([("a", it, "hydrobasex_rho", 0.0, 2.0, 0.0, 2.0) for it in (0, 7)], "series string, iteration bigint, label string, x_min double, x_max double, y_min double, y_max double")
+    got = amr.composite_plane(chunks, nx=3, ny=3, method="nearest", extent=boxes).orderBy("iteration", "j", "i").collect()
+    assert [r.v for r in got[:9]] == [float(k) for k in range(9)] and all(np.isnan(r.v) for r in got[9:]) and len(got) == 18
