@@ -104,6 +104,11 @@ def retarded(t: Column | str, radius: float) -> Column:
     return _col(t) - F.lit(float(radius))
 
 
+def both_halves(value: Column | str, factor: float = 2.0) -> Column:
+    """A surface integral taken above a plane of symmetry, for the whole surface."""
+    return _col(value) * F.lit(float(factor))
+
+
 def since_merger(t: Column | str, t_merge: Column | str, unit: float = MILLIS) -> Column:
     return (_col(t) - _col(t_merge)) / F.lit(unit)
 

@@ -312,7 +312,12 @@ def simpson_weight(i: Column, n: Column) -> Column:
 
 
 def simpson(df: DataFrame, keys: Sequence[str], value: Column, i: str, n: str, dx: Column, out: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.sum(value * simpson_weight(F.col(i), F.col(n)) * dx).alias(out))
+    """Composite Simpson integral per key over the points i = 0 .. n - 1; a missing or repeated point is an error."""
+    # Points counted and their numbers summed: gaps, repeats and most swaps of one for the other show.
+    whole = (F.count(F.lit(1)) == F.max(n)) & (F.sum(F.col(i).cast("decimal(38,0)")) == F.expr(f"cast(max({n}) as bigint) * (max({n}) - 1) div 2"))
+    total = F.sum(value * simpson_weight(F.col(i), F.col(n)) * dx)
+    gap = F.raise_error(F.lit("a series does not hold every point of its grid")).cast("double")
+    return df.groupBy(*keys).agg(F.when(whole, total).otherwise(gap).alias(out))
 
 
 def signal_to_noise(
@@ -321,7 +326,7 @@ def signal_to_noise(
 ) -> DataFrame:
     """sqrt of the Simpson integral of amp^2 / f / noise^2 over a shared frequency grid.
 
-    Both sides are joined on the integer grid index `on`, running from 0 to n - 1.
+    Both sides are joined on the integer grid index `on`, running from 0 to n - 1. Points that one side lacks are an error.
     """
     rows = spectrum.join(noise.select(on, noise_amp, *detector), on).withColumn("_n", n)
     ratio = F.col(amp) * F.col(amp) / F.col(f) / (F.col(noise_amp) * F.col(noise_amp))

@@ -13,13 +13,16 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gridloom.operators import series, spectral
+from gridloom.constants import HUNDRED_MPC
+from gridloom.functions.scalars import characteristic_strain, cutoff_periods, to_hertz
+from gridloom.operators import series, spectral, splines
 from gridloom.operators.ordered import Ordered
 from gridloom.operators.skew import KeyStats, attach
+from gridloom.sources.scratch import settled
 
 MODE = ("run", "l", "m")
 
@@ -31,9 +34,11 @@ def at_radius(modes: DataFrame, radius: float) -> DataFrame:
     return modes.filter(F.abs(F.col("radius") - radius) <= 1e-9 * abs(radius)).drop("radius")
 
 
-def _integrals(modes: DataFrame, cutoff: float, orders: Sequence[int], keys: Sequence[str], stats: KeyStats) -> DataFrame:
-    """Rows (keys, order, t, re, im): all orders from one forward and one inverse transform."""
-    keys = list(keys)
+def _integrals(
+    modes: DataFrame, cutoff: float | Sequence[float], orders: Sequence[int], keys: Sequence[str], stats: KeyStats
+) -> DataFrame:
+    """Rows (keys, order, t, re, im): all orders, and all cutoffs (as a column), from one forward and one inverse transform."""
+    keys, several = list(keys), not isinstance(cutoff, (int, float))
     rows = Ordered.of(modes.select(*keys, "t", "re", "im"), keys, "t", stats=stats).index("idx").result()
     grid = modes.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_w"), F.count(F.lit(1)).alias("n"), F.min("t").alias("t0"),
@@ -44,17 +49,22 @@ def _integrals(modes: DataFrame, cutoff: float, orders: Sequence[int], keys: Seq
     spec = spectral.fft(rows, full, "idx", "n", "re", "im", longest=stats.longest)
     turn = F.when(2 * F.col("k") < F.col("n"), F.col("k")).otherwise(F.col("k") - F.col("n"))
     omega = F.lit(2 * math.pi) * turn / (F.col("n") * F.col("dt"))
-    floor = F.greatest(F.abs(omega), F.lit(2 * math.pi / cutoff))
-    # Division by i omega; the zero frequency has no sign and integrates to nothing.
-    factor = {
-        1: (F.col("im") * F.signum(omega) / floor, -F.col("re") * F.signum(omega) / floor),
-        2: (-F.col("re") / (floor * floor), -F.col("im") / (floor * floor)),
-    }
-    each = F.array(*[F.struct(F.lit(o).alias("order"), factor[o][0].alias("re"), factor[o][1].alias("im")) for o in orders])
+
+    def integrated(order: int, period: float) -> tuple[Column, Column]:
+        # Division by i omega; the zero frequency has no sign and integrates to nothing.
+        floor = F.greatest(F.abs(omega), F.lit(2 * math.pi / period))
+        if order == 1:
+            return F.col("im") * F.signum(omega) / floor, -F.col("re") * F.signum(omega) / floor
+        return -F.col("re") / (floor * floor), -F.col("im") / (floor * floor)
+
+    own = ["cutoff"] if several else []
+    made = [(o, float(p), *integrated(o, p)) for o in orders for p in (cutoff if several else [cutoff])]
+    each = F.array(*[
+        F.struct(F.lit(o).alias("order"), *[F.lit(p).alias(c) for c in own], re.alias("re"), im.alias("im")) for o, p, re, im in made])
     back = spectral.fft(
-        spec.select(*full, "n", "k", F.inline(each)), [*full, "order"], "k", "n", "re", "im", inverse=True, longest=stats.longest,
+        spec.select(*full, "n", "k", F.inline(each)), [*full, "order", *own], "k", "n", "re", "im", inverse=True, longest=stats.longest,
     )
-    return back.select(*keys, "order", (F.col("t0") + F.col("k") * F.col("dt")).alias("t"), "re", "im")
+    return back.select(*keys, "order", *own, (F.col("t0") + F.col("k") * F.col("dt")).alias("t"), "re", "im")
 
 
 def integrate_fixed_frequency(
@@ -99,6 +109,12 @@ def spin_harmonic(l: int, m: int, theta: float, phi: float) -> complex:
     return amp * complex(math.cos(m * phi), math.sin(m * phi))
 
 
+def harmonics(spark: SparkSession, l_max: int, theta: float, phi: float) -> DataFrame:
+    """(l, m, yr, yi) of all modes up to l_max in one direction: (l_max + 1)^2 - 4 rows."""
+    rows = [(l, m, y.real, y.imag) for l in range(2, l_max + 1) for m in range(-l, l + 1) for y in (spin_harmonic(l, m, theta, phi),)]
+    return spark.createDataFrame(rows, "l int, m int, yr double, yi double")
+
+
 def total_strain(h: DataFrame, theta: float, phi: float, l_max: int | None = None, modes: DataFrame | None = None) -> DataFrame:
     """Sum over modes of h_lm times its harmonic in the direction (theta, phi): rows (run, t, re, im).
 
@@ -106,16 +122,7 @@ def total_strain(h: DataFrame, theta: float, phi: float, l_max: int | None = Non
     """
     if l_max is None:
         l_max = (h if modes is None else modes).agg(F.max("l")).first()[0] or 2
-    table = h.sparkSession.createDataFrame(
-        [
-            (l, m, y.real, y.imag)
-            for l in range(2, l_max + 1) for m in range(-l, l + 1)
-            for y in (spin_harmonic(l, m, theta, phi),)
-        ],
-        "l int, m int, yr double, yi double",
-    )
-    # The table has (l_max + 1)^2 - 4 rows.
-    rows = h.join(F.broadcast(table), ["l", "m"])
+    rows = h.join(F.broadcast(harmonics(h.sparkSession, l_max, theta, phi)), ["l", "m"])
     return rows.groupBy("run", "t").agg(
         F.sum(F.col("re") * F.col("yr") - F.col("im") * F.col("yi")).alias("re"),
         F.sum(F.col("re") * F.col("yi") + F.col("im") * F.col("yr")).alias("im"),
@@ -160,6 +167,57 @@ def radiated(modes: DataFrame, radius: float, cutoff: float, l_max: int = 4) ->
     return o.result().select("run", "t", "energy", "j_z", "p_z")
 
 
+def strains(modes: DataFrame, radius: float, cutoffs: Sequence[float], stats: KeyStats | None = None) -> DataFrame:
+    """`strain` for several cutoff periods at once, each trimmed by its own: rows (run, l, m, cutoff, t, re, im)."""
+    modes = at_radius(modes, radius)
+    stats = stats or KeyStats.of(modes, MODE)
+    h = _integrals(modes, list(cutoffs), (2,), MODE, stats).drop("order").withColumns({
+        c: F.col(c) * F.lit(float(radius)) for c in ("re", "im")})
+    ends = modes.groupBy(*MODE).agg(F.count(F.lit(1)).alias("_n"), F.min("t").alias("_a"), F.max("t").alias("_b"))
+    inside = (F.col("t") >= F.col("_a") + F.col("cutoff")) & (F.col("t") <= F.col("_b") - F.col("cutoff"))
+    return attach(h, ends, list(MODE), stats=stats).filter(inside).drop("_a", "_b")
+
+
+def snr_chain(
+    modes: DataFrame, radius: float, noise: DataFrame, *, cutoffs: Sequence[float] | None = None, before: int = 214, alpha: float = 0.25,
+    theta: float = 0.0, phi: float = 0.0, distance: float = HUNDRED_MPC, band: tuple[float, float, float] = (1500.0, 5000.0, 0.01),
+) -> dict[str, DataFrame]:
+    """From psi4 to the signal-to-noise ratio per run, cutoff period and detector.
+
+    For every cutoff: strain, merger of the total strain, the (2, 2) strain from `before` samples ahead of it to the end
+    that all runs reach, its tapered spectrum as characteristic strain, spline onto the band (start, stop, step in Hz),
+    integral against the spline of each noise curve (detector, f in Hz, amp). Returns the tables `window`, `spectrum`
+    (run, cutoff, k, f in Hz, strain), `smooth` (on the band), `peak` and `snr`.
+    """
+    keys = ["run", "cutoff"]
+    h = strains(modes, radius, cutoffs or cutoff_periods())
+    l_max = h.agg(F.max("l")).first()[0] or 2
+    table = harmonics(h.sparkSession, l_max, theta, phi)
+    own = (F.col("l") == 2) & (F.col("m") == 2)
+    rows = h.join(F.broadcast(table), ["l", "m"]).groupBy(*keys, "t").agg(
+        F.hypot(F.sum(F.col("re") * F.col("yr") - F.col("im") * F.col("yi")), F.sum(F.col("re") * F.col("yi") + F.col("im") * F.col("yr"))).alias("amp"),
+        F.max(F.when(own, F.col("re"))).alias("re"), F.max(F.when(own, F.col("im"))).alias("im"),
+    )
+    # Read several times below; what made it is a long way.
+    rows = settled(rows)
+    stats = KeyStats.of(rows, keys)
+    runs = series.merger(rows, keys, "t", "amp", stats=stats)
+    common = runs.groupBy("cutoff").agg(F.min(F.col("t_end") - F.col("t_merge")).alias("_common"))
+    ends = runs.join(common, "cutoff").select(*keys, (F.col("t_merge") + F.col("_common")).alias("_stop"), "_n")
+    window = series.event_window(attach(rows, ends, keys, stats=stats), keys, "t", "amp", before=before, stop="_stop")
+    spectrum = settled(spectral.polarised_spectrum(window, keys, "t", "re", "im", alpha).select(
+        *keys, "k", to_hertz("f").alias("f"), characteristic_strain("amp", "f", distance).alias("strain")))
+    start, stop, step = band
+    smooth = splines.cubic_spline(spectrum, keys, "f", "strain", start, stop, step).withColumnsRenamed({"x": "f", "y": "strain"})
+    curves = splines.cubic_spline(noise, ["detector"], "f", "amp", start, stop, step).select("detector", "k", F.col("y").alias("noise"))
+    points = max(0, math.ceil((stop - start) / step))
+    return {
+        "window": window, "spectrum": spectrum, "smooth": smooth,
+        "peak": spectral.spectral_peak(smooth, keys, "f", F.col("strain")),
+        "snr": spectral.signal_to_noise(smooth, curves, keys, "k", "f", "strain", "noise", F.lit(points), F.lit(float(step)), ["detector"]),
+    }
+
+
 def analyse(modes: DataFrame, radius: float, cutoff: float, *, alpha: float = 0.25, theta: float = 0.0, phi: float = 0.0) -> dict[str, DataFrame]:
     """The chain from psi4 to merger times, phase, frequency, spectrum and spectral peak, lazily."""
     from gridloom.functions.scalars import modulus, spectral_density

@@ -254,9 +254,9 @@ def puncture_distinct(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""with {TRACK_SQL},
- f as (select run, time, body, unnest(min({{'iteration': iteration, 'x': x, 'y': y, 'z': z}})) from tr group by run, time, body)
-select a.run, a.time, a.iteration, a.x as x0, b.x as x1, a.y as y0, b.y as y1, a.z as z0, b.z as z1
-from f a join f b on a.run = b.run and a.time = b.time where a.body = 0 and b.body = 1""")
+ f as (select run, time, body, min({{'iteration': iteration, 'x': x, 'y': y, 'z': z}}) as p from tr group by run, time, body),
+ g as (select run, time, any_value(p) filter (body = 0) as a, any_value(p) filter (body = 1) as b from f group by run, time)
+select run, time, a.iteration as iteration, a.x as x0, b.x as x1, a.y as y0, b.y as y1, a.z as z0, b.z as z1 from g where a is not null and b is not null""")
 def puncture_lookup(spark: SparkSession, sf: str) -> DataFrame:
     track = tracks.combine_axes(_puncture_samples(spark, sf))
     wanted = tb.read(spark, sf, "lineitem").select(F.col("l_returnflag").alias("run"), (F.col("l_orderkey") * 0.5).alias("time"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.functions.scalars import characteristic_strain, spectral_density
-from gridloom.operators import spectral, splines
+from gridloom.functions.scalars import both_halves, characteristic_strain, dimensionless_spin, spectral_density
+from gridloom.operators import gridjoin, spectral, splines
+from gridloom.operators.ordered import Ordered, row_index
 from gridloom.plans import waves
 from proxies import tables as tb
 from proxies.registry import query
@@ -110,17 +111,19 @@ def _months(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return spec.withColumn("f", F.col("i") + 1.0), noise
 
 
-# Even or odd number of months: the weights are written out by position on both rules.
-@query(f"""with {MONTHS_SQL}, c as (select max(i) + 1 as n from sp),
- j as (select run, sp.i, n, amp * amp / (sp.i + 1) / (noise * noise) as v from sp join nz on nz.i = sp.i cross join c),
+# Even or odd number of months: the weights are written out by position on both rules. Months count from the first of each series.
+@query(f"""with {MONTHS_SQL}, s0 as (select run, row_number() over (partition by run order by i) - 1 as i, count(*) over (partition by run) as n, amp from sp),
+ n0 as (select row_number() over (order by i) - 1 as i, noise from nz),
+ j as (select run, s0.i, n, amp * amp / (s0.i + 1) / (noise * noise) as v from s0 join n0 on n0.i = s0.i),
  a as (select *, case when n % 2 = 1 then (case when i = 0 or i = n - 1 then 1 when i % 2 = 1 then 4 else 2 end) / 3::double
    else ((case when i > n - 2 then 0 when i = 0 or i = n - 2 then 1 when i % 2 = 1 then 4 else 2 end) / 3::double + (case when i >= n - 2 then 0.5 else 0 end)
        + (case when i < 1 then 0 when i = 1 or i = n - 1 then 1 when i % 2 = 0 then 4 else 2 end) / 3::double + (case when i <= 1 then 0.5 else 0 end)) / 2 end as w from j)
 select run, round(sqrt(sum(v * w * 0.01::double)), 6) as snr from a group by run""")
 def snr_simpson(spark: SparkSession, sf: str) -> DataFrame:
     spec, noise = _months(spark, sf)
-    n = spec.agg(F.max("i") + 1).scalar()
-    return spectral.signal_to_noise(spec, noise, ["run"], "i", "f", "amp", "noise", n, F.lit(0.01)).withColumn("snr", F.round("snr", 6))
+    numbered = Ordered.of(spec.select("run", "i", "amp"), ["run"], "i").index("k").count("n").result().withColumn("f", F.col("k") + 1.0)
+    curve = row_index(noise, [], "i", out="k").select("k", "noise")
+    return spectral.signal_to_noise(numbered, curve, ["run"], "k", "f", "amp", "noise", F.col("n"), F.lit(0.01)).withColumn("snr", F.round("snr", 6))
 
 
 # Elimination forwards and substitution backwards, one knot a step.
@@ -205,14 +208,40 @@ def gw_strain(spark: SparkSession, sf: str) -> DataFrame:
     return h.select("run", "l", "m", F.round("t", 6).alias("t"), F.round("re", 3).alias("re"), F.round("im", 3).alias("im"))
 
 
-@query(f"""with {MODES_SQL}, {_ffi_sql(1)},
- fl as (select run, j, sum(re * re + im * im) as e from it group by all),
- lg as (select *, lag(e) over (partition by run order by j) as pe from fl)
-select run, j::double as t, round(sum(coalesce((e + pe) / 2, 0)) over (partition by run order by j rows unbounded preceding)
-  * 0.25 / (16 * pi()) / 1e3::double, 6) as energy from lg""")
+def _second_integral_sql() -> str:
+    """it2: the double integral, from the transform that `_ffi_sql` made."""
+    first = _ffi_sql(2)
+    return first[first.index(" fy as"):].replace("fy", "fy2").replace("it as", "it2 as").replace("jn", "jn2")
+
+
+@query(f"""with {MODES_SQL}, {_ffi_sql(1)},{_second_integral_sql()},
+ fl as (select a.run, a.j, sum(a.re * a.re + a.im * a.im) as e, sum(a.m * (b.im * a.re - b.re * a.im)) as jz,
+     sum(a.re * (2.0::double * a.m / (a.l * (a.l + 1)) * a.re + sqrt(5.0::double / 7) / 3 * o.re) + a.im * (2.0::double * a.m / (a.l * (a.l + 1)) * a.im + sqrt(5.0::double / 7) / 3 * o.im)) as pz
+   from it a join it2 b on b.run = a.run and b.l = a.l and b.j = a.j join it o on o.run = a.run and o.l = 5 - a.l and o.j = a.j group by all),
+ lg as (select *, lag(e) over w as pe, lag(jz) over w as pj, lag(pz) over w as pp from fl window w as (partition by run order by j))
+select run, j::double as t, round(sum(coalesce((e + pe) / 2, 0)) over w * 0.25 / (16 * pi()) / 1e3::double, 6) as energy,
+  round(sum(coalesce((jz + pj) / 2, 0)) over w * 0.25 / (16 * pi()) / 1e5::double, 6) as j_z, round(sum(coalesce((pz + pp) / 2, 0)) over w * 0.25 / (16 * pi()) / 1e3::double, 6) as p_z
+from lg window w as (partition by run order by j rows unbounded preceding)""")
 def gw_radiated_energy(spark: SparkSession, sf: str) -> DataFrame:
     out = waves.radiated(_modes(spark, sf), 0.5, CUTOFF)
-    return out.select("run", F.round("t", 6).alias("t"), F.round(F.col("energy") / 1e3, 6).alias("energy"))
+    scaled = {"energy": 1e3, "j_z": 1e5, "p_z": 1e3}
+    return out.select("run", F.round("t", 6).alias("t"), *[F.round(F.col(c) / s, 6).alias(c) for c, s in scaled.items()])
+
+
+@query(f"""with {tb.WAVES}, m as (select run, max(rn) as last from wv group by run)
+select wv.run, wv.iteration, round(({'6.79368'} + im / 1e3::double) / pow('2.5592675'::double - abs(re) / 1e6::double, 2), 6) as spin,
+  round(2 * re / 1e3::double, 6) as both_halves, rn < last as later from wv join m on m.run = wv.run""")
+def gw_spin_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Energy and angular momentum of a run, sampled a hair apart, meet on their common grid; so does a coarser flag."""
+    w = tb.waves(spark, sf)
+    energy = w.select("run", "iteration", F.col("rn").cast("double").alias("t"), (F.abs("re") / 1e6).alias("energy"), both_halves(F.col("re") / 1e3).alias("both_halves"))
+    momentum = w.select("run", (F.col("rn") + F.when(F.col("rn") % 2 == 0, 1e-9).otherwise(-1e-9)).alias("t"), (F.col("im") / 1e3).alias("j_z"))
+    ahead = w.select("run", (F.col("rn") - 1.0).alias("t"), F.lit(True).alias("ahead"))
+    both = gridjoin.join_on_grid(energy, momentum, ["run"], "t", tolerance=1e-6)
+    both = gridjoin.join_on_grid(both, ahead, ["run"], "t", tolerance=1e-6, missing="null")
+    return both.select(
+        "run", "iteration", F.round(dimensionless_spin("j_z", "energy"), 6).alias("spin"), F.round("both_halves", 6).alias("both_halves"),
+        F.col("ahead").isNotNull().alias("later"))
 
 
 _Y = {(l, m): waves.spin_harmonic(l, m, 0.7, 0.3) for l, m in ((2, 2), (3, 2))}
@@ -224,3 +253,54 @@ from md join y on y.l = md.l and y.m = md.m group by all""")
 def gw_total_strain(spark: SparkSession, sf: str) -> DataFrame:
     out = waves.total_strain(_modes(spark, sf), 0.7, 0.3)
     return out.select("run", "t", F.round("re", 6).alias("re"), F.round("im", 6).alias("im"))
+
+
+# The chain on short modes made of monthly averages: four cutoffs, three noise curves.
+_PERIODS, _BEFORE, _BAND = (6.0, 8.0, 10.0, 12.0), 20, (5000.0, 90000.0, 1000.0)
+_Z = {(l, m): waves.spin_harmonic(l, m, 0.7, 0.3) for l, m in ((2, 2), (3, 2))}
+_HERTZ = f"({tb.MILLIS_SQL} * 1000)"
+_W = "greatest(abs(2 * pi() * kk / n), 2 * pi() / p)"
+CHAIN_SQL = f"""{MONTHS_SQL},
+ mo as (select run, row_number() over (partition by run order by i) - 1 as rn, amp / 1e5::double as y from sp),
+ md as (select run, 2 as l, 2 as m, rn, y * cos('{tb.WAVE}'::double * rn) as re, -y * sin('{tb.WAVE}'::double * rn) as im from mo union all
+   select run, 3, 2, rn, -y * sin('{tb.WAVE}'::double * rn) / 2, y * cos('{tb.WAVE}'::double * rn) / 2 from mo),
+ nn as (select run, count(*) as n from mo group by run),
+ {_ffi_sql(2)[:_ffi_sql(2).index(" fy as")].replace("kn", "kf").strip()}
+ ct as (select unnest([{", ".join(f"{p}::double" for p in _PERIODS)}]) as p),
+ fy as (select fk.*, p, -xr / ({_W} * {_W}) as yr, -xi / ({_W} * {_W}) as yi from fk cross join ct),
+ it as (select fy.run, l, m, p, jn.rn, 500 * sum((yr * cos(2 * pi() * ((k * jn.rn) % n) / n) - yi * sin(2 * pi() * ((k * jn.rn) % n) / n)) / n) as re,
+     500 * sum((yi * cos(2 * pi() * ((k * jn.rn) % n) / n) + yr * sin(2 * pi() * ((k * jn.rn) % n) / n)) / n) as im
+   from fy join mo jn on jn.run = fy.run where jn.rn >= p and jn.rn <= n - 1 - p group by all),
+ yl(l, yr, yi) as (values {", ".join(f"({l}, '{v.real!r}'::double, '{v.imag!r}'::double)" for (l, m), v in _Z.items())}),
+ tot as (select run || '/' || p as run, p, rn, sqrt(pow(sum(re * yr - im * yi), 2) + pow(sum(re * yi + im * yr), 2)) as amp,
+     max(case when it.l = 2 then re end) as re, max(case when it.l = 2 then im end) as im from it join yl on yl.l = it.l group by it.run, p, rn),
+ tx as (select *, row_number() over (partition by run order by rn) - 1 as ix from tot),
+ mg as (select run, p, arg_max(rn, (round(amp, 15), rn)) as tm, arg_max(ix, (round(amp, 15), rn)) as im, max(rn) as te from tx group by run, p),
+ cm as (select p, min(te - tm) as common from mg group by p),
+ wv as (select tx.run, tx.rn as iteration, tx.rn::double as t, tx.re, tx.im from tx join mg on mg.run = tx.run join cm on cm.p = tx.p
+   where ix >= greatest(mg.im - {_BEFORE}, 0) and rn < tm + common),
+ {_taper_sql('wv', 're im', 0.25)}, {_dft_sql('re im')},
+ hc as (select run, k / (n * dt) * {_HERTZ} as x, 2 * sqrt((re_re * re_re + im_re * im_re + re_im * re_im + im_im * im_im) / 2) * dt * sqrt(k / (n * dt) * {_HERTZ}) / {_HERTZ} * 1e3 as y from ft),
+ nd as (select d.run, i * 1200.0::double as x, noise * d.a + i * d.b as y from nz cross join (values ('~a', 1e-5::double, 0::double), ('~b', 2e-5::double, 0::double), ('~c', 1e-5::double, 1e-2::double)) d(run, a, b)),
+ kn as (select *, row_number() over w - 1 as j, count(*) over (partition by run) as n from (select * from hc union all select * from nd) window w as (partition by run order by x)),
+ {SPLINE_SQL[SPLINE_SQL.index("hs as"):]},
+ gp as (select k, {_BAND[0]}::double + k * {_BAND[2]}::double as gx from unnest(range(85)) t(k)),
+ ev as (select run, k, gx, y + (gx - x) * ((y1 - y) / (x1 - x) - (x1 - x) * (2 * m + m1) / 6 + (gx - x) * (m / 2 + (gx - x) * (m1 - m) / (6 * (x1 - x)))) as gy
+   from pc join gp on (j = 0 or gx >= x) and (j = n - 2 or gx < x1)),
+ sn as (select s.run, o.run as detector, sum(s.gy * s.gy / s.gx / (o.gy * o.gy) * {_BAND[2]} * (case when s.k = 0 or s.k = 84 then 1 when s.k % 2 = 1 then 4 else 2 end) / 3::double) as sq
+   from ev s join ev o on o.k = s.k and o.run like '~%' where s.run not like '~%' group by all)"""
+
+
+@query(f"with recursive {CHAIN_SQL} select split_part(run, '/', 1) as run, split_part(run, '/', 2)::double as cutoff, detector, round(sqrt(sq), 4) as snr from sn")
+def gw_chain_snr(spark: SparkSession, sf: str) -> DataFrame:
+    spec, noise = _months(spark, sf)
+    rows = Ordered.of(spec.select("run", "i", "amp"), ["run"], "i").index("rn").result()
+    angle, y = F.lit(tb.WAVE) * F.col("rn"), F.col("amp") / 1e5
+    wave = rows.select("run", F.col("rn").cast("double").alias("t"), (y * F.cos(angle)).alias("a"), (-y * F.sin(angle)).alias("b"))
+    modes = wave.select("run", F.lit(2).alias("l"), F.lit(2).alias("m"), "t", F.col("a").alias("re"), F.col("b").alias("im")).unionByName(
+        wave.select("run", F.lit(3).alias("l"), F.lit(2).alias("m"), "t", (F.col("b") / 2).alias("re"), (F.col("a") / 2).alias("im")))
+    curves = [noise.select(F.lit(d).alias("detector"), (F.col("i") * 1200.0).alias("f"), (F.col("noise") * a + F.col("i") * b).alias("amp"))
+              for d, a, b in (("~a", 1e-5, 0.0), ("~b", 2e-5, 0.0), ("~c", 1e-5, 1e-2))]
+    out = waves.snr_chain(
+        modes, 500.0, curves[0].unionByName(curves[1]).unionByName(curves[2]), cutoffs=_PERIODS, before=_BEFORE, theta=0.7, phi=0.3, distance=1e-3, band=_BAND)
+    return out["snr"].select("run", "cutoff", "detector", F.round("snr", 4).alias("snr"))
