@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.constants import OPENPMD_EXTENSIONS
+from gridloom.functions.formats import formatted
 
 # Fixed patterns: they describe the naming scheme of the simulation output.
 PLANE_TAG = r"((xy|xz|yz)_([xyz])_(pos|neg)(\d{1,8})(?:p(\d{0,8}))?)"
@@ -265,17 +266,18 @@ def plane_matches(
     return F.coalesce(keep, F.lit(False))
 
 
+# The placeholders of titles, and which of them are whole numbers.
 _TITLE = re.compile(r"\{(t|t_raw|it|idx)(?::([^{}]*))?\}")
+_WHOLE = ("it", "idx")
 
 
 def title(template: str, **values: Column | str) -> Column:
-    """Fill {t} {t_raw} {it} {idx}, optionally with a printf-style spec such as `.3f`; other braces stay."""
+    """Fill {t} {t_raw} {it} {idx}, optionally with a format specification such as `:>8,.2f` (see `formats`); other braces stay."""
     parts: list[Column] = []
     at = 0
     for m in _TITLE.finditer(template):
         parts.append(F.lit(template[at : m.start()]))
-        value, spec = _col(values[m.group(1)]), m.group(2)
-        parts.append(F.format_string(f"%{spec}", value) if spec else value.cast("string"))
+        parts.append(formatted(_col(values[m.group(1)]), m.group(2) or "", integer=m.group(1) in _WHOLE))
         at = m.end()
     parts.append(F.lit(template[at:]))
     return F.concat(*parts)

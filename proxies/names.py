@@ -157,3 +157,11 @@ def frame_title(spark: SparkSession, sf: str) -> DataFrame:
         "iteration",
         names.title(r"$\rho;~t={x}$ {t:.3f} ms it={it}", t=F.col("t") / F.lit(tb.MILLIS), it="iteration").alias("title"),
     )
+
+
+@query(f"""with {tb.EVENTS} select iteration, lpad(iteration::varchar, greatest(8, length(iteration::varchar))::int, ' ') || '|' || format('{{:,}}', iteration) || '|' || printf('%+.1f', t / 8) || '|'
+  || rpad(printf('%.0f', y), greatest(10, length(printf('%.0f', y)))::int, '.') || '|' || printf('%06d', iteration) || '|' || printf('%x', iteration) || '|' || printf('%.1f%%', y * 100) as title from ev""")
+def title_formats(spark: SparkSession, sf: str) -> DataFrame:
+    """Widths, fills, signs, grouping, bases and percentages; eighths of whole seconds make ties."""
+    template = "{it:>8}|{it:,}|{t:+.1f}|{t_raw:.<10.0f}|{it:06d}|{it:x}|{t_raw:.1%}"
+    return tb.events(spark, sf).select("iteration", names.title(template, t=F.col("t") / 8, t_raw="y", it="iteration", idx=F.lit(0)).alias("title"))

@@ -1,7 +1,8 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.functions import names
+from gridloom.functions import formats, names
 from gridloom.operators import diagnostics
 
 
@@ -106,3 +107,32 @@ def test_title(spark):
     df = spark.createDataFrame([(1.5, 42)], "t double, it bigint")
     got = df.select(names.title(r"$\rho_{x}$ {t:.3f} {it} {idx}", t="t", it="it", idx=F.lit(3)).alias("r")).first().r
     assert got == r"$\rho_{x}$ 1.500 42 3"
+
+
+SPECS = [".0f", ".1f", ".2f", ".3f", "+.2f", " .1f", "010.2f", ",.2f", "_.1f", ">12.3f", "*<9.1f", "^11.2f", "x=+12.1f", ".1%", ".0%", "f", "F", "", ">12", ".12f"]
+WHOLE_SPECS = ["", "d", ">6", "<6d", "^7", "+d", "06d", ",", "_d", "x", "X", "o", "b", "08b", "_x", ".2f", ".1%", "*=+9d"]
+
+
+def test_format_specs_equal_python(spark):
+    rng = np.random.default_rng(6)
+    values = [0.0, -0.0, 0.125, 0.375, 2.675, 1.005, -2.5, 0.5, 1.5, 1e15 + 0.5, 1e16, 123456789.125, -1234567.891, 1e-7, 0.00012345, 9.995, 99.95, float("nan"), float("inf"), -float("inf"), 2.0**52]
+    values += [float(v) for v in rng.normal(size=60) * 10.0 ** rng.integers(-6, 9, 60)]
+    values += [float(k) / 2 ** int(rng.integers(0, 12)) for k in rng.integers(-10**7, 10**7, 60)] + [round(float(v), int(d)) for v, d in zip(rng.uniform(0, 2000, 120), rng.integers(1, 6, 120))]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v double")
+    made = df.select("k", *[formats.formatted(F.col("v"), s, integer=False).alias(f"s{i}") for i, s in enumerate(SPECS)]).collect()
+    for r in made:
+        for i, s in enumerate(SPECS):
+            if s != ".12f" or abs(values[r.k]) < 1000:
+                assert r[f"s{i}"] == format(values[r.k], s), (values[r.k], s)
+    whole = [0, 7, -7, 1234, -123456, 2**40, -(2**63), 2**63 - 1]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(whole)], "k int, v bigint")
+    for r in df.select("k", *[formats.formatted(F.col("v"), s, integer=True).alias(f"s{i}") for i, s in enumerate(WHOLE_SPECS)]).collect():
+        for i, s in enumerate(WHOLE_SPECS):
+            if "f" not in s and "%" not in s or abs(whole[r.k]) < 2**50:
+                assert r[f"s{i}"] == format(whole[r.k], s), (whole[r.k], s)
+
+
+@pytest.mark.parametrize("spec, integer", [(".3e", False), ("g", False), ("d", False), ("010,.2f", False), (".20f", False), ("abc", True), (".2d", True), (",x", True)])
+def test_unsupported_specs_are_errors(spec, integer):
+    with pytest.raises(ValueError):
+        formats.formatted(F.lit(1), spec, integer=integer)

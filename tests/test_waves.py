@@ -3,7 +3,9 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from gridloom.operators import gridjoin, spectral
 from gridloom.plans import waves
 
 
@@ -102,3 +104,40 @@ def test_chain(spark):
     out = waves.analyse(spark.createDataFrame(modes()), 100.0, 30.0)
     assert out["merger"].count() == 2 and out["peak"].count() == 2
     assert out["frequency"].filter("f_gw = 0").count() >= 4
+
+
+def test_chain_over_cutoffs_and_detectors(spark):
+    noise = spark.createDataFrame([(d, 100.0 * k, a * (1 + 0.01 * k)) for d, a in (("one", 1.0), ("two", 2.0)) for k in range(400)], "detector string, f double, amp double")
+    out = waves.snr_chain(spark.createDataFrame(modes()), 100.0, noise, cutoffs=(20.0, 30.0), before=40, distance=1.0, band=(5000.0, 30000.0, 250.0))
+    got = {(r.run, r.cutoff, r.detector): r.snr for r in out["snr"].collect()}
+    assert len(got) == 8 and all(v > 0 for v in got.values())
+    for (run, cutoff, detector), v in got.items():
+        np.testing.assert_allclose(v, got[run, cutoff, "one"] / (1 if detector == "one" else 2), rtol=1e-9)
+    one = waves.strain(spark.createDataFrame(modes()), 100.0, 30.0).orderBy("run", "l", "m", "t").toPandas()
+    many = waves.strains(spark.createDataFrame(modes()), 100.0, (20.0, 30.0)).filter("cutoff = 30").orderBy("run", "l", "m", "t").toPandas()
+    np.testing.assert_allclose(many["re"], one["re"], rtol=1e-9, atol=1e-9)
+    assert out["peak"].count() == 4
+
+
+def test_join_on_grid(spark):
+    left = spark.createDataFrame([("a", 0.1 * k, k) for k in range(50)] + [(None, 0.3, 99)], "run string, t double, n int")
+    right = spark.createDataFrame([("a", 0.1 * k + (-1) ** k * 4e-7, -k) for k in range(50)] + [(None, 0.3, -99), ("b", 0.2, 0)], "run string, t double, v int")
+    got = gridjoin.join_on_grid(left, right, ["run"], "t", tolerance=1e-6)
+    assert got.columns == ["run", "t", "n", "v"] and sorted((r.n, r.v) for r in got.collect()) == sorted([(k, -k) for k in range(50)] + [(99, -99)])
+    fewer = right.filter("v <> -7")
+    with pytest.raises(Exception, match="no partner"):
+        gridjoin.join_on_grid(left, fewer, ["run"], "t", tolerance=1e-6).collect()
+    assert gridjoin.join_on_grid(left, fewer, ["run"], "t", tolerance=1e-6, missing="drop").count() == 50
+    assert gridjoin.join_on_grid(left, fewer, ["run"], "t", tolerance=1e-6, missing="null").filter("v is null").count() == 1
+    with pytest.raises(Exception, match="two tolerances"):
+        gridjoin.join_on_grid(left, right.unionByName(right.filter("v = -5")), ["run"], "t", tolerance=1e-6).collect()
+
+
+def test_gaps_in_a_spectrum_are_errors(spark):
+    spec = spark.createDataFrame([("a", k, 1.0 + k, 2.0) for k in range(9)], "run string, k int, f double, amp double")
+    noise = spark.createDataFrame([(k, 0.5) for k in range(9)], "k int, noise double")
+    snr = lambda n: spectral.signal_to_noise(spec, n, ["run"], "k", "f", "amp", "noise", F.lit(9), F.lit(1.0)).collect()
+    assert len(snr(noise)) == 1
+    for bad in (noise.filter("k <> 4"), noise.filter("k <> 4").unionByName(noise.filter("k = 3"))):
+        with pytest.raises(Exception, match="every point"):
+            snr(bad)
