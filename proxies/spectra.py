@@ -255,13 +255,14 @@ def gw_total_strain(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("run", "t", F.round("re", 6).alias("re"), F.round("im", 6).alias("im"))
 
 
-# The chain on short modes made of monthly averages: four cutoffs, three noise curves.
+# The chain on short modes made of monthly averages under a bell: four cutoffs, three noise curves.
 _PERIODS, _BEFORE, _BAND = (6.0, 8.0, 10.0, 12.0), 20, (5000.0, 90000.0, 1000.0)
 _Z = {(l, m): waves.spin_harmonic(l, m, 0.7, 0.3) for l, m in ((2, 2), (3, 2))}
 _HERTZ = f"({tb.MILLIS_SQL} * 1000)"
 _W = "greatest(abs(2 * pi() * kk / n), 2 * pi() / p)"
 CHAIN_SQL = f"""{MONTHS_SQL},
- mo as (select run, row_number() over (partition by run order by i) - 1 as rn, amp / 1e5::double as y from sp),
+ m0 as (select run, row_number() over (partition by run order by i) - 1 as rn, amp / 1e5::double as y from sp),
+ mo as (select run, rn, y * exp(-(rn - 40) * (rn - 40) / 400::double) as y from m0),
  md as (select run, 2 as l, 2 as m, rn, y * cos('{tb.WAVE}'::double * rn) as re, -y * sin('{tb.WAVE}'::double * rn) as im from mo union all
    select run, 3, 2, rn, -y * sin('{tb.WAVE}'::double * rn) / 2, y * cos('{tb.WAVE}'::double * rn) / 2 from mo),
  nn as (select run, count(*) as n from mo group by run),
@@ -295,7 +296,7 @@ CHAIN_SQL = f"""{MONTHS_SQL},
 def gw_chain_snr(spark: SparkSession, sf: str) -> DataFrame:
     spec, noise = _months(spark, sf)
     rows = Ordered.of(spec.select("run", "i", "amp"), ["run"], "i").index("rn").result()
-    angle, y = F.lit(tb.WAVE) * F.col("rn"), F.col("amp") / 1e5
+    angle, y = F.lit(tb.WAVE) * F.col("rn"), F.col("amp") / 1e5 * F.exp(-(F.col("rn") - 40) * (F.col("rn") - 40) / 400)
     wave = rows.select("run", F.col("rn").cast("double").alias("t"), (y * F.cos(angle)).alias("a"), (-y * F.sin(angle)).alias("b"))
     modes = wave.select("run", F.lit(2).alias("l"), F.lit(2).alias("m"), "t", F.col("a").alias("re"), F.col("b").alias("im")).unionByName(
         wave.select("run", F.lit(3).alias("l"), F.lit(2).alias("m"), "t", (F.col("b") / 2).alias("re"), (F.col("a") / 2).alias("im")))
