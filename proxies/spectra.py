@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.scalars import both_halves, characteristic_strain, dimensionless_spin, spectral_density
@@ -145,22 +145,27 @@ SPLINE_SQL = f"""{MONTHS_SQL},
 
 
 def _spline_points_sql(step: str, total: int) -> str:
-    return f"""gp as (select k, 1.0::double + k * {step}::double as gx from unnest(range({total})) t(k)),
+    return f"""gp as (select k, 37.0::double + k * {step}::double as gx from unnest(range({total})) t(k)),
  ev as (select run, k, gx as gx, y + (gx - x) * ((y1 - y) / (x1 - x) - (x1 - x) * (2 * m + m1) / 6 + (gx - x) * (m / 2 + (gx - x) * (m1 - m) / (6 * (x1 - x)))) as gy
    from pc join gp on (j = 0 or gx >= x) and (j = n - 2 or gx < x1))"""
 
 
-@query(f"with recursive {SPLINE_SQL}, {_spline_points_sql('0.01', 7900)} select run, k, gx as x, round(gy / 1e4::double, 6) as y from ev")
+def _untied(c: str) -> Column:
+    """Rounded after a division by pi: means of prices lie on ties of decimal rounding."""
+    return F.round(F.col(c) / (F.lit(1e4) * F.pi()), 7)
+
+
+@query(f"with recursive {SPLINE_SQL}, {_spline_points_sql('0.01', 7900)} select run, k, gx as x, round(gy / (1e4::double * pi()), 7) as y from ev")
 def spectrum_spline(spark: SparkSession, sf: str) -> DataFrame:
     spec, _ = _months(spark, sf)
-    return splines.cubic_spline(spec, ["run"], "f", "amp", 1.0, 80.0, 0.01).withColumn("y", F.round(F.col("y") / 1e4, 6))
+    return splines.cubic_spline(spec, ["run"], "f", "amp", 37.0, 116.0, 0.01).withColumn("y", _untied("y"))
 
 
-@query(f"with recursive {SPLINE_SQL}, {_spline_points_sql('0.25', 320)} select run, k, gx as x, round(gy / 1e4::double, 6) as y from ev")
+@query(f"with recursive {SPLINE_SQL}, {_spline_points_sql('0.25', 320)} select run, k, gx as x, round(gy / (1e4::double * pi()), 7) as y from ev")
 def spectrum_spline_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """The same system in blocks of eight knots, merged three at a time on two levels."""
     spec, _ = _months(spark, sf)
-    return splines.cubic_spline(spec, ["run"], "f", "amp", 1.0, 81.0, 0.25, block=8, fan=3).withColumn("y", F.round(F.col("y") / 1e4, 6))
+    return splines.cubic_spline(spec, ["run"], "f", "amp", 37.0, 117.0, 0.25, block=8, fan=3).withColumn("y", _untied("y"))
 
 
 # psi4 modes on an even grid: the wave as (2, 2) and a scaled, reversed copy as (3, 2).
