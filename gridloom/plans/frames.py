@@ -6,6 +6,7 @@ import os
 import shutil
 import subprocess
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import names
 from gridloom.functions.scalars import since_merger
-from gridloom.operators import fields
+from gridloom.operators import contours, fields
 from gridloom.operators.ordered import frame_select
 
 
@@ -52,6 +53,85 @@ def prepare(
     )
 
 
+@dataclass(frozen=True)
+class Contour:
+    """Lines of `data` (built from the fields' arrays) at `levels`, on the grid of field `ref`."""
+
+    data: Callable[[dict[str, Column]], Column]
+    ref: str
+    levels: Sequence[float]
+
+
+@dataclass(frozen=True)
+class Panel:
+    """One plot of a frame; `ref` names the field whose iteration and time its title shows, less `time_offset`."""
+
+    data: Callable[[dict[str, Column]], Column]
+    ref: str
+    title: str
+    time_offset: float = 0.0
+    contours: Sequence[Contour] = ()
+
+
+@dataclass(frozen=True)
+class FieldGrid:
+    """Points along y, first coordinates and steps of a field's slices."""
+
+    ny: int
+    x: tuple[float, float]
+    y: tuple[float, float]
+
+
+def panels(
+    slices: DataFrame, variables: Mapping[str, str], specs: Sequence[Panel], settings: Mapping[str, Any], *, keys: Sequence[str] = ("run",),
+) -> DataFrame:
+    """Rows (keys, frame_idx, seq, panel, row, col, iteration, time, title, file, data, contours), one per panel and frame.
+
+    Panels fill the rows of the figure one after another; those beyond FIG_ROWS x FIG_COLS are left out. All of them, and the
+    fields of their contours, share one alignment, so a frame exists if every field has it. `contours` holds the arrays of the
+    panel's contours in their order, for `panel_lines`.
+    """
+    cols = settings["FIG_COLS"]
+    frames = fields.align_frames(slices, variables, keys)
+    frames = frame_select(frames, settings["FRAME_START"], settings["FRAME_STOP"], settings["FRAME_STRIDE"], idx="frame_idx")
+    arrays = {alias: F.col(f"{alias}.data") for alias in variables}
+    made = []
+    for k, spec in enumerate(specs[: settings["FIG_ROWS"] * cols]):
+        t_raw, it = F.col(f"{spec.ref}.time"), F.col(f"{spec.ref}.iteration")
+        text = names.title(
+            spec.title, t=since_merger(t_raw, F.lit(float(spec.time_offset)), settings["MILLIS"]), t_raw=t_raw, it=it, idx=F.col("frame_idx"),
+        )
+        lines = F.array(*[c.data(arrays).cast("array<double>") for c in spec.contours]).cast("array<array<double>>")
+        made.append(F.struct(
+            F.lit(k).alias("panel"), F.lit(k // cols).alias("row"), F.lit(k % cols).alias("col"), it.alias("iteration"), t_raw.alias("time"),
+            text.alias("title"), spec.data(arrays).cast("array<double>").alias("data"), lines.alias("contours"),
+        ))
+    file = F.concat(F.lit(settings["OUT_PREFIX"] + "_"), names.zero_padded("seq", settings["ZFILL"]), F.lit("." + settings["OUT_EXT"]))
+    return frames.select(*keys, "frame_idx", "seq", file.alias("file"), F.inline(F.array(*made)))
+
+
+def panel_lines(
+    made: DataFrame, specs: Sequence[Panel], grids: Mapping[str, FieldGrid], settings: Mapping[str, Any], *, keys: Sequence[str] = ("run",),
+) -> DataFrame:
+    """Contour points of the rows of `panels`, in kilometres: (keys, frame_idx, panel, contour, level, line, closed, pos, edge, x, y)."""
+    scale = settings["MSUN_TO_KM"]
+    flat = made.select(*keys, "frame_idx", "panel", F.posexplode("contours").alias("contour", "data"))
+
+    def pick(of: Callable[[Contour], Any], kind: str) -> Column:
+        known = F.lit(None).cast(kind)
+        for p, spec in enumerate(specs):
+            for c, contour in enumerate(spec.contours):
+                known = F.when((F.col("panel") == p) & (F.col("contour") == c), F.lit(of(contour)).cast(kind)).otherwise(known)
+        return known
+
+    rows = flat.withColumns({"_ny": pick(lambda c: grids[c.ref].ny, "int"), "_levels": pick(lambda c: contour_levels(c.levels), "array<double>")})
+    return contours.lines(
+        rows, [*keys, "frame_idx", "panel", "contour"], F.col("_levels"), ny="_ny",
+        x=tuple(pick(lambda c, k=k: grids[c.ref].x[k] * scale, "double") for k in (0, 1)),
+        y=tuple(pick(lambda c, k=k: grids[c.ref].y[k] * scale, "double") for k in (0, 1)),
+    )
+
+
 def contour_levels(levels: Sequence[float]) -> list[float]:
     return sorted(float(v) for v in levels)
 

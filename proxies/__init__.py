@@ -6,6 +6,6 @@ modules are imported.
 """
 
 from proxies.registry import ORACLES, QUERIES
-from proxies import diagnostics, grids, names, series, spectra, stores, text  # noqa: F401
+from proxies import diagnostics, grids, names, panels, series, spectra, stores, text  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]
