@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.scalars import (
     finite_or_null, rotation_rate, safe_divide, safe_divide_arrays,
 )
-from gridloom.operators import amr, fields, ordered, series
+from gridloom.operators import amr, boxes, fields, ordered, series
 from gridloom.operators.painting import composite_slices
 from proxies import tables as tb
 from proxies.diagnostics import labelled
@@ -265,6 +265,34 @@ def mesh_assemble_3d(spark: SparkSession, sf: str) -> DataFrame:
     return _box(amr.assemble(chunks_3d(spark, sf)), "gk", "gj", "gi")
 
 
+@query(f"""with {tb.CHUNKS}, pt as (select distinct iteration, label, level, patch, oy + q // 8 as gj, ox + q % 8 as gi from ch, range(64) t(q) where q // 8 < ny and q % 8 < nx)
+select iteration, label, level::int as level, patch::int as patch, count(*) as written_points,
+  ((max(gj) - min(gj) + 1) * (max(gi) - min(gi) + 1))::bigint as box_points from pt group by all""")
+def written_volume_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Points written by at least one chunk, however many overlap there."""
+    keys = ["iteration", "label", "level", "patch"]
+    return boxes.union_volume(boxes.bounds(amr.clip_chunks(labelled(spark, sf)), keys, 2), keys)
+
+
+@query("""with c as (select vec_id % 5 as iteration, label % 3 as level, vec_id % 4 as patch, vec_id % 5 + q // 16 as gk,
+   (vec_id * 5) % 13 + (q // 4) % 4 as gj, (vec_id * 3) % 13 + q % 4 as gi from embeddings, range(64) t(q)),
+ b as (select iteration, level, patch, min(gk) as k0, max(gk) as k1, min(gj) as j0, max(gj) as j1, min(gi) as i0, max(gi) as i1 from c group by all),
+ s as (select *, unnest(range(k0, k1 + 1)) as gk from b), r as (select *, unnest(range(j0, j1 + 1)) as gj from s),
+ g as (select *, unnest(range(i0, i1 + 1)) as gi from r),
+ f as (select iteration, level, patch, gk, gj, gi from g except select iteration, level, patch, gk, gj, gi from c),
+ f2 as (select *, gi - row_number() over (partition by iteration, level, patch, gk, gj order by gi) as run from f),
+ r2 as (select iteration, level, patch, gk, gj, min(gi) as lo_2, max(gi) + 1 as hi_2 from f2 group by iteration, level, patch, gk, gj, run),
+ f1 as (select *, gj - row_number() over (partition by iteration, level, patch, gk, lo_2, hi_2 order by gj) as run from r2),
+ r1 as (select iteration, level, patch, gk, lo_2, hi_2, min(gj) as lo_1, max(gj) + 1 as hi_1 from f1 group by iteration, level, patch, gk, lo_2, hi_2, run),
+ f0 as (select *, gk - row_number() over (partition by iteration, level, patch, lo_1, hi_1, lo_2, hi_2 order by gk) as run from r1)
+select iteration, level::int as level, patch::int as patch, min(gk) as lo_0, max(gk) + 1 as hi_0, lo_1, hi_1, lo_2, hi_2
+from f0 group by iteration, level, patch, lo_1, hi_1, lo_2, hi_2, run""")
+def unwritten_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """What the chunks leave blank of the bounding box of each patch, as 3D boxes instead of points."""
+    keys = ["iteration", "level", "patch"]
+    return boxes.unwritten(boxes.bounds(amr.clip_chunks(amr.labelled(chunks_3d(spark, sf))), keys, 3), keys)
+
+
 @query(f"""with {tb.CHUNKS}, {_writes_sql(64, True, RECIPE_EXT)},
  d as (select a.iteration, a.j, a.i, a.v / b.v as v from cv a join cv b on a.iteration = b.iteration and a.j = b.j and a.i = b.i
    and a.label = 'hydrobasex_rho' and b.label = 'hydrobasex_press' where b.v <> 0)
