@@ -1,7 +1,7 @@
 """Sharding by a k-d tree: split at distributed weighted medians along the widest metadata dimension.
 
-Units are groups of equal texts, so copies share a shard; only a group larger than `share` of a
-shard is split, by a hash of the document id. A node of k shards is cut where floor(k / 2) / k of its
+Units are groups of equal texts, so copies share a shard; only a group that is larger than a shard
+by itself is split, by a hash of the document id, into parts of about `share` of a shard. A node of k shards is cut where floor(k / 2) / k of its
 bytes lie below, until each leaf is one shard. All nodes of a level are cut together: one
 aggregation for the extents, then histograms that narrow the cut to a bin of at most EDGE units.
 Those units alone come to the driver, where their sizes decide on which side each goes.
@@ -23,7 +23,7 @@ from gridloom.llm.common import ordered, settled
 OVERHEAD = 8
 #: Units of a cut that are compared one by one on the driver.
 EDGE = 400
-#: A group of copies above this share of a shard is split.
+#: Parts of a group that fits no shard, as a share of one.
 SHARE = 1 / 16
 #: Digits of a position, eight bits each: 24 bits of coordinate, 32 bits of tie-breaking hash.
 DIGITS = 7
@@ -44,8 +44,8 @@ def assign(docs: DataFrame, shards: int | None = None, target_bytes: int | None
     total = meta.agg(F.sum("size")).first()[0] or 0
     shards = shards or max(1, math.ceil(total / (target_bytes or max(total, 1))))
     piece = max(1, int(total / shards * share))
-    # Groups above `piece` bytes: at most shards / share of them, so this side of the join is bounded.
-    large = meta.groupBy("g", "size").agg(F.sum("size").alias("all")).where(F.col("all") > piece).select(
+    # Groups above a shard's bytes: fewer than there are shards, so this side of the join is bounded.
+    large = meta.groupBy("g", "size").agg(F.sum("size").alias("all")).where(F.col("all") > total / shards).select(
         "g", "size", F.ceil(F.col("all") / piece).cast("long").alias("parts")
     )
     rows = meta.join(F.broadcast(large), ["g", "size"], "left").withColumn(

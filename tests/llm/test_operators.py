@@ -249,3 +249,19 @@ def test_queries_have_contract_columns(spark):
     }
     for name, columns in want.items():
         assert columns <= set(queries.QUERIES[name](spark, SF).columns)
+
+
+def test_sharding_splits_only_groups_larger_than_a_shard(spark):
+    rows = [(k, "w%d " % k * 30) for k in range(200)] + [(1000 + k, "middle " * 150) for k in range(12)] + [(2000 + k, "large " * 100) for k in range(60)]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    text = dict(rows)
+    placed = kdshard.assign(docs, 6).collect()
+    mean = sum(r.size for r in placed) / 6
+    homes, size = {}, {}
+    for r in placed:
+        homes.setdefault(text[r.doc_id], set()).add(r.shard)
+        size[text[r.doc_id]] = size.get(text[r.doc_id], 0) + r.size
+    assert sorted(r.doc_id for r in placed) == sorted(text)
+    assert size["middle " * 150] < mean < size["large " * 100]
+    assert {t for t, h in homes.items() if len(h) > 1} == {"large " * 100}
+    assert max(sum(r.size for r in placed if r.shard == k) for k in range(6)) < 1.35 * mean
