@@ -1,7 +1,8 @@
 """Quality: Bradley-Terry ranking from preference pairs, cut at a quantile of the scores.
 
 Each labelled good document is preferred to a bad one; the document score is linear in binned
-features, and its weights minimise the logistic loss of score differences over such pairs. The
+features, and its weights minimise the logistic loss of score differences over such pairs: all labelled
+rows are dealt into blocks, and all pairs within a block count, so the work is linear in the rows. The
 cut is the quantile of the training scores at the share of bad labels; a logistic curve through it
 maps scores to 0..1 so that the cut lies at the threshold.
 
@@ -13,18 +14,22 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.common import DOUBLE, with_text
-from gridloom.llm.training import held_out, logistic_curve, sample
+from gridloom.llm.common import DOUBLE, stored, with_text
+from gridloom.llm.training import held_out, labelled, logistic_curve, minimise, totals
 
-#: Bounds on the labelled rows and on the pairs formed of them.
-MAX_TRAINING_ROWS = 20_000
-MAX_PAIRS = 100_000
+#: Rows among which all pairs are formed, and how many of a rare label each such block has at least (all, if there are fewer).
+BLOCK_ROWS, MIN_RARE = 1024, 32
+RIDGE = 1e-4
+SCORE_BINS = 1 << 14
 THRESHOLD = 0.7
 BINS = 6
 PRINTABLE = np.r_[10, 32:127]
@@ -71,40 +76,122 @@ def binned(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return (x[:, :, None] > edges[None]).reshape(len(x), -1).astype(np.float32)
 
 
-def rank(x: np.ndarray, y: np.ndarray, share_bad: float, threshold: float = THRESHOLD, steps: int = 400, seed: int = 7) -> Ranking:
-    """Fit by Adam on minibatches of pairs (good, bad)."""
-    edges = np.quantile(x, np.linspace(0.02, 0.98, BINS), axis=0).T
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    rng = np.random.default_rng(seed)
-    b = binned(x, edges)
-    n = min(MAX_PAIRS, len(good) * len(bad))
-    left, right = rng.choice(good, n), rng.choice(bad, n)
-    w, m, v = (np.zeros(b.shape[1], np.float32) for _ in range(3))
-    for t in range(1, steps + 1):
-        pick = rng.integers(0, n, min(2048, n))
-        diff = b[left[pick]] - b[right[pick]]
-        p = 1 / (1 + np.exp(np.clip(diff @ w, -60, 60)))
-        grad = -(diff * p[:, None]).mean(0) + 1e-4 * w
-        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
-        w = w - 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-    s = (b @ w).astype(np.float64)
-    cut = float(np.quantile(s, share_bad))
-    slope = max(logistic_curve(s, (y == 1).astype(float))[0], 1e-3)
-    return Ranking(edges, w.astype(np.float64), cut, slope)
-
-
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = MAX_TRAINING_ROWS, text: str = "text") -> Ranking | None:
-    """The features of at most `limit` rows come to the driver."""
-    rows = sample(docs, labels, label, limit, text)
+def _blocks(bits: DataFrame, sizes: dict[bool, int]) -> DataFrame:
+    """(good, bits, counts): all rows dealt by hash into blocks of about BLOCK_ROWS, the good ones first.
+
+    Of a rare label, rows go to as many blocks as it takes for some MIN_RARE in each, so that every row has opponents.
+    """
+    n = max(1, -(-sum(sizes.values()) // BLOCK_ROWS))
+    copies = {k: min(n, -(-MIN_RARE * n // size)) for k, size in sizes.items()}
+    place = F.xxhash64("_bits", "_label")
+    turn = F.explode(F.when(F.col("_label") > 0, F.sequence(F.lit(0), F.lit(copies[True] - 1))).otherwise(F.sequence(F.lit(0), F.lit(copies[False] - 1))))
+    stride = F.when(F.col("_label") > 0, n // copies[True]).otherwise(n // copies[False])
+    dealt = bits.select("*", turn.alias("_turn")).withColumn("_block", F.pmod(place + F.col("_turn") * stride, F.lit(n)))
+
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_label", "_bits"], ascending=False)
+        return pd.DataFrame({"good": [int((pdf["_label"] > 0).sum())], "bits": [b"".join(pdf["_bits"])], "counts": [pdf["_n"].to_numpy(float)]})
+
+    made = dealt.select("_block", "_label", "_bits", "_n").groupBy("_block").applyInPandas(join, "good int, bits binary, counts array<double>")
+    return stored(made)
+
+
+def _opened(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(good rows, indicators, counts) of each block."""
+    for row in batch.to_pylist():
+        count = np.array(row["counts"])
+        raw = np.frombuffer(row["bits"], np.uint8).reshape(len(count), -1)
+        yield row["good"], np.unpackbits(raw, axis=1, count=size).astype(np.float32), count
+
+
+def _pair_loss(w: np.ndarray):
+    """Number of pairs, their logistic loss and its gradient."""
+
+    def work(batch: pa.RecordBatch) -> np.ndarray:
+        out = np.zeros(len(w) + 2)
+        for good, x, count in _opened(batch, len(w)):
+            s = x @ w
+            e = np.exp(np.clip(s[None, good:] - s[:good, None], -60, 60))
+            pairs = np.outer(count[:good], count[good:])
+            slip = e / (1 + e) * pairs
+            out[0] += pairs.sum()
+            out[1] += (np.log1p(e) * pairs).sum()
+            out[2:] += slip.sum(0) @ x[good:] - slip.sum(1) @ x[:good]
+        return out
+
+    return work
+
+
+def _spread(low: float, high: float):
+    """Counts of good and bad rows in SCORE_BINS bins of the score."""
+
+    def make(w: np.ndarray):
+        def work(batch: pa.RecordBatch) -> np.ndarray:
+            out = np.zeros((2, SCORE_BINS))
+            for good, x, count in _opened(batch, len(w)):
+                at = ((x @ w - low) / (high - low) * SCORE_BINS).astype(int).clip(0, SCORE_BINS - 1)
+                for k, part in enumerate((slice(None, good), slice(good, None))):
+                    out[k] += np.bincount(at[part], count[part], SCORE_BINS)
+            return out.ravel()
+
+        return work
+
+    return make
+
+
+def rank(rows: DataFrame, size: int) -> Ranking | None:
+    """Fit on all rows (_x, _label): edges, pairs, cut and curve each from sums over all of them.
+
+    A pair is a good and a bad row of one block (see `_blocks`); every row has pairs. Equal indicators count as one row with its number.
+    """
+    probs = np.linspace(0.02, 0.98, BINS).tolist()
+    cuts = rows.agg(*[F.percentile_approx(F.get("_x", F.lit(k)), probs, 2000).alias(f"_{k}") for k in range(size)]).first()
+    if cuts[0] is None:
+        return None
+    edges = np.array(cuts, float)
+
+    def indicators(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            packed = np.packbits(binned(x, edges).astype(bool), axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("_label"), pa.array([p.tobytes() for p in packed], pa.binary())], ["_label", "_bits"])
+
+    made = rows.select("_x", F.when(F.col("_label") > 0, 1).otherwise(0).alias("_label")).mapInArrow(indicators, "_label int, _bits binary")
+    bits = stored(made.groupBy("_label", "_bits").agg(F.count(F.lit(1)).alias("_n")))
+    found = {r._label > 0: (r.rows, r.n) for r in bits.groupBy("_label").agg(F.count(F.lit(1)).alias("rows"), F.sum("_n").alias("n")).collect()}
+    if len(found) < 2:
+        return None
+    blocks = _blocks(bits, {k: v[0] for k, v in found.items()})
+    width = edges.size
+
+    def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
+        got = totals(blocks, width + 2, _pair_loss, w)
+        return got[1] / got[0] + RIDGE / 2 * float(w @ w), got[2:] / got[0] + RIDGE * w
+
+    w = minimise(loss, np.zeros(width))
+    low, high = float(w.clip(max=0).sum()), float(w.clip(min=0).sum()) + 1e-9
+    # Rows of a rare label are in several blocks: their counts are brought back to the true ones.
+    good, bad = totals(blocks, 2 * SCORE_BINS, _spread(low, high), w).reshape(2, -1)
+    good, bad = good * found[True][1] / good.sum(), bad * found[False][1] / bad.sum()
+    top = low + np.arange(1, SCORE_BINS + 1) * (high - low) / SCORE_BINS
+    middle = top - (high - low) / SCORE_BINS / 2
+    # Between the ranks on either side of the share of bad labels, to the width of a bin.
+    upto, n_bad = np.cumsum(good + bad), bad.sum()
+    below, above = middle[np.searchsorted(upto, [n_bad - 0.5, n_bad + 0.5])]
+    cut = float(below + (1 - n_bad / upto[-1]) * (above - below))
+    y = np.repeat([1.0, 0.0], SCORE_BINS)
+    slope = max(logistic_curve(np.tile(middle, 2), y, weight=np.concatenate([good, bad]))[0], 1e-3)
+    return Ranking(edges, w, cut, slope)
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text") -> Ranking | None:
+    """On all labelled rows; the driver gets sums, edges and weights."""
 
     def make():
         return lambda texts: [[features(t).tolist() for t in texts]]
 
-    got = with_text(rows, "_text", [("_x", T.ArrayType(DOUBLE))], make).select("_x", "_label").collect()
-    y = np.array([1 if r._label > 0 else 0 for r in got])
-    if not len(y) or y.min() == y.max():
-        return None
-    return rank(np.array([r._x for r in got]), y, float((y == 0).mean()))
+    rows = with_text(labelled(docs, labels, label, text), "_text", [("_x", T.ArrayType(DOUBLE))], make).select("_x", "_label")
+    return rank(stored(rows), len(features(None)))
 
 
 def score(docs: DataFrame, model: Ranking | None, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:

@@ -27,17 +27,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.common import DOUBLE, LONG, with_text
-from gridloom.llm.training import held_out, sample
+from gridloom.llm.common import DOUBLE, LONG, STRING, stored, with_text
+from gridloom.llm.training import held_out, labelled, minimise, totals
 
-#: Bound on the labelled rows that lexicon and curve are fitted on.
-MAX_TRAINING_ROWS = 20_000
+#: Features that a task counts before it passes them on.
+MAX_COUNTED = 500_000
 #: Bounds on lexicon and exceptions, and with them on what is broadcast.
 MAX_ENTRIES = 4_000
 #: Least log-odds of an entry.
 MIN_ODDS = 1.5
 LENGTH_POWER = 0.5
-STEPS, RATE, RIDGE = 500, 0.1, 1e-3
+STEPS, RIDGE = 60, 1e-3
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
 
@@ -72,19 +72,27 @@ def candidates(text: str) -> set[str]:
 
 
 def _count(rows: DataFrame, features) -> DataFrame:
-    """feature -> (toxic, clean) documents that have it; summed within each task before the shuffle."""
+    """feature -> (toxic, clean) documents that have it; summed within each task, MAX_COUNTED features at a time, before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = (Counter(), Counter())
+
+        def parts() -> Iterator[pa.RecordBatch]:
+            names = list(totals[0].keys() | totals[1].keys())
+            for k in range(0, len(names), 50_000):
+                part = names[k : k + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part), *[pa.array([t[x] for x in part], pa.int64()) for t in totals]], ["feature", "toxic", "clean"])
+            for t in totals:
+                t.clear()
+
         for batch in batches:
-            for text, label in zip(batch.column("_text").to_pylist(), batch.column("_label").to_pylist()):
-                totals[0 if label else 1].update(features(folded(text)))
-        names = list(totals[0].keys() | totals[1].keys())
-        for k in range(0, len(names), 50_000):
-            part = names[k : k + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), *[pa.array([t[x] for x in part], pa.int64()) for t in totals]], ["feature", "toxic", "clean"])
-
-    made = rows.select("_text", "_label").mapInArrow(run, "feature string, toxic bigint, clean bigint")
+            for text, label in zip(batch.column("_flat").to_pylist(), batch.column("_label").to_pylist()):
+                totals[0 if label else 1].update(features(text))
+                if len(totals[0]) + len(totals[1]) > MAX_COUNTED:
+                    yield from parts()
+        yield from parts()
+
+    made = rows.select("_flat", "_label").mapInArrow(run, "feature string, toxic bigint, clean bigint")
     return made.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -194,23 +202,24 @@ def _strength(docs: DataFrame, model: Model, text: str) -> DataFrame:
     return with_text(docs, text, [("n_matches", LONG), ("strength", DOUBLE)], make)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = MAX_TRAINING_ROWS, text: str = "text") -> Model:
-    rows = sample(docs, labels, label, limit, text).persist()
-    sizes = {r._label > 0: r.n for r in rows.groupBy((F.col("_label") > 0).cast("int").alias("_label")).agg(F.count("*").alias("n")).collect()}
-    n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text") -> Model:
+    """On all labelled rows; the driver gets the lexicon, counts and sums."""
+
+    def make():
+        return lambda texts: [[folded(raw.decode()) if raw else " " for raw in texts]]
+
+    rows = with_text(labelled(docs, labels, label, text), "_text", [("_flat", STRING)], make)
+    rows = stored(rows.select("_flat", F.when(F.col("_label") > 0, 1).otherwise(0).alias("_label")))
+    sizes = {r._label: r.n for r in rows.groupBy("_label").agg(F.count("*").alias("n")).collect()}
+    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
-        rows.unpersist()
         return Model({}, [], (0.0, 0.0))
     weights = lexicon(rows, n_toxic, n_clean)
     exceptions = exception_phrases(rows, weights)
     entries = sorted(weights)
-    # At most `limit` rows of match counts.
-    got = _matched(rows, weights, exceptions, entries).select("_label", "_scale", "_entries").collect()
-    rows.unpersist()
-    row = np.repeat(np.arange(len(got)), [len(r._entries) for r in got])
-    entry = np.array([e for r in got for e in r._entries], np.int64)
-    start = np.array([weights[e] for e in entries])
-    fitted, base = refined(row, entry, np.array([r._scale for r in got]), np.array([r._label > 0 for r in got], float), start)
+    matched = stored(_matched(rows, weights, exceptions, entries).where(F.size("_entries") > 0).select("_label", "_scale", "_entries"))
+    found = {r._label: r.n for r in matched.groupBy("_label").agg(F.count("*").alias("n")).collect()}
+    fitted, base = refined(matched, (n_toxic - found.get(1, 0), n_clean - found.get(0, 0)), n_toxic, n_toxic + n_clean, np.array([weights[e] for e in entries]))
     return Model(dict(zip(entries, fitted.tolist())), exceptions, (1.0, base))
 
 
@@ -221,29 +230,50 @@ def _matched(rows: DataFrame, weights: dict[str, float], exceptions: list[str],
     def make():
         machine = automaton(weights, exceptions)
 
-        def work(texts: list[bytes | None]):
+        def work(texts: list[bytes]):
             found, scale = [], []
             for raw in texts:
-                flat = folded(raw.decode()) if raw else " "
+                flat = raw.decode()
                 found.append([number[m[1]] for m in matches(machine, flat)])
                 scale.append(max(flat.count(" ") - 1, 1) ** -LENGTH_POWER)
             return [found, scale]
 
         return work
 
-    return with_text(rows, "_text", [("_entries", T.ArrayType(LONG)), ("_scale", DOUBLE)], make)
+    return with_text(rows, "_flat", [("_entries", T.ArrayType(LONG)), ("_scale", DOUBLE)], make)
 
 
-def refined(row: np.ndarray, entry: np.ndarray, scale: np.ndarray, y: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and intercept of least logistic loss, by Adam from `start`; a ridge holds them near it."""
-    w, m, v = np.append(start, np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))), 0.0, 0.0
-    for t in range(1, STEPS + 1):
+def _slips(w: np.ndarray):
+    """Logistic loss and its gradient; the last weight is the intercept."""
+
+    def work(batch: pa.RecordBatch) -> np.ndarray:
+        y, scale = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("_label", "_scale"))
+        lists = batch.column("_entries")
+        row = np.repeat(np.arange(len(y)), lists.value_lengths().to_numpy(zero_copy_only=False))
+        entry = lists.flatten().to_numpy(zero_copy_only=False)
         z = np.bincount(row, w[entry] * scale[row], len(y)) + w[-1]
-        slip = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) / len(y)
-        grad = np.append(np.bincount(entry, slip[row] * scale[row], len(start)), slip.sum())
-        grad[:-1] += RIDGE * (w[:-1] - start) / len(y)
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        w = w - RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-10)
+        slip = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
+        return np.concatenate([[(np.logaddexp(0, z) - y * z).sum()], np.bincount(entry, slip[row] * scale[row], len(w) - 1), [slip.sum()]])
+
+    return work
+
+
+def refined(matched: DataFrame, others: tuple[int, int], n_toxic: int, n: int, start: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and intercept of least logistic loss, from `start`; a ridge holds them near it.
+
+    `others`: numbers of toxic and clean rows without a match, which are all alike.
+    """
+    share = n_toxic / n
+    first = np.append(start, np.log((share + 1e-3) / (1 - share + 1e-3)))
+
+    def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
+        got, away = totals(matched, len(w) + 1, _slips, w), np.append(w[:-1] - start, 0.0)
+        value, grad = got[0], got[1:].copy()
+        value += others[0] * np.logaddexp(0, -w[-1]) + others[1] * np.logaddexp(0, w[-1])
+        grad[-1] += sum(others) / (1 + np.exp(-np.clip(w[-1], -500, 500))) - others[0]
+        return float(value + RIDGE / 2 * (away @ away)) / n, (grad + RIDGE * away) / n
+
+    w = minimise(loss, first, STEPS)
     return w[:-1], float(w[-1])
 
 

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridloom.llm import decontaminate, kdshard, order_minhash, packing, quality, queries, toxicity, warc
+from gridloom.llm import decontaminate, kdshard, order_minhash, packing, quality, queries, toxicity, training, warc
 from gridloom.llm.common import ordered, words
 from gridloom.llm.tokens import Encoder
 from llm_fixtures import SF, frame, odd  # noqa: F401
@@ -104,6 +104,55 @@ def test_classifiers(spark, frame, odd, module, label, least):
     assert len({r.score for r in module.score(frame(odd), module.fit(frame(odd), few)).collect()}) == 1
 
 
+def test_ranking_uses_every_row(spark, monkeypatch):
+    """Sums over all rows: every row has pairs, a rare label in every block; cut as the quantile of all scores."""
+    rng = np.random.default_rng(3)
+    y = np.array([1] * 150 + [0] * 10)
+    x = np.round(rng.normal(size=(160, 3)) + y[:, None], 2)
+    x[5] = x[6]
+    rows = spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(x, y)], "_x array<double>, _label int").repartition(3)
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(quality, "MIN_RARE", 4)
+    made, seen = [], quality._blocks
+    monkeypatch.setattr(quality, "_blocks", lambda *a: made.append(seen(*a)) or made[0])
+    model = quality.rank(rows, 3)
+    width = model.edges.size
+    want = {(int(k), bytes(b)) for k, b in zip(y, np.packbits(quality.binned(x, model.edges).astype(bool), axis=1))}
+    got = set()
+    for r in made[0].collect():
+        raw = np.frombuffer(r.bits, np.uint8).reshape(len(r.counts), -1)
+        assert 0 < r.good < len(raw) and len(raw) - r.good >= 1
+        got |= {(int(i < r.good), bytes(b)) for i, b in enumerate(raw)}
+    assert made[0].count() > 5 and got == want
+    scores = model.scores(x)
+    assert abs(model.cut - np.quantile(scores, 10 / 160)) < 0.01
+    # Value and gradient of the loss by hand, over the pairs of each block.
+    w, total = rng.normal(size=width), np.zeros(width + 2)
+    for r in made[0].collect():
+        b = np.unpackbits(np.frombuffer(r.bits, np.uint8).reshape(len(r.counts), -1), axis=1, count=width).astype(float)
+        for i in range(r.good):
+            for j in range(r.good, len(b)):
+                n, d = r.counts[i] * r.counts[j], b[i] - b[j]
+                total += np.concatenate([[n, n * np.log1p(np.exp(-d @ w))], -n * d / (1 + np.exp(d @ w))])
+    np.testing.assert_allclose(training.totals(made[0], width + 2, quality._pair_loss, w), total, rtol=1e-5, atol=1e-4)
+
+
+def test_lexicon_weights_from_all_rows(spark, frame):
+    """More labelled rows than any bound in the code: counts, and the gradient's zero, by hand."""
+    rng = random.Random(8)
+    y = [int(rng.random() < 0.3) for _ in range(400)]
+    texts = ["".join(rng.choices(["calm ", "day ", "grim "], k=5)) + ("zonk " if rng.random() < (0.8 if k else 0.05) else "") for k in y]
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != training.HELD_OUT][:400]
+    labels = spark.createDataFrame(list(zip(ids, y)), "doc_id bigint, toxic int")
+    model = toxicity.fit(frame(texts, ids), labels)
+    assert list(model.weights) == [" zonk "]
+    hit = np.array(["zonk" in t for t in texts])
+    scale = np.array([len(t.split()) ** -0.5 for t in texts])
+    z = hit * model.weights[" zonk "] * scale + model.curve[1]
+    slip = 1 / (1 + np.exp(-z)) - np.array(y)
+    assert abs(slip.sum()) < 0.5 and abs((slip * hit * scale).sum()) < 0.5
+
+
 def test_folding():
     for raw in ("SТUРID", "stυpid", "ѕtupid", "5tup1d", "$tupid", "stúpid", "s​tupid", "stup!d"):
         assert " stupid " in toxicity.folded(f"you {raw}, no"), raw
