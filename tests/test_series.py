@@ -214,6 +214,12 @@ def test_cumulative_integral(spark, mode):
         np.testing.assert_allclose(got[got.run == r].sort_values("t").e, want, atol=1e-10)
 
 
+def test_tracks_take_one_shuffle(spark):
+    df = spark.createDataFrame([("a", 0, 0, "x", 1, 0.5, 2.0, 0)], "run string, restart int, body int, axis string, iteration bigint, time double, value double, line int")
+    plan = tracks.combine_axes(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
 def test_tracks_are_distinct_rows(spark):
     rows = [("a", r, b, ax, it, it * 0.5, it * 1.0 + b) for r in (0, 1) for b in (0, 1) for ax in "xyz" for it in (1, 2)]
     # A restart that recomputed iteration 2 differently is kept as a second row.
