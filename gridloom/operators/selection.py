@@ -102,4 +102,5 @@ def _narrowed(rows: DataFrame, ranks: DataFrame, keys: list[str], group: list[st
     counts = marked.groupBy(*keys, "_j", "_rank").agg(F.count_if(below).alias("_below"), F.count_if(inside).alias("_n"))
     rank = F.col("_rank") - F.col("_below")
     sure = F.when((rank >= 0) & (rank < F.col("_n")), rank).otherwise(F.raise_error(F.lit("a rank lies outside its bracket")).cast("bigint"))
-    return marked.filter(inside).select(*keys, "_j", "_v"), settled(counts.select(*keys, "_j", "_n", sure.alias("_rank")))
+    # Kept, so that a pass reads what the last one left and not all passes before it.
+    return settled(marked.filter(inside).select(*keys, "_j", "_v")), settled(counts.select(*keys, "_j", "_n", sure.alias("_rank")))

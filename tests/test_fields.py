@@ -69,6 +69,15 @@ def test_percentiles_of_any_size(spark, small, steps):
         np.testing.assert_allclose(got[k], np.percentile(v, [100 * p for p in probs]), rtol=1e-12, atol=1e-12)
 
 
+def test_narrowing_does_not_repeat_earlier_passes(spark):
+    rows = spark.range(2000).selectExpr("'a' as k", "cast(id % 997 as double) as _v")
+    ranks = spark.createDataFrame([("a", 2000, 0, 500)], "k string, _n bigint, _j int, _rank bigint")
+    left, found = selection._narrowed(rows, ranks, ["k"], ["k"], 16)
+    plans = [t._jdf.queryExecution().executedPlan().toString() for t in (left, found)]
+    assert not any(x in p for p in plans for x in ("Range", "Join")), plans
+    assert left.count() == found.first()["_n"] < 500
+
+
 def stack(spark):
     rows = [("r", "a", "xy", i, i * 1.0, 2, 3, [float(i + k) for k in range(6)]) for i in (10, 30, 20)]
     rows += [("r", "b", "xy", i, i * 2.0, 2, 3, [float(k) for k in range(6)]) for i in (5, 15)]
