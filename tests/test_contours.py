@@ -97,3 +97,22 @@ def test_panels_fill_rows_and_share_frames(spark):
     # Frame 0 of y is 0, 0 on the first and 1, 2 on the second line of x.
     first = sorted((r.pos, r.x, r.y) for r in lines if (r.frame_idx, r.panel) == (0, 1))
     assert first == [(0, 2.5, 6.0), (1, 3.0, 0.0)]
+
+
+def test_points_come_in_bounded_parts(monkeypatch):
+    """A batch of many slices gives its points a few slices at a time, with the columns of their own slice."""
+    import pyarrow as pa
+
+    from gridloom.operators import contours
+
+    rng = np.random.default_rng(4)
+    grids = [*rng.normal(size=(40, 64)), None, [], [1.0, None, 0.0, 2.0]]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(43)), pa.array([None if g is None else list(g) for g in grids], pa.list_(pa.float64())), pa.array([8] * 42 + [2]), pa.array([[0.0, 0.5]] * 43)],
+        names=["k", "_data", "_ny", "_levels"])
+    monkeypatch.setattr(contours, "PART_VALUES", 200)
+    parts = list(contours._points(batch))
+    assert len(parts) > 8 and max(len(set(p.column("k").to_pylist())) for p in parts) <= 4
+    got = [tuple(r.values()) for p in parts for r in p.to_pylist()]
+    assert got == [(k, *row) for k, g in enumerate(grids[:40]) for row in contours._slice_lines(g, 8, np.array([0.0, 0.5]))]
+    assert list(contours._points(batch.slice(0, 0)))[0].num_rows == 0
