@@ -133,18 +133,23 @@ class Ordered:
 
     def running_sum(self, value: Column, out: str) -> "Ordered":
         """Inclusive cumulative sum within the key."""
+        return self.running_sums(**{out: value})
+
+    def running_sums(self, **values: Column) -> "Ordered":
+        """`running_sums(total=F.col("y"))` adds inclusive cumulative sums; all share one look across the borders."""
         frame = self._window.rowsBetween(W.unboundedPreceding, W.currentRow)
-        tagged = self.df.withColumn("_seg_v", value)
-        df = tagged.withColumn(out, F.sum("_seg_v").over(frame)).drop("_seg_v")
+        names = {out: f"_seg_v{i}" for i, out in enumerate(values)}
+        tagged = self.df.withColumns({names[out]: value for out, value in values.items()})
+        df = tagged.withColumns({out: F.sum(v).over(frame) for out, v in names.items()}).drop(*names.values())
         if self.segments:
-            before = self._with(tagged)._borders(_seg_sum=F.sum("_seg_v")).select(
-                *self._group,
-                F.sum("_seg_sum").over(self._across.rowsBetween(W.unboundedPreceding, -1)).alias("_seg_before"),
+            ahead = self._across.rowsBetween(W.unboundedPreceding, -1)
+            before = self._with(tagged)._borders(**{v: F.sum(v) for v in names.values()}).select(
+                *self._group, *[F.sum(v).over(ahead).alias(v) for v in names.values()],
             )
             df = (
                 join_keys(df, before, self._group)
-                .withColumn(out, F.col(out) + F.coalesce("_seg_before", F.lit(0)))
-                .drop("_seg_before")
+                .withColumns({out: F.col(out) + F.coalesce(v, F.lit(0)) for out, v in names.items()})
+                .drop(*names.values())
             )
         return self._with(df)
 

@@ -11,8 +11,9 @@ al. (2007).
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,37 +35,28 @@ def at_radius(modes: DataFrame, radius: float) -> DataFrame:
     return modes.filter(F.abs(F.col("radius") - radius) <= 1e-9 * abs(radius)).drop("radius")
 
 
-def _integrals(
-    modes: DataFrame, cutoff: float | Sequence[float], orders: Sequence[int], keys: Sequence[str], stats: KeyStats
-) -> DataFrame:
-    """Rows (keys, order, t, re, im): all orders, and all cutoffs (as a column), from one forward and one inverse transform."""
-    keys, several = list(keys), not isinstance(cutoff, (int, float))
+def _integrator(order: int, period: float) -> Callable[[np.ndarray], np.ndarray]:
+    """Factors of one or two time integrals; the zero frequency has no sign and integrates to nothing once."""
+    def factor(omega: np.ndarray) -> np.ndarray:
+        floor = np.fmax(np.abs(omega), 2 * np.pi / period)
+        return -1j * np.sign(omega) / floor if order == 1 else -1 / (floor * floor)
+
+    return factor
+
+
+def _integrals(modes: DataFrame, kinds: Sequence[tuple[int, float]], keys: Sequence[str], stats: KeyStats) -> DataFrame:
+    """Rows (keys, t, re0, im0, re1, im1, ...): the time integrals of each kind (order, cutoff) from one pair of transforms."""
+    keys = list(keys)
     rows = Ordered.of(modes.select(*keys, "t", "re", "im"), keys, "t", stats=stats).index("idx").result()
     grid = modes.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_w"), F.count(F.lit(1)).alias("n"), F.min("t").alias("t0"),
         F.try_divide(F.max("t") - F.min("t"), F.count(F.lit(1)) - 1).alias("dt"),
     )
     rows = attach(rows, grid, keys, weight="_w", stats=stats)
-    full = [*keys, "t0", "dt"]
-    spec = spectral.fft(rows, full, "idx", "n", "re", "im", longest=stats.longest)
-    turn = F.when(2 * F.col("k") < F.col("n"), F.col("k")).otherwise(F.col("k") - F.col("n"))
-    omega = F.lit(2 * math.pi) * turn / (F.col("n") * F.col("dt"))
-
-    def integrated(order: int, period: float) -> tuple[Column, Column]:
-        # Division by i omega; the zero frequency has no sign and integrates to nothing.
-        floor = F.greatest(F.abs(omega), F.lit(2 * math.pi / period))
-        if order == 1:
-            return F.col("im") * F.signum(omega) / floor, -F.col("re") * F.signum(omega) / floor
-        return -F.col("re") / (floor * floor), -F.col("im") / (floor * floor)
-
-    own = ["cutoff"] if several else []
-    made = [(o, float(p), *integrated(o, p)) for o in orders for p in (cutoff if several else [cutoff])]
-    each = F.array(*[
-        F.struct(F.lit(o).alias("order"), *[F.lit(p).alias(c) for c in own], re.alias("re"), im.alias("im")) for o, p, re, im in made])
-    back = spectral.fft(
-        spec.select(*full, "n", "k", F.inline(each)), [*full, "order", *own], "k", "n", "re", "im", inverse=True, longest=stats.longest,
-    )
-    return back.select(*keys, "order", *own, (F.col("t0") + F.col("k") * F.col("dt")).alias("t"), "re", "im")
+    back = spectral.filtered(
+        rows, [*keys, "t0", "dt"], "idx", "n", "dt", "re", "im", [_integrator(*kind) for kind in kinds], longest=stats.longest)
+    pairs = [f"{c}{i}" for i in range(len(kinds)) for c in ("re", "im")]
+    return back.select(*keys, (F.col("t0") + F.col("k") * F.col("dt")).alias("t"), *pairs)
 
 
 def integrate_fixed_frequency(
@@ -73,7 +65,8 @@ def integrate_fixed_frequency(
     """`order` time integrals of complex series (keys, t, re, im) with cutoff period `cutoff`."""
     if order not in (1, 2):
         raise ValueError("order must be 1 or 2")
-    return _integrals(modes, cutoff, (order,), keys, stats or KeyStats.of(modes, keys)).drop("order")
+    made = _integrals(modes, [(order, cutoff)], keys, stats or KeyStats.of(modes, keys))
+    return made.withColumnsRenamed({"re0": "re", "im0": "im"})
 
 
 def strain(
@@ -137,14 +130,13 @@ def _d(l: Column, m: Column) -> Column:
 def radiated(modes: DataFrame, radius: float, cutoff: float, l_max: int = 4) -> DataFrame:
     """Cumulative radiated energy, J_z and P_z per run from the modes at this radius: rows (run, t, energy, j_z, p_z)."""
     used = at_radius(modes, radius).filter(F.col("l") <= l_max)
-    of = lambda order, part: F.max(F.when(F.col("order") == order, F.col(part)))
-    rows = _integrals(used, cutoff, (1, 2), MODE, KeyStats.of(used, MODE)).groupBy(*MODE, "t").agg(
-        of(1, "re").alias("re"), of(1, "im").alias("im"), of(2, "re").alias("re2"), of(2, "im").alias("im2"))
-    # Neighbours in l at the same m and time: at most l_max rows per group.
-    near = W.partitionBy("run", "m", "t").orderBy("l")
+    rows = _integrals(used, [(1, cutoff), (2, cutoff)], MODE, KeyStats.of(used, MODE)).withColumnsRenamed(
+        {"re0": "re", "im0": "im", "re1": "re2", "im1": "im2"})
+    # Neighbours in l at the same m and time, on the rows of a time that the sum over modes needs anyway.
+    near = W.partitionBy("run", "t").orderBy("m", "l")
     for name, side in (("lo", F.lag), ("hi", F.lead)):
         gap = F.lit(-1 if name == "lo" else 1)
-        there = side("l").over(near) == F.col("l") + gap
+        there = (side("m").over(near) == F.col("m")) & (side("l").over(near) == F.col("l") + gap)
         rows = rows.withColumns({
             f"{name}_{part}": F.coalesce(F.when(there, side(part).over(near)), F.lit(0.0)) for part in ("re", "im")
         })
@@ -158,12 +150,16 @@ def radiated(modes: DataFrame, radius: float, cutoff: float, l_max: int = 4) ->
         (F.sum(m * (F.col("im2") * F.col("re") - F.col("re2") * F.col("im"))) * unit).alias("_j"),
         (F.sum(F.col("re") * mix_re + F.col("im") * mix_im) * unit).alias("_p"),
     )
-    o = Ordered.of(flux, ["run"], "t", stats=KeyStats.of(used, ["run"])).neighbours(
-        _pt="lag:t", _pe="lag:_e", _pj="lag:_j", _pp="lag:_p"
-    )
-    for now, before, out in (("_e", "_pe", "energy"), ("_j", "_pj", "j_z"), ("_p", "_pp", "p_z")):
-        piece = F.coalesce((F.col("t") - F.col("_pt")) * (F.col(now) + F.col(before)) / 2, F.lit(0.0))
-        o = o.running_sum(piece, out)
+    stats = KeyStats.of(used, ["run"])
+    if stats.hot:
+        # Read for the edges of segments, at their borders and at last; what made it is a long way. It has fewer rows than all modes.
+        flux = settled(flux)
+        stats = KeyStats.of(flux, ["run"])
+    o = Ordered.of(flux, ["run"], "t", stats=stats).neighbours(_pt="lag:t", _pe="lag:_e", _pj="lag:_j", _pp="lag:_p")
+    o = o.running_sums(**{
+        out: F.coalesce((F.col("t") - F.col("_pt")) * (F.col(now) + F.col(before)) / 2, F.lit(0.0))
+        for now, before, out in (("_e", "_pe", "energy"), ("_j", "_pj", "j_z"), ("_p", "_pp", "p_z"))
+    })
     return o.result().select("run", "t", "energy", "j_z", "p_z")
 
 
@@ -171,8 +167,10 @@ def strains(modes: DataFrame, radius: float, cutoffs: Sequence[float], stats: Ke
     """`strain` for several cutoff periods at once, each trimmed by its own: rows (run, l, m, cutoff, t, re, im)."""
     modes = at_radius(modes, radius)
     stats = stats or KeyStats.of(modes, MODE)
-    h = _integrals(modes, list(cutoffs), (2,), MODE, stats).drop("order").withColumns({
-        c: F.col(c) * F.lit(float(radius)) for c in ("re", "im")})
+    each = F.array(*[
+        F.struct(F.lit(float(p)).alias("cutoff"), *[(F.col(f"{c}{i}") * F.lit(float(radius))).alias(c) for c in ("re", "im")])
+        for i, p in enumerate(cutoffs)])
+    h = _integrals(modes, [(2, float(p)) for p in cutoffs], MODE, stats).select(*MODE, "t", F.inline(each))
     ends = modes.groupBy(*MODE).agg(F.count(F.lit(1)).alias("_n"), F.min("t").alias("_a"), F.max("t").alias("_b"))
     inside = (F.col("t") >= F.col("_a") + F.col("cutoff")) & (F.col("t") <= F.col("_b") - F.col("cutoff"))
     return attach(h, ends, list(MODE), stats=stats).filter(inside).drop("_a", "_b")

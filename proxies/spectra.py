@@ -9,6 +9,7 @@ from gridloom.functions.scalars import both_halves, characteristic_strain, dimen
 from gridloom.operators import gridjoin, spectral, splines
 from gridloom.operators.ordered import Ordered, row_index
 from gridloom.plans import waves
+from gridloom.sources.scratch import settled
 from proxies import tables as tb
 from proxies.registry import query
 
@@ -177,10 +178,13 @@ CUTOFF = 40.0
 
 
 def _modes(spark: SparkSession, sf: str) -> DataFrame:
-    w = tb.waves(spark, sf).withColumn("t", F.col("rn").cast("double"))
-    one = w.select("run", F.lit(2).alias("l"), F.lit(2).alias("m"), "t", "re", "im")
-    two = w.select("run", F.lit(3).alias("l"), F.lit(2).alias("m"), "t", (F.col("im") / 2).alias("re"), (F.col("re") / 2).alias("im"))
-    return one.unionByName(two)
+    # The series is ordered once; its modes are read several times.
+    w = settled(tb.waves(spark, sf).select("run", F.col("rn").cast("double").alias("t"), "re", "im"))
+    made = {(2, 2): (F.col("re"), F.col("im")), (3, 2): (F.col("im") / 2, F.col("re") / 2)}
+    each = F.array(*[
+        F.struct(F.lit(l).alias("l"), F.lit(m).alias("m"), F.col("t").alias("t"), re.alias("re"), im.alias("im"))
+        for (l, m), (re, im) in made.items()])
+    return w.select("run", F.inline(each))
 
 
 def _ffi_sql(order: int, modes: str = "md") -> str:

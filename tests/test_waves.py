@@ -141,3 +141,44 @@ def test_gaps_in_a_spectrum_are_errors(spark):
     for bad in (noise.filter("k <> 4"), noise.filter("k <> 4").unionByName(noise.filter("k = 3"))):
         with pytest.raises(Exception, match="every point"):
             snr(bad)
+
+
+@pytest.mark.parametrize("group", [1 << 18, 16, 40])
+def test_filtered_any_length(spark, group):
+    """Group 16 forces the split form for 150 and 64 and the convolution form for the prime 97; a NULL run is a run."""
+    rng = np.random.default_rng(5)
+    z = {n: rng.normal(size=n) + 1j * rng.normal(size=n) for n in (150, 97, 64, 2, 12)}
+    rows = [(None if n == 64 else str(n), n, i, 0.5, float(v.real), float(v.imag)) for n, x in z.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "run string, n bigint, idx bigint, dt double, re double, im double").repartition(3)
+    responses = [lambda w: np.exp(-w * w), lambda w: 1j * w]
+    got = spectral.filtered(df, ["run", "dt"], "idx", "n", "dt", "re", "im", responses, group=group).toPandas()
+    assert len(got) == len(rows)
+    for n, x in z.items():
+        mine = got[got.n == n].sort_values("k")
+        assert mine.run.isna().all() if n == 64 else (mine.run == str(n)).all()
+        for i, response in enumerate(responses):
+            # fftfreq puts the middle frequency of an even length below zero, as here.
+            want = np.fft.ifft(np.fft.fft(x) * response(2 * np.pi * np.fft.fftfreq(n, 0.5)))
+            np.testing.assert_allclose(mine[f"re{i}"] + 1j * mine[f"im{i}"], want, atol=1e-9)
+
+
+def test_chain_is_read_once_and_shuffled_little(spark, monkeypatch):
+    """Long runs: the flux is made once for all later passes, and the transforms of both orders share their three steps."""
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(waves, "settled", kept)
+    spark.conf.set("gridloom.hot.rows", "100")
+    df = spark.createDataFrame(modes()).localCheckpoint()
+    try:
+        out = waves.radiated(df, 100.0, 30.0)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        hot = out.orderBy("run", "t").toPandas()
+    finally:
+        spark.conf.unset("gridloom.hot.rows")
+    assert len(plans) == 1 and plans[0].count("FlatMapGroupsIn") == 1 and "FlatMapGroupsIn" not in plan
+    usual = waves.radiated(df, 100.0, 30.0).orderBy("run", "t").toPandas()
+    np.testing.assert_allclose(hot[["t", "energy", "j_z", "p_z"]], usual[["t", "energy", "j_z", "p_z"]], rtol=1e-9, atol=1e-9)
