@@ -212,8 +212,9 @@ select it.run, l, m, j::double as t, round(re * 500, 3) as re, round(im * 500, 3
 join nn on nn.run = it.run where j >= {CUTOFF} and j <= n - 1 - {CUTOFF}""")
 def gw_strain(spark: SparkSession, sf: str) -> DataFrame:
     """All modes of one of two extraction radii."""
-    near = _modes(spark, sf).withColumns({"radius": F.lit(300.0), "re": F.col("re") * 7})
-    h = waves.strain(_modes(spark, sf).withColumn("radius", F.lit(500.0)).unionByName(near), 500.0, CUTOFF)
+    modes = _modes(spark, sf)
+    near = modes.withColumns({"radius": F.lit(300.0), "re": F.col("re") * 7})
+    h = waves.strain(modes.withColumn("radius", F.lit(500.0)).unionByName(near), 500.0, CUTOFF)
     return h.select("run", "l", "m", F.round("t", 6).alias("t"), F.round("re", 3).alias("re"), F.round("im", 3).alias("im"))
 
 
