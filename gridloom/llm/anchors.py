@@ -104,10 +104,10 @@ def least(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def segments_of(h: np.ndarray, first: np.ndarray, length: int, k: int, powers: Powers) -> dict[str, np.ndarray] | None:
+def segments_of(h: np.ndarray, first: np.ndarray, length: int, k: int, powers: Powers, anchors_only: bool = False) -> dict[str, np.ndarray] | None:
     """Segments of the texts whose symbols lie one after the other in h.
 
-    text, at (first symbol), windows, anchor (its hash), content (its hash), lead (symbols before the anchor).
+    text, at (first symbol), windows, anchor (its hash), content (its hash), lead (symbols before the anchor); or anchor alone.
     """
     n = len(h)
     if n < length:
@@ -124,6 +124,8 @@ def segments_of(h: np.ndarray, first: np.ndarray, length: int, k: int, powers: P
         anchor, text = anchor[inside], text[inside]
         new = np.concatenate([[True], (np.diff(anchor) != 0) | (np.diff(text) != 0)])
         start = np.flatnonzero(new)
+        if anchors_only:
+            return {"anchor": grams[anchor[start]]}
         windows = np.diff(np.append(start, len(inside)))
         begin, a = inside[start], anchor[start]
         whole = (sums[begin + windows + length - 1] - sums[begin]) * down[begin]
@@ -155,6 +157,21 @@ def _segments(docs: DataFrame, unit: str, length: int, k: int) -> DataFrame:
     return docs.select(*KEY, "_text").mapInArrow(run, "_d bigint, _h bigint, anchor bigint, content bigint, ats array<bigint>")
 
 
+def _anchors(docs: DataFrame, unit: str, length: int, k: int) -> DataFrame:
+    """anchor, n: how many segments of some texts at a time have that anchor; neither contents nor places are made."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbols, powers = Symbols(unit), Powers()
+        for batch in batches:
+            for part in slices(batch, "_text", SCAN_BYTES):
+                got = segments_of(*symbols.hashes(part.column("_text").to_pylist()), length, k, powers, anchors_only=True)
+                if got is not None:
+                    anchor, n = np.unique(got["anchor"], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n.astype(np.int64))], ["anchor", "n"])
+
+    return docs.select("_text").mapInArrow(run, "anchor bigint, n bigint")
+
+
 def _with_texts(rows: DataFrame, docs: DataFrame, schema: str, make: Callable) -> DataFrame:
     """Join rows (a key and a list `items`) with their texts, which travel compressed; make(text, row) gives row tuples."""
 
@@ -181,7 +198,7 @@ def repeated(docs: DataFrame, unit: str, length: int, k: int, resolve: Callable,
     """
     segments = _segments(docs, unit, length, k)
     # Stored, so that the joins below have nothing but shuffled rows on either side and a hot key can be split.
-    anchors = stored(segments.groupBy("anchor").agg(F.sum(F.size("ats")).alias("n")).where("n > 1").select("anchor"))
+    anchors = stored(_anchors(docs, unit, length, k).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"))
     hits = stored(segments.join(anchors, "anchor"))
 
     contents = stored(hits.groupBy("anchor", "content").agg(

@@ -9,8 +9,9 @@ import numpy as np
 import pandas as pd
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
-from gridloom.llm import bwt, components, ngram_join, queries, substring
+from gridloom.llm import anchors, bwt, components, ngram_join, queries, substring
 from gridloom.llm.common import words
 from llm_fixtures import SF, frame, odd  # noqa: F401
 
@@ -208,3 +209,14 @@ def test_large_cluster_of_short_texts(frame):
     texts = short_copies(60)
     got = ngram_join.join(frame(texts), most=20).collect()
     assert [(r.class_id, r.n_links) for r in got] == [(0, 59)] * 60
+
+
+@pytest.mark.parametrize("unit, length, k", [("byte", 200, 24), ("word", 35, 8)])
+def test_anchors_are_counted_without_segments(frame, odd, unit, length, k):
+    """The first pass over the texts makes anchors and their numbers only, and those of the segments."""
+    docs = anchors.keyed(frame(odd), "text").selectExpr("_d", "_h", "cast(coalesce(text, '') as binary) as _text")
+    counted = anchors._anchors(docs, unit, length, k)
+    assert counted.columns == ["anchor", "n"]
+    segments = anchors._segments(docs, unit, length, k).groupBy("anchor").agg(F.sum(F.size("ats")).alias("n"))
+    both = counted.groupBy("anchor").agg(F.sum("n").alias("n")).collect(), segments.collect()
+    assert dict(map(tuple, both[0])) == dict(map(tuple, both[1])) and both[1]
